@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import SENTIMENT
-from .scalar import BEARISH_AT, BULLISH_AT, _c
+from .scalar import _c, sentiment_label
 
 # Fixed values.
 # Class order of the default three-way finance scorer.
@@ -153,12 +153,8 @@ def lexicon_sentiment(df: DataFrame, text_col: str = "text",
                       lexicon: dict | None = None) -> DataFrame:
     """Add ``lexicon_sum``, ``compound`` and a label banded at +/-0.05."""
     out = df.withColumn("lexicon_sum", lexicon_sum(text_col, lexicon))
-    c = compound("lexicon_sum")
-    return (out.withColumn("compound", c)
-            .withColumn("sentiment_label",
-                        F.when(F.col("compound") >= BULLISH_AT, "BULLISH")
-                        .when(F.col("compound") <= BEARISH_AT, "BEARISH")
-                        .otherwise("NEUTRAL")))
+    return (out.withColumn("compound", compound("lexicon_sum"))
+            .withColumn("sentiment_label", sentiment_label("compound")))
 
 
 def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
@@ -182,10 +178,8 @@ def lexicon_sentiment_join(df: DataFrame, lexicon_df: DataFrame, id_col: str,
     lex = broadcast_if_small(lexicon_df.select("word", "weight"), broadcast_max_rows)
     sums = (toks.join(lex, "word").groupBy(id_col).agg(F.sum("weight").alias("lexicon_sum")))
     out = (df.join(sums, id_col, "left")
-           .withColumn("lexicon_sum", F.coalesce(F.col("lexicon_sum"), F.lit(0.0))))
+           .withColumn("lexicon_sum", F.when(F.col(text_col).isNotNull(),
+                                             F.coalesce(F.col("lexicon_sum"), F.lit(0.0)))))
     return (out.withColumn("compound", compound("lexicon_sum"))
-            .withColumn("sentiment_label",
-                        F.when(F.col("compound") >= BULLISH_AT, "BULLISH")
-                        .when(F.col("compound") <= BEARISH_AT, "BEARISH")
-                        .otherwise("NEUTRAL")))
+            .withColumn("sentiment_label", sentiment_label("compound")))
 

@@ -36,8 +36,9 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
     """SRC3: cast the value bytes to string, ``from_json`` with a declared
     schema and flatten. Malformed JSON -> all-NULL row; a mistyped field -> NULL.
     """
-    data = F.from_json(F.col(value_col).cast("string"), schema).alias("data")
-    return df.select(*(keep or []), data).select(*(keep or []), "data.*")
+    data = F.from_json(F.col(value_col).cast("string"), schema).alias("_data")
+    first = df.select(*(keep or []), data)
+    return first.select(*[c for c in first.columns if c != "_data"], "_data.*")
 
 
 def encode_json(df: DataFrame, cols: list[str] | None = None,
