@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.scalar import BEARISH_AT, BULLISH_AT, _c
 
@@ -215,12 +215,19 @@ def agreement_agg(label_col="sentiment_label") -> Column:
     return 1 - F.sqrt(1 - ratio * ratio)
 
 
-@F.pandas_udf("double")
-def agreement_udaf(labels: pd.Series) -> float:
-    """Grouped-aggregate pandas UDF form of ``agreement_agg`` (UDAF surface)."""
+def _agreement_pd(labels: pd.Series) -> float:
     pos = float((labels == "BULLISH").sum())
     neg = float((labels == "BEARISH").sum())
     if pos + neg == 0:
         return float("nan")
     r = (pos - neg) / (pos + neg)
     return 1.0 - (1.0 - r * r) ** 0.5
+
+
+def agreement_udaf():
+    """Grouped-aggregate pandas UDF form of ``agreement_agg`` (the UDAF surface).
+
+    Unlike the native expression it sees a whole group at once (no partial
+    aggregation), so use it only where groups are bounded (e.g. one day).
+    """
+    return F.pandas_udf(_agreement_pd, T.DoubleType())
