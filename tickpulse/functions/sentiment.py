@@ -80,6 +80,31 @@ class LogitScorer:
         raise NotImplementedError
 
 
+class LexiconLogitScorer(LogitScorer):
+    """Default plug-in: logits (neutral, bullish, bearish) from lexicon hits.
+
+    Neutral gets a fixed logit of 1; bullish/bearish get the summed positive /
+    negative valence of the words in the text.
+    """
+
+    labels = DEFAULT_LABELS
+
+    def __init__(self, lexicon: dict | None = None):
+        self.lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
+
+    def logits(self, texts: list[str]) -> np.ndarray:
+        import re
+
+        out = np.zeros((len(texts), 3))
+        out[:, 0] = 1.0
+        for i, t in enumerate(texts):
+            for w in re.split(TOKEN_SPLIT, t.lower()):
+                v = self.lexicon.get(w)
+                if v:
+                    out[i, 1 if v > 0 else 2] += abs(v)
+        return out
+
+
 def _softmax_rows(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=1, keepdims=True)
     e = np.exp(z)

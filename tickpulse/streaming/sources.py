@@ -10,7 +10,7 @@ so resume (SRC8/W09) and late data (W06) can be exercised.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..schemas import PRICE_MESSAGE, TWEET_MESSAGE
 from ..session import scratch_path
@@ -22,8 +22,9 @@ _CACHE: dict[tuple, str] = {}
 # Test posts carry the event value from which their score is derived.
 TWEET_TEST_MESSAGE = StructType(TWEET_MESSAGE.fields + [StructField("value", DoubleType(), True),
                                                          StructField("event_id", LongType(), True)])
-USER_TWEET_MESSAGE = StructType.fromDDL(
-    "uuid string, symbol string, created_at string, value double")
+USER_TWEET_MESSAGE = StructType([
+    StructField("uuid", StringType(), True), StructField("symbol", StringType(), True),
+    StructField("created_at", StringType(), True), StructField("value", DoubleType(), True)])
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
