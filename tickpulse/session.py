@@ -23,6 +23,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
     "spark.sql.streaming.stateStore.minDeltasForSnapshot": "5",
 }

@@ -92,44 +92,81 @@ def read_date_keyed_json(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ SRC7
 def write_two_level_csv(bars: DataFrame, path: str, symbols: Sequence[str]) -> None:
     """Wide CSV: header lines 'Ticker,<sym>...', 'Price,<attr>...', 'Date,,,' then
-    one line per date. Rows are range-sorted so the header lines come first."""
-    cells = [(s, a) for s in symbols for a in BAR_ATTRIBUTES]
-    wide = bars.groupBy("date").pivot("symbol", list(symbols)).agg(
-        *[F.first(a.lower()).alias(a) for a in BAR_ATTRIBUTES])
-    # pivot names multi-aggregate columns "<sym>_<attr>"
-    line = F.concat_ws(",", F.col("date").cast("string"),
-                       *[F.coalesce(F.col(f"`{s}_{a}`").cast("string"), F.lit("")) for s, a in cells])
-    data = wide.select(F.lit(1).alias("_o"), F.col("date").cast("string").alias("_d"), line.alias("value"))
+    one line per date. The header rows are the union's first partition, so
+    they open the first part file; no global sort of the data is needed.
+
+    Symbols are numbered through a small (symbol, index) table; each date's
+    line is ``transform(sequence(0, n-1))`` over a per-date index -> cells map,
+    so thousands of tickers never become thousands of columns or literals.
+    """
     spark = bars.sparkSession
+    symbols = list(symbols)
+    n = len(symbols)
+    k = len(BAR_ATTRIBUTES)
+    index = spark.createDataFrame(list(enumerate(symbols)), "i int, symbol string")
+    cells_str = F.concat_ws(",", *[F.coalesce(F.col(a.lower()).cast("string"), F.lit(""))
+                                   for a in BAR_ATTRIBUTES])
+    per_date = (bars.join(F.broadcast(index), "symbol")
+                .groupBy("date").agg(F.array_sort(F.collect_list(F.struct("i", cells_str.alias("s"))))
+                                     .alias("e")))
+    blank = "," * (k - 1)          # one ticker's empty cells
+    # each present ticker is preceded by the blanks of the tickers skipped since the previous one
+    tokens = F.transform(F.col("e"), lambda x, j: F.concat(
+        F.repeat(F.lit(blank + ","), x["i"] - F.coalesce(F.get(F.col("e"), j - 1)["i"], F.lit(-1)) - 1),
+        x["s"]))
+    tail = F.repeat(F.lit("," + blank), F.lit(n - 1) - F.element_at(F.col("e"), -1)["i"])
+    line = F.concat(F.col("date").cast("string"), F.lit(","), F.array_join(tokens, ","), tail)
+    data = per_date.select(line.alias("value"))
+    cells = [(s, a) for s in symbols for a in BAR_ATTRIBUTES]
     header = spark.createDataFrame([
-        (0, "0", ",".join([CSV_HEADER_TICKER, *[s for s, _ in cells]])),
-        (0, "1", ",".join([CSV_HEADER_ATTRIBUTE, *[a for _, a in cells]])),
-        (0, "2", ",".join([CSV_HEADER_INDEX, *["" for _ in cells]])),
-    ], "_o int, _d string, value string")
-    header.unionByName(data).orderBy("_o", "_d").select("value").write.mode("overwrite").text(path)
+        (",".join([CSV_HEADER_TICKER, *[s for s, _ in cells]]),),
+        (",".join([CSV_HEADER_ATTRIBUTE, *[a for _, a in cells]]),),
+        (",".join([CSV_HEADER_INDEX, *["" for _ in cells]]),),
+    ], "value string").coalesce(1)
+    header.unionByName(data).write.mode("overwrite").text(path)
 
 
 def read_two_level_csv(spark: SparkSession, path: str) -> DataFrame:
     """Two-level-header CSV -> long rows ``(symbol, date, open, high, low, close, volume)``.
 
-    The two name rows are the only rows collected (their width is the number
-    of columns); data rows are unpivoted with one ``explode`` (no shuffle).
+    Lines are split into arrays (no thousand-column schema); only the two name
+    rows are collected. A symbol-major layout (each ticker's attributes
+    contiguous, same order) is unpivoted by position arithmetic in one
+    ``explode``; any other layout goes through (position -> ticker, attribute)
+    lookups joined from a small broadcast table and one aggregation.
     """
-    raw = spark.read.option("header", False).csv(path)
-    first = raw.columns[0]
-    tick = raw.filter(F.col(first) == CSV_HEADER_TICKER).first()
-    attr = raw.filter(F.col(first) == CSV_HEADER_ATTRIBUTE).first()
-    cols = raw.columns[1:]
-    by_symbol: dict[str, dict[str, str]] = {}
-    for c in cols:
-        by_symbol.setdefault(tick[c], {})[attr[c]] = c
-    data = raw.filter(F.try_to_date(F.col(first)).isNotNull())
-    entries = [F.struct(F.lit(sym).alias("symbol"),
-                        *[F.col(m[a]).cast("double").alias(a.lower()) if a in m
-                          else F.lit(None).cast("double").alias(a.lower()) for a in BAR_ATTRIBUTES])
-               for sym, m in by_symbol.items()]
-    long = data.select(F.to_date(F.col(first)).alias("date"), F.explode(F.array(*entries)).alias("e"))
-    return long.select("e.symbol", "date", *[f"e.{a.lower()}" for a in BAR_ATTRIBUTES])
+    lines = spark.read.text(path).select(F.split("value", ",", -1).alias("c"))
+    first = F.col("c")[0]
+    tick = list(lines.filter(first == CSV_HEADER_TICKER).first()["c"][1:])
+    attr = list(lines.filter(first == CSV_HEADER_ATTRIBUTE).first()["c"][1:])
+    data = lines.filter(F.try_to_date(first).isNotNull()).select(
+        F.to_date(first).alias("date"), F.col("c"))
+    seq = list(dict.fromkeys(attr[: attr.index(attr[0], 1)] if attr.count(attr[0]) > 1 else attr))
+    k = len(seq)
+    names = tick[::k]
+    regular = (len(tick) == k * len(names) and attr == seq * len(names)
+               and all(tick[i * k:(i + 1) * k] == [names[i]] * k for i in range(len(names))))
+    wanted = [a for a in BAR_ATTRIBUTES]
+    if regular:
+        sym_arr = F.array(*[F.lit(x) for x in names])
+
+        def entry(i):
+            base = F.lit(2) + i * k  # element_at is 1-based and column 0 is the date
+            cells = [F.nullif(F.element_at(F.col("c"), base + seq.index(a)), F.lit("")).cast("double")
+                     .alias(a.lower()) if a in seq else F.lit(None).cast("double").alias(a.lower())
+                     for a in wanted]
+            return F.struct(F.element_at(sym_arr, i + 1).alias("symbol"), *cells)
+
+        long = data.select("date", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(len(names) - 1)), entry)).alias("e"))
+        return long.select("e.symbol", "date", *[f"e.{a.lower()}" for a in wanted])
+    layout = spark.createDataFrame([(i + 1, t, a) for i, (t, a) in enumerate(zip(tick, attr))],
+                                   "pos int, symbol string, attribute string")
+    cells = data.select("date", F.posexplode("c").alias("pos", "v")).filter(F.col("pos") > 0)
+    j = cells.join(F.broadcast(layout), "pos")
+    return j.groupBy("symbol", "date").agg(*[
+        F.max(F.when(F.col("attribute") == a, F.nullif(F.col("v"), F.lit("")).cast("double")))
+        .alias(a.lower()) for a in wanted])
 
 
 # ------------------------------------------------------------------ SRC9

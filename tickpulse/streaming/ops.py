@@ -42,13 +42,14 @@ def sliding_sentiment(tweets: DataFrame, window: str = SLIDING_WINDOW, slide: st
         F.avg(v).alias("avg_sentiment"),
         F.stddev(v).alias("sentiment_stddev"),
         F.variance(v).alias("sentiment_variance"),
-        F.percentile_approx(v, 0.5, accuracy).alias("median_sentiment"),
-        F.percentile_approx(v, 0.25, accuracy).alias("q1_sentiment"),
-        F.percentile_approx(v, 0.75, accuracy).alias("q3_sentiment"),
+        # one quantile sketch per window state, read at three ranks
+        F.percentile_approx(v, [0.5, 0.25, 0.75], accuracy).alias("_q"),
         F.min(v).alias("min_sentiment"),
         F.max(v).alias("max_sentiment"),
         *distribution_counts(v),
     )
+    out = out.select("*", F.col("_q")[0].alias("median_sentiment"),
+                     F.col("_q")[1].alias("q1_sentiment"), F.col("_q")[2].alias("q3_sentiment")).drop("_q")
     return _flat_window(out)
 
 
