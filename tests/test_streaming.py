@@ -57,6 +57,17 @@ def test_keyed_upsert_latest_wins_and_replay_is_idempotent(spark):
     assert kt.versions() == [0, 1]
 
 
+def test_keyed_upsert_rewrites_only_touched_partitions(spark):
+    path = scratch_path(spark, "ktp")
+    kt = KeyedTable(spark, path, ["topic", "day"], partition=F.col("day"))
+    kt.upsert(spark.createDataFrame([("a", "d1", 1.0), ("a", "d2", 2.0)], "topic string, day string, v double"), 0)
+    kt.upsert(spark.createDataFrame([("a", "d2", 5.0), ("b", "d3", 7.0)], "topic string, day string, v double"), 1)
+    lay = kt.layout()
+    assert lay == {"_p=d1": [0], "_p=d2": [0, 1], "_p=d3": [1]}
+    got = {(r["topic"], r["day"]): (r["v"], r["_epoch"]) for r in kt.read().collect()}
+    assert got == {("a", "d1"): (1.0, 0), ("a", "d2"): (5.0, 1), ("b", "d3"): (7.0, 1)}
+
+
 def test_stream_batch_equivalence_sliding(spark):
     rows = [("t", T0 + dt.timedelta(minutes=m, seconds=7 * m), float(m % 5) / 10) for m in range(40)]
     df = spark.createDataFrame(rows, "topic string, api_timestamp timestamp, sentiment_score double")

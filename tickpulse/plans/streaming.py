@@ -293,10 +293,10 @@ def q_serving_tweets_upsert(spark, d):
     """Posts upserted into a (topic, api_timestamp)-keyed serving table; replayed
     messages and a replayed run change nothing."""
     table = KeyedTable(spark, scratch_path(spark, "serving-tweets"), ["topic", "api_timestamp"],
-                       tiebreak=["uuid"])
+                       tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
     src = _dup_messages(spark, d)
     for attempt in range(2):  # second run: fresh checkpoint, same epochs -> same versions
-        s = SS.tweets_from_messages(SS.read_messages(spark, src, max_files=1)).select(
+        s = SS.tweets_from_messages(SS.read_messages(spark, src, max_files=4)).select(
             *SERVING_TWEET_COLUMNS)
         q = R.start_foreach_batch(s, table.foreach_batch(),
                                   scratch_path(spark, f"serving-tweets-ckpt{attempt}"), "append")
@@ -315,7 +315,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp
 def q_serving_prices_upsert(spark, d):
     """Prices upserted into a (symbol, trade_timestamp)-keyed serving table."""
     table = KeyedTable(spark, scratch_path(spark, "serving-prices"), ["symbol", "trade_timestamp"],
-                       tiebreak=["close_price", "volume"])
+                       tiebreak=["close_price", "volume"], partition=F.to_date("trade_timestamp"))
     q = R.start_foreach_batch(SS.price_stream(spark, d).select(*SERVING_PRICE_COLUMNS),
                               table.foreach_batch(), scratch_path(spark, "serving-prices-ckpt"),
                               "append")
@@ -346,7 +346,8 @@ def _sentiment_index(spark, d):
         F.sha2(F.concat_ws("|", "topic", F.date_format("w.end", "yyyy-MM-dd HH:mm:ss")), 256).alias("uuid"),
         "topic", F.col("w.end").alias("ingest_timestamp"), "sentiment_score_avg",
         "bullish_count", "bearish_count", "neutral_count")
-    table = KeyedTable(spark, scratch_path(spark, "sentiment-index"), ["topic", "ingest_timestamp"])
+    table = KeyedTable(spark, scratch_path(spark, "sentiment-index"), ["topic", "ingest_timestamp"],
+                       partition=F.to_date("ingest_timestamp"))
     q = R.start_foreach_batch(idx, table.foreach_batch(), scratch_path(spark, "sentiment-index-ckpt"),
                               "update")
     q.awaitTermination()

@@ -1,29 +1,38 @@
 """Keyed, upsertable serving tables on plain Parquet.
 
-Each micro-batch (``foreachBatch``) merges the batch into the latest
-complete version and writes a new version folder ``v=<epoch>``; readers take
-the highest version that has a ``_SUCCESS`` marker, so a half-written version
-is never visible and a replayed epoch rewrites the same folder from the same
-base (idempotent by epoch id). The merge is one ``max_by`` aggregation per key
-(partial aggregation: a hot key is combined map-side), latest epoch wins and
-within an epoch the larger tie-break value wins.
+Layout: ``<root>/v=<epoch>/_p=<partition>/part-*.parquet``. Each row's
+partition is a function of its key (for example the date of the key's
+timestamp). A micro-batch (``foreachBatch``) rewrites only the partitions it
+touches: for each touched partition it merges the batch into that partition's
+newest committed version and writes the result under ``v=<epoch>``. Readers
+take, per partition, the highest version whose ``_SUCCESS`` marker exists, so
+a half-written epoch is never visible, and a replayed epoch rewrites the same
+folder from the same base (idempotent by epoch id). Work per batch therefore
+grows with the partitions the batch touches, not with the table.
+
+The merge is one ``max_by`` aggregation per key (partial aggregation: a hot
+key is combined map-side): the latest epoch wins, and within an epoch the
+larger tie-break value wins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+_PART = "_p"
 
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 tiebreak: Sequence[str] = ()):
+                 tiebreak: Sequence[str] = (), partition: Column | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.tiebreak = list(tiebreak)
+        # partition value of a row; must depend on key columns only
+        self.partition = F.lit("all") if partition is None else partition
 
     # -- version bookkeeping through the Hadoop file system of the path
     def _fs(self):
@@ -31,31 +40,52 @@ class KeyedTable:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
+    def layout(self) -> dict[str, list[int]]:
+        """partition folder name -> committed versions holding it (ascending)."""
         jvm, fs = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.path)
+        out: dict[str, list[int]] = {}
         if not fs.exists(root):
-            return []
-        out = []
+            return out
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
+            if not (st.isDirectory() and name.startswith("v=")):
+                continue
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                continue
+            v = int(name[2:])
+            for part in fs.listStatus(st.getPath()):
+                pname = part.getPath().getName()
+                if part.isDirectory() and pname.startswith(_PART + "="):
+                    out.setdefault(pname, []).append(v)
+        for vs in out.values():
+            vs.sort()
+        return out
 
-    def _version_path(self, v: int) -> str:
+    def versions(self) -> list[int]:
+        return sorted({v for vs in self.layout().values() for v in vs})
+
+    def _vdir(self, v: int) -> str:
         return f"{self.path}/v={v:012d}"
 
-    def read(self, schema: StructType | None = None, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            return None
-        return self.spark.read.parquet(self._version_path(vs[-1]))
+    def _paths(self, before: int | None = None, parts: set[str] | None = None) -> list[str]:
+        paths = []
+        for pname, vs in self.layout().items():
+            if parts is not None and pname not in parts:
+                continue
+            vs = [v for v in vs if before is None or v < before]
+            if vs:
+                paths.append(f"{self._vdir(vs[-1])}/{pname}")
+        return sorted(paths)
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Current table: newest committed version of every partition."""
+        paths = self._paths(before)
+        return self.spark.read.parquet(*paths) if paths else None
 
     # -- merge
     def merge(self, base: DataFrame | None, batch: DataFrame, epoch: int) -> DataFrame:
-        cols = [c for c in batch.columns if c != "_epoch"]
+        cols = [c for c in batch.columns if c not in ("_epoch", _PART)]
         new = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch)).cast("long"))
         allrows = new if base is None else base.select(*cols, "_epoch").unionByName(new)
         order = F.struct(F.col("_epoch"), *[F.col(c) for c in self.tiebreak])
@@ -64,10 +94,26 @@ class KeyedTable:
             F.max_by(F.struct(*payload), order).alias("_row"))
         return merged.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
+    def _part_col(self) -> Column:
+        # folder-safe partition value: characters Spark never escapes in paths
+        # (values that map to the same folder simply share it; merges are by key)
+        return F.regexp_replace(F.coalesce(self.partition.cast("string"), F.lit("null")),
+                                "[^A-Za-z0-9_.-]", "_")
+
     def upsert(self, batch: DataFrame, epoch: int) -> None:
-        base = self.read(before=epoch)
-        merged = self.merge(base, batch, epoch)
-        merged.write.mode("overwrite").parquet(self._version_path(epoch))
+        # the batch is read twice (touched partitions, merge): keep it for the epoch
+        tagged = batch.withColumn(_PART, self._part_col()).persist()
+        try:
+            # the partitions this batch touches: one small distinct per batch
+            touched = {f"{_PART}={r[0]}" for r in tagged.select(_PART).distinct().collect()}
+            if not touched:
+                return
+            base_paths = self._paths(before=epoch, parts=touched)
+            base = self.spark.read.parquet(*base_paths) if base_paths else None
+            merged = self.merge(base, tagged.drop(_PART), epoch).withColumn(_PART, self._part_col())
+            merged.write.mode("overwrite").partitionBy(_PART).parquet(self._vdir(epoch))
+        finally:
+            tagged.unpersist()
 
     def foreach_batch(self):
         """``writeStream.foreachBatch(table.foreach_batch())``."""
