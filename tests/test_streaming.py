@@ -108,3 +108,20 @@ def test_dedup_within_watermark(spark):
     s = spark.readStream.schema(df.schema).parquet(src)
     out = R.run_append(W.dedup_stream(s, ["uuid"]), "dd")
     assert sorted(r["uuid"] for r in out.collect()) == ["a", "b"]
+
+
+def test_stream_interval_join_bounds_with_salt(spark):
+    us = dt.timedelta(microseconds=1)
+    t = spark.createDataFrame([("u1", "S", 0.1, T0 + dt.timedelta(days=5))],
+                              "uuid string, symbol string, sentiment_score double, api_timestamp timestamp")
+    prices = [T0 + dt.timedelta(days=4), T0 + dt.timedelta(days=6), T0 + dt.timedelta(days=4) - us,
+              T0 + dt.timedelta(days=6) + us, T0 + dt.timedelta(days=5)]
+    p = spark.createDataFrame([("S", x, 1.0, 1) for x in prices],
+                              "symbol string, trade_timestamp timestamp, close_price double, volume long")
+    ts, ps = scratch_path(spark, "sj-t"), scratch_path(spark, "sj-p")
+    t.write.mode("overwrite").parquet(ts)
+    p.write.mode("overwrite").parquet(ps)
+    j = W.interval_join_stream(spark.readStream.schema(t.schema).parquet(ts),
+                               spark.readStream.schema(p.schema).parquet(ps), salt=3)
+    got = sorted(r["price_ts"] for r in R.run_append(j, "sj").collect())
+    assert got == sorted([prices[0], prices[1], prices[4]])

@@ -80,15 +80,31 @@ def session_activity(tweets: DataFrame, gap: str = SESSION_GAP,
 
 
 def interval_join_stream(tweets: DataFrame, prices: DataFrame,
-                         watermark: str = JOIN_WATERMARK, bound: str = JOIN_BOUND) -> DataFrame:
+                         watermark: str = JOIN_WATERMARK, bound: str = JOIN_BOUND,
+                         bucket_seconds: int = 86400, salt: int = 1) -> DataFrame:
     """Stream-stream inner join on symbol with
     ``tweet_ts - bound <= price_ts <= tweet_ts + bound``; both sides watermarked,
-    so the symmetric hash join's state is bounded by ``bound + watermark``."""
-    t = tweets.withWatermark("api_timestamp", watermark).alias("t")
-    p = prices.withWatermark("trade_timestamp", watermark).alias("p")
-    cond = ((F.col("t.symbol") == F.col("p.symbol"))
-            & (F.col("p.trade_timestamp") >= F.col("t.api_timestamp") - F.expr(f"INTERVAL {bound}"))
-            & (F.col("p.trade_timestamp") <= F.col("t.api_timestamp") + F.expr(f"INTERVAL {bound}")))
+    so the symmetric hash join's state is bounded by ``bound + watermark``.
+
+    State is keyed by (symbol, day bucket[, salt]) rather than by symbol: each
+    price is copied to the three day buckets it can meet (``bucket_seconds``
+    must be at least the bound), and ``salt`` spreads a hot (symbol, day) over
+    several state partitions (prices are copied to every salt).
+    """
+    t = tweets.withWatermark("api_timestamp", watermark)
+    p = prices.withWatermark("trade_timestamp", watermark)
+    t = t.withColumn("_b", F.floor(F.col("api_timestamp").cast("double") / bucket_seconds))
+    pb = F.floor(F.col("trade_timestamp").cast("double") / bucket_seconds)
+    p = p.withColumn("_b", F.explode(F.array(pb - 1, pb, pb + 1)))
+    keys = ["symbol", "_b"]
+    if salt > 1:
+        t = t.withColumn("_s", F.pmod(F.xxhash64("uuid"), F.lit(salt)))
+        p = p.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        keys.append("_s")
+    t, p = t.alias("t"), p.alias("p")
+    cond = [F.col(f"t.{k}") == F.col(f"p.{k}") for k in keys]
+    cond.append(F.col("p.trade_timestamp") >= F.col("t.api_timestamp") - F.expr(f"INTERVAL {bound}"))
+    cond.append(F.col("p.trade_timestamp") <= F.col("t.api_timestamp") + F.expr(f"INTERVAL {bound}"))
     j = t.join(p, cond)
     return j.select(F.col("t.uuid").alias("tweet_id"), F.col("t.symbol").alias("symbol"),
                     F.col("t.sentiment_score"), F.col("t.api_timestamp").alias("tweet_ts"),
