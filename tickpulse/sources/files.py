@@ -55,6 +55,12 @@ def lake_read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                 mode: str = "overwrite") -> None:
+    """Parquet table, optionally partitioned. A partitioned write is
+    rebalanced on the partition columns first (AQE sizes the output partitions
+    and splits a hot value over several tasks), so each folder gets a few
+    right-sized files instead of one file per task."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -111,7 +111,9 @@ class KeyedTable:
             base_paths = self._paths(before=epoch, parts=touched)
             base = self.spark.read.parquet(*base_paths) if base_paths else None
             merged = self.merge(base, tagged.drop(_PART), epoch).withColumn(_PART, self._part_col())
-            merged.write.mode("overwrite").partitionBy(_PART).parquet(self._vdir(epoch))
+            # REBALANCE: about one file per partition folder, AQE splits a hot one
+            (merged.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
+             .parquet(self._vdir(epoch)))
         finally:
             tagged.unpersist()
 
