@@ -157,3 +157,28 @@ def test_lambda_merge_no_double_count(spark):
     s = spark.createDataFrame([("a", T0, 7.0, 7), ("a", T0 + dt.timedelta(2), 4.0, 2)], "topic string, ts timestamp, s double, n long")
     r = SV.lambda_merge(b, s, "ts", str(T0 + dt.timedelta(1)), ["topic"], ["s"], ["n"]).first()
     assert (r["s"], r["n"]) == (6.0, 3)
+
+
+def test_salted_interval_join_with_hot_symbol(spark):
+    rng = np.random.default_rng(11)
+    n = 600
+    sym = np.where(rng.random(n) < 0.34, "HOT", rng.choice(["A", "B"], n))
+    secs = rng.integers(0, 5 * 86400, n)
+    tweets = pd.DataFrame({"uuid": [f"t{i}" for i in range(n)], "symbol": sym,
+                           "sentiment_score": rng.normal(size=n),
+                           "api_timestamp": pd.Timestamp("2024-01-01") + pd.to_timedelta(secs, unit="s")})
+    m = 300
+    psym = np.where(rng.random(m) < 0.34, "HOT", rng.choice(["A", "B"], m))
+    psecs = rng.integers(0, 5 * 86400, m)
+    prices = pd.DataFrame({"symbol": psym, "trade_timestamp": pd.Timestamp("2024-01-01")
+                           + pd.to_timedelta(psecs, unit="s"), "close_price": rng.random(m), "volume": np.arange(m)})
+    t, p = spark.createDataFrame(tweets), spark.createDataFrame(prices)
+    plain = t.alias("t").join(p.alias("p"), (F.col("t.symbol") == F.col("p.symbol"))
+                              & (F.abs(F.col("p.trade_timestamp").cast("double")
+                                       - F.col("t.api_timestamp").cast("double")) <= 86400))
+    want = sorted((r["uuid"], r["volume"]) for r in plain.collect())
+    for salt in (1, 5):
+        out = J.interval_join(t, p, salt=salt)
+        assert sorted((r["tweet_id"], r["volume"]) for r in out.collect()) == want
+    plan = SV.explain_string(J.interval_join(t, p, salt=5), "simple")
+    assert "_salt" in plan and "_b" in plan

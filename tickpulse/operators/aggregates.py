@@ -183,10 +183,24 @@ def corr_long(df: DataFrame, cols: Sequence[str], group_cols=()) -> DataFrame:
 
 def corr_block(df: DataFrame, row_cols: Sequence[str], col_cols: Sequence[str],
                group_cols=()) -> DataFrame:
-    """Sub-block of the correlation matrix (e.g. sentiment x market)."""
-    allc = list(dict.fromkeys([*col_cols, *row_cols]))
-    return corr_long(df, allc, group_cols).filter(
-        F.col("row").isin(list(row_cols)) & F.col("col").isin(list(col_cols)))
+    """Sub-block of the correlation matrix (e.g. sentiment x market) as
+    ``(row, col, r)``: only the requested pairs' co-moments are aggregated."""
+    allc = list(dict.fromkeys([*row_cols, *col_cols]))
+    pairs = [(a, b) for a in row_cols for b in col_cols if a != b]
+    aggs = [F.stddev_pop(c).alias(f"sd__{c}") for c in allc]
+    aggs += [F.covar_pop(a, b).alias(f"cv__{a}__{b}") for a, b in pairs]
+    wide = df.groupBy(*group_cols).agg(*aggs)
+
+    def r(a, b):
+        if a == b:
+            return F.when(F.col(f"sd__{a}") > 0, F.lit(1.0))
+        den = F.col(f"sd__{a}") * F.col(f"sd__{b}")
+        return F.when(den > 0, F.col(f"cv__{a}__{b}") / den)
+
+    cells = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), r(a, b).alias("r"))
+             for a in row_cols for b in col_cols]
+    return (wide.select(*group_cols, F.explode(F.array(*cells)).alias("c"))
+            .select(*group_cols, "c.row", "c.col", "c.r"))
 
 
 # A11

@@ -47,9 +47,9 @@ def agreement(pos, neg) -> Column:
 
 
 def with_indices(df: DataFrame, pos="pos", neg="neg") -> DataFrame:
-    return (df.withColumn("bullishness", bullishness(pos, neg))
-            .withColumn("msg_volume", message_volume(pos, neg))
-            .withColumn("agreement", agreement(pos, neg)))
+    return df.withColumns({"bullishness": bullishness(pos, neg),
+                           "msg_volume": message_volume(pos, neg),
+                           "agreement": agreement(pos, neg)})
 
 
 def daily_sentiment(corpus: DataFrame, time_col="created_at", label_col="pred_label",
@@ -71,9 +71,9 @@ def market_measures(bars: DataFrame, group_col="symbol", date_col="date") -> Dat
     """WF2 log return x100 (lag over the full bar series), N05 log volume, N04."""
     w = Window.partitionBy(group_col).orderBy(date_col)
     lc = safe_ln(F.col("close"))
-    return (bars.withColumn("return", (lc - F.lag(lc).over(w)) * 100)
-            .withColumn("log_trading_vol", safe_ln(F.col("volume")))
-            .withColumn("volatility", gk_volatility()))
+    return bars.withColumns({"return": (lc - F.lag(lc).over(w)) * 100,
+                             "log_trading_vol": safe_ln(F.col("volume")),
+                             "volatility": gk_volatility()})
 
 
 def daily_panel(bars: DataFrame, corpus: DataFrame, group_col="symbol",
@@ -85,8 +85,7 @@ def daily_panel(bars: DataFrame, corpus: DataFrame, group_col="symbol",
     s = daily_sentiment(corpus, group_cols=(group_col,))
     j = m.join(s, [group_col, date_col], "inner")
     w = Window.partitionBy(group_col).orderBy(date_col)
-    for c in CARRIED:
-        j = j.withColumn(f"carried_{c}", F.lag(c).over(w))
+    j = j.withColumns({f"carried_{c}": F.lag(c).over(w) for c in CARRIED})
     return j.na.drop()
 
 
@@ -104,11 +103,8 @@ def lag_columns(df: DataFrame, cols: Sequence[str], max_lag: int, group_col="sym
                 date_col="date") -> DataFrame:
     """WF5: ``{c}_lag{k}`` for k = 1..max_lag (positional lags over the rows)."""
     w = Window.partitionBy(group_col).orderBy(date_col)
-    out = df.withColumn("_rn", F.row_number().over(w))
-    for c in cols:
-        for k in range(1, max_lag + 1):
-            out = out.withColumn(f"{c}_lag{k}", F.lag(c, k).over(w))
-    return out
+    lags = {f"{c}_lag{k}": F.lag(c, k).over(w) for c in cols for k in range(1, max_lag + 1)}
+    return df.withColumns({"_rn": F.row_number().over(w), **lags})
 
 
 # ----------------------------------------------------------------- Gram sums

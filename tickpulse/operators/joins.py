@@ -29,12 +29,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _silver(t: DataFrame, p: DataFrame) -> list:
-    return [t["uuid"].alias("tweet_id"), t["symbol"], t["sentiment_score"],
-            t["api_timestamp"].alias("tweet_ts"), p["close_price"],
-            p["trade_timestamp"].alias("price_ts"), p["volume"]]
-
-
 def interval_join(tweets: DataFrame, prices: DataFrame, before_s: int = DAY_SECONDS,
                   after_s: int = DAY_SECONDS, salt: int = 1) -> DataFrame:
     """Posts x prices of the same symbol with
