@@ -41,3 +41,13 @@ def test_explain_modes(spark):
     df = spark.range(3)
     for mode in ("simple", "extended", "formatted", "cost", "codegen"):
         assert len(SV.explain_string(df, mode)) > 0
+
+
+def test_bucketed_join_has_no_exchange(spark):
+    from tickpulse.operators import joins as J
+    t = V.tweets_by_user_v(spark, SF).select("uuid", "symbol")
+    p = V.prices_v(spark, SF).select("symbol", "close_price")
+    tb = FS.write_bucketed(t, "tp_test_posts", scratch_path(spark, "bp"), 4, ["symbol"])
+    pb = FS.write_bucketed(p, "tp_test_prices", scratch_path(spark, "bq"), 4, ["symbol"])
+    plan = SV.explain_string(J.bucketed_join(tb, pb, ["symbol"]), "simple")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

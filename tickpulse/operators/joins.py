@@ -30,12 +30,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def interval_join(tweets: DataFrame, prices: DataFrame, before_s: int = DAY_SECONDS,
-                  after_s: int = DAY_SECONDS, salt: int = 1) -> DataFrame:
+                  after_s: int = DAY_SECONDS, salt: int = 1,
+                  strategy: str | None = None) -> DataFrame:
     """Posts x prices of the same symbol with
     ``tweet_ts - before <= price_ts <= tweet_ts + after`` (both ends inclusive).
 
     Output columns: tweet_id, symbol, sentiment_score, tweet_ts, close_price,
-    price_ts, volume.
+    price_ts, volume. ``strategy`` is an optional join hint ("merge",
+    "shuffle_hash"); by default the planner (and AQE) choose.
     """
     width = max(before_s, after_s)
     t_secs = F.col("api_timestamp").cast("double")
@@ -51,6 +53,8 @@ def interval_join(tweets: DataFrame, prices: DataFrame, before_s: int = DAY_SECO
     if salt > 1:
         p = p.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
         keys.append("_salt")
+    if strategy:
+        t = t.hint(strategy)
     t, p = t.alias("t"), p.alias("p")
     cond = [F.col(f"t.{k}") == F.col(f"p.{k}") for k in keys]
     cond.append(F.col("p.trade_timestamp") >= F.col("t.api_timestamp") - F.expr(f"INTERVAL {before_s} SECONDS"))
@@ -76,5 +80,11 @@ def daily_join(a: DataFrame, b: DataFrame, on=("symbol", "date")) -> DataFrame:
 def multi_join(tweets: DataFrame, prices: DataFrame, dim: DataFrame,
                max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Posts x prices (interval, sort-merge) x dimension (checked broadcast)."""
-    silver = interval_join(tweets, prices)
+    silver = interval_join(tweets, prices, strategy="merge")
     return dim_join(silver, dim, "symbol", max_broadcast_rows)
+
+
+def bucketed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Sort-merge join of two tables bucketed on ``keys``; with equal
+    bucket counts the plan has no exchange on either side."""
+    return left.hint("merge").join(right, list(keys), how)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..operators import joins as J
 from ..operators import ordered
 from ..operators import serving as SV
 from ..session import scratch_path
@@ -285,3 +286,22 @@ def q_csv_two_level(spark, d):
     path = scratch_path(spark, "csv-two-level")
     FS.write_two_level_csv(bars, path, symbols)
     return FS.read_two_level_csv(spark, path).filter(F.col("open").isNotNull())
+
+
+@register("bucketed_join", "O04 J05", with_views(["tweets_by_user_v", "prices_v"], f"""
+SELECT t.uuid, t.symbol, p.trade_timestamp, {r('p.close_price')} AS close_price
+FROM tweets_by_user_v t JOIN prices_v p ON t.symbol = p.symbol
+WHERE CAST(p.trade_timestamp AS DATE) = CAST(t.api_timestamp AS DATE)"""))
+def q_bucketed_join(spark, d):
+    """Posts and prices written as tables bucketed by symbol, joined per symbol
+    and day without a shuffle of either side."""
+    import uuid as _uuid
+
+    tag = _uuid.uuid4().hex[:10]
+    t = V.tweets_by_user_v(spark, d).select("uuid", "symbol", "api_timestamp")
+    p = V.prices_v(spark, d).select("symbol", "trade_timestamp", "close_price")
+    tb = FS.write_bucketed(t, f"tp_posts_{tag}", scratch_path(spark, "bucket-posts"), 8, ["symbol"])
+    pb = FS.write_bucketed(p, f"tp_prices_{tag}", scratch_path(spark, "bucket-prices"), 8, ["symbol"])
+    j = J.bucketed_join(tb, pb, ["symbol"])
+    return j.filter(F.to_date("trade_timestamp") == F.to_date("api_timestamp")).select(
+        "uuid", "symbol", "trade_timestamp", "close_price")

@@ -67,6 +67,19 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int,
+                   keys: Sequence[str]) -> DataFrame:
+    """An external table bucketed and sorted by ``keys`` at ``path``.
+
+    Two tables bucketed the same way on a join key join without a shuffle
+    (each bucket pair meets in one task). Returns the table as a DataFrame.
+    """
+    spark = df.sparkSession
+    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 # ------------------------------------------------------------------ SRC6
 def write_date_keyed_json(bars: DataFrame, path: str, symbol_col: str = "symbol") -> None:
     """One JSON object per symbol: {"YYYY-MM-DD": {"Open_<sym>": .., ...}, ...}.
