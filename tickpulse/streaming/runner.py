@@ -14,6 +14,7 @@ rewrites the same folder (idempotent by epoch id).
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -37,9 +38,28 @@ def apply_stream_conf(spark: SparkSession, shuffle_partitions: int | None = None
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Pin the number of state / shuffle partitions of queries started inside.
+
+    A streaming query copies the session's configuration when it starts and
+    keeps that partition count for the life of its checkpoint, so the count is
+    a per-query choice; the session's own setting is restored afterwards.
+    Default: the cluster's default parallelism (total executor cores).
+    """
+    n = n or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None, output_mode: str = "append",
-                    available_now: bool = True, name: str | None = None) -> StreamingQuery:
+                    available_now: bool = True, name: str | None = None,
+                    num_state_partitions: int | None = None) -> StreamingQuery:
     """Append a stream to a (partitioned) file table."""
     w = (df.writeStream.format(fmt).option("path", path)
          .option("checkpointLocation", checkpoint).outputMode(output_mode))
@@ -49,19 +69,22 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
         w = w.queryName(name)
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start()
+    with state_partitions(df.sparkSession, num_state_partitions):
+        return w.start()
 
 
 def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                         output_mode: str = "update", available_now: bool = True,
-                        name: str | None = None) -> StreamingQuery:
+                        name: str | None = None,
+                        num_state_partitions: int | None = None) -> StreamingQuery:
     w = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .outputMode(output_mode))
     if name:
         w = w.queryName(name)
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start()
+    with state_partitions(df.sparkSession, num_state_partitions):
+        return w.start()
 
 
 def epoch_writer(path: str, with_metadata: bool = False) -> Callable[[DataFrame, int], None]:
