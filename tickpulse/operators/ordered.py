@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 1 << 20
 
@@ -47,15 +47,18 @@ def with_global_index(df: DataFrame, part_cols: Sequence[str], order_cols: Seque
     n = _num_ranges(df, num_ranges)
     # An explicit partition count keeps AQE from coalescing or local-reading
     # this exchange, so partition ids stay in range order. Range bounds come
-    # from sampling, so the numbered rows are materialised once (reliable
-    # checkpoint in the shared checkpoint folder): the row side and the
-    # summary side then see the same partitions, the input is scanned once,
-    # and a lost executor recomputes nothing upstream of this point.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # from sampling, so the numbered rows are materialised once, as a table
+    # written in the shared checkpoint folder: the row side and the summary
+    # side then read the same numbers, the input is scanned once, and a lost
+    # executor recomputes nothing upstream of this point. (The summary side
+    # reads only key, _pid and _mono: column pruning on the written table.)
+    spark = df.sparkSession
+    path = scratch_path(spark, "ordered-index")
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_mono", F.monotonically_increasing_id())
+     .write.mode("overwrite").parquet(path))
+    ranged = spark.read.parquet(path)
     summ = (ranged.groupBy(*part_cols, "_pid")
             .agg(F.count("*").alias("_cnt"), F.min("_mono").alias("_base")))
     before = Window.partitionBy(*part_cols).orderBy("_pid").rowsBetween(
