@@ -182,3 +182,21 @@ def test_salted_interval_join_with_hot_symbol(spark):
         assert sorted((r["tweet_id"], r["volume"]) for r in out.collect()) == want
     plan = SV.explain_string(J.interval_join(t, p, salt=5), "simple")
     assert "_salt" in plan and "_b" in plan
+
+
+def test_udaf_forms_agree(spark):
+    rows = [("d1", "BULLISH"), ("d1", "BULLISH"), ("d1", "BEARISH"), ("d2", "NEUTRAL"), ("d3", "BEARISH")]
+    df = spark.createDataFrame(rows, "day string, sentiment_label string")
+    native = {r["day"]: r["a"] for r in df.groupBy("day").agg(A.agreement_agg().alias("a")).collect()}
+    udaf = {r["day"]: r["a"] for r in df.groupBy("day").agg(A.agreement_udaf()("sentiment_label").alias("a")).collect()}
+    assert abs(native["d1"] - udaf["d1"]) < 1e-12 and native["d3"] == udaf["d3"] == 1.0
+    assert native["d2"] is None and udaf["d2"] != udaf["d2"]  # NULL natively, NaN in pandas
+    bull = {r["day"]: r["b"] for r in df.groupBy("day").agg(A.bullishness_agg().alias("b")).collect()}
+    assert abs(bull["d1"] - np.log(3 / 2)) < 1e-12
+
+
+def test_random_and_row_ids(spark):
+    from tickpulse.functions import scalar as S
+    df = spark.createDataFrame([("a", "b"), ("a", "b")], "x string, y string")
+    rows = df.select(S.row_id("x", "y").alias("r"), S.random_id().alias("u")).collect()
+    assert rows[0]["r"] == rows[1]["r"] and rows[0]["u"] != rows[1]["u"]

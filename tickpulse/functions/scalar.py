@@ -63,6 +63,11 @@ def row_id(*cols) -> Column:
     return F.sha2(F.concat_ws("|", *[_c(c) for c in cols]), 256)
 
 
+def random_id() -> Column:
+    """P05 option: a random UUID per row (not replay-safe; prefer ``row_id``)."""
+    return F.expr("uuid()")
+
+
 def blank_to_null(col) -> Column:
     """NULL or whitespace-only text -> NULL."""
     c = _c(col)
