@@ -125,3 +125,17 @@ def test_stream_interval_join_bounds_with_salt(spark):
                                spark.readStream.schema(p.schema).parquet(ps), salt=3)
     got = sorted(r["price_ts"] for r in R.run_append(j, "sj").collect())
     assert got == sorted([prices[0], prices[1], prices[4]])
+
+
+def test_fan_out_feeds_every_sink_once(spark):
+    df = spark.createDataFrame([("a", T0, 0.2), ("b", T0, -0.4)], "topic string, api_timestamp timestamp, sentiment_score double")
+    src = scratch_path(spark, "fo-src")
+    df.write.mode("overwrite").parquet(src)
+    lake = scratch_path(spark, "fo-lake")
+    kt = KeyedTable(spark, scratch_path(spark, "fo-kt"), ["topic"])
+    q = R.start_foreach_batch(spark.readStream.schema(df.schema).parquet(src),
+                              R.fan_out(R.epoch_table_writer(lake, ["topic"]), kt.foreach_batch()),
+                              scratch_path(spark, "fo-ck"), "append")
+    q.awaitTermination()
+    assert sorted(r["topic"] for r in spark.read.parquet(lake).collect()) == ["a", "b"]
+    assert sorted(r["topic"] for r in kt.read().collect()) == ["a", "b"]

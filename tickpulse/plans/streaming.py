@@ -177,8 +177,9 @@ SELECT tweet_id, symbol, {r('sentiment_score')} AS sentiment_score, tweet_ts,
        {r('close_price')} AS close_price, price_ts, volume FROM silver"""))
 def q_interval_join_stream(spark, d):
     """Stream-stream interval join (+/-1 day, 2-minute watermarks) to silver;
-    join state keyed by (symbol, day, salt) so a hot symbol spreads out."""
-    return R.run_append(_join_stream(spark, d, salt=4), "silver")
+    join state keyed by (symbol, day, salt) so a hot symbol spreads out, and
+    held in the RocksDB state store."""
+    return R.run_append(_join_stream(spark, d, salt=4), "silver", rocksdb=True)
 
 
 _W02_SQL = f"""
@@ -199,7 +200,7 @@ FROM silver GROUP BY 1, 2, symbol) b WHERE {_JOIN_EMIT}"""
 @register("tumbling_price_sentiment", "W02 A06 K03", silver_sql(_W02_SQL))
 def q_tumbling_price_sentiment(spark, d):
     """Join -> 5-minute OHLC/VWAP + sentiment per symbol, append (join's watermark)."""
-    return R.run_append(W.tumbling_price_sentiment(_join_stream(spark, d)), "w02")
+    return R.run_append(W.tumbling_price_sentiment(_join_stream(spark, d)), "w02", rocksdb=True)
 
 
 @register("sentiment_price_alert", "W12", silver_sql(
@@ -374,3 +375,32 @@ def q_batch_metadata(spark, d):
     epochs, _ = R.run_epochs(W.tumbling_counts(SS.tweet_stream(spark, d)), "metadata", "update",
                              with_metadata=True)
     return epochs.select("window_start", "topic", "tweet_count", "batch_id", "epoch")
+
+
+@register("score_once_fanout", "M01 F01 K01 K04 SRC1", with_views(["tweets_v"], f"""
+SELECT uuid, topic, 'NEUTRAL' AS sentiment_label,
+       {r('exp(1.0) / (exp(1.0) + 2.0)')} AS sentiment_prob, {r('0.0')} AS sentiment_score
+FROM tweets_v"""))
+def q_score_once_fanout(spark, d):
+    """Posts scored once by the pluggable model (Arrow-batched, one model load
+    per task) and fanned out from one foreachBatch to the topic-partitioned
+    bronze table and the keyed serving table; returns the bronze rows."""
+    from ..functions.sentiment import LexiconLogitScorer
+    from ..sources import messages as MSG
+
+    raw = SS.read_messages(spark, SS.message_dir(spark, d, "tweets"))
+    dec = MSG.decode_json(raw, SS.TWEET_TEST_MESSAGE)
+    scored = MSG.enrich_tweets(dec, scorer_factory=LexiconLogitScorer,
+                               ingest_ts=F.col("api_timestamp"), uuid_col=F.col("event_id"))
+    bronze = scratch_path(spark, "fanout-bronze")
+    table = KeyedTable(spark, scratch_path(spark, "fanout-serving"), ["topic", "api_timestamp"],
+                       tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
+    serve = lambda b, e: table.upsert(b.select(*SERVING_TWEET_COLUMNS), e)
+    q = R.start_foreach_batch(scored.drop("value", "event_id"),
+                              R.fan_out(R.epoch_table_writer(bronze, ["topic"]), serve),
+                              scratch_path(spark, "fanout-ckpt"), "append")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(bronze).select("uuid", "topic", "sentiment_label", "sentiment_prob",
+                                             "sentiment_score")

@@ -38,28 +38,43 @@ def apply_stream_conf(spark: SparkSession, shuffle_partitions: int | None = None
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+
+
 @contextlib.contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
-    """Pin the number of state / shuffle partitions of queries started inside.
+def state_partitions(spark: SparkSession, n: int | None, rocksdb: bool = False):
+    """Pin the number of state / shuffle partitions (and optionally the RocksDB
+    state store) of queries started inside.
 
     A streaming query copies the session's configuration when it starts and
-    keeps that partition count for the life of its checkpoint, so the count is
-    a per-query choice; the session's own setting is restored afterwards.
-    Default: the cluster's default parallelism (total executor cores).
+    keeps that partition count and provider for the life of its checkpoint, so
+    both are per-query choices; the session's own settings are restored
+    afterwards. Default count: the cluster's default parallelism. RocksDB keeps
+    large state (e.g. a day of join buffers) on local disk instead of the JVM heap.
     """
     n = n or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_provider = spark.conf.get(_PROVIDER_KEY, None)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    if rocksdb:
+        spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
     try:
         yield n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+        if rocksdb:
+            if old_provider is None:
+                spark.conf.unset(_PROVIDER_KEY)
+            else:
+                spark.conf.set(_PROVIDER_KEY, old_provider)
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None, output_mode: str = "append",
                     available_now: bool = True, name: str | None = None,
-                    num_state_partitions: int | None = None) -> StreamingQuery:
+                    num_state_partitions: int | None = None,
+                    rocksdb: bool = False) -> StreamingQuery:
     """Append a stream to a (partitioned) file table."""
     w = (df.writeStream.format(fmt).option("path", path)
          .option("checkpointLocation", checkpoint).outputMode(output_mode))
@@ -69,7 +84,7 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
         w = w.queryName(name)
     if available_now:
         w = w.trigger(availableNow=True)
-    with state_partitions(df.sparkSession, num_state_partitions):
+    with state_partitions(df.sparkSession, num_state_partitions, rocksdb):
         return w.start()
 
 
@@ -102,6 +117,32 @@ def epoch_writer(path: str, with_metadata: bool = False) -> Callable[[DataFrame,
     return write
 
 
+def epoch_table_writer(path: str, partition_by: Sequence[str] | None = None
+                       ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body appending a micro-batch to a lake table as the folder
+    ``epoch=<id>`` (overwritten on replay, so the table stays exactly-once)."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        w = batch.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{path}/epoch={int(epoch_id):012d}")
+    return write
+
+
+def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """One foreachBatch feeding several sinks: the micro-batch (decoded and
+    scored once) is persisted for the epoch and handed to every writer, instead
+    of one streaming query per sink each re-reading and re-scoring the source."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        b = batch.persist()
+        try:
+            for w in writers:
+                w(b, epoch_id)
+        finally:
+            b.unpersist()
+    return run
+
+
 class StreamGroup:
     """Several concurrent queries; wait for all (finite runs) or any."""
 
@@ -134,11 +175,13 @@ class StreamGroup:
                 q.stop()
 
 
-def run_append(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+def run_append(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+               rocksdb: bool = False) -> DataFrame:
     """Run an append-mode stream to a parquet sink and read the sink back."""
     spark = df.sparkSession
     root = scratch_path(spark, name)
-    q = start_file_sink(df, f"{root}/out", f"{root}/_checkpoint", partition_by=partition_by)
+    q = start_file_sink(df, f"{root}/out", f"{root}/_checkpoint", partition_by=partition_by,
+                        rocksdb=rocksdb)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
