@@ -166,7 +166,9 @@ def lexicon_sum(text, lexicon: dict | None = None) -> Column:
     """Sum of word valences over the whole text, with no row explosion.
 
     Tokens are looked up in a map literal inside ``aggregate``; unknown
-    tokens add 0. Suits lexicons of up to a few thousand words.
+    tokens add 0. A map lookup scans the map's keys, so this suits small
+    lexicons (the built-in one has 60 words); large lexicons go through
+    ``lexicon_sentiment_join`` (explode + checked-broadcast join).
     """
     lex = _lexicon_map(DEFAULT_LEXICON if lexicon is None else lexicon)
     toks = F.split(F.lower(_c(text)), TOKEN_SPLIT)
