@@ -83,3 +83,15 @@ def test_chrono_split_75_percent(spark):
     df = spark.range(8).select(F.lit("S").alias("symbol"), F.col("id").alias("date"))
     got = [r["split"] for r in E.chrono_split(df).orderBy("date").collect()]
     assert got == ["train"] * 6 + ["test"] * 2
+
+
+def test_ols_well_conditioned_with_large_offsets(spark):
+    rng = np.random.default_rng(9)
+    n = 400
+    x = 1e7 + rng.normal(size=n)
+    y = 5.0 + 3.0 * (x - 1e7) + rng.normal(scale=0.01, size=n)
+    pdf = pd.DataFrame({"g": "G", "x": x, "y": y})
+    r = E.ols_by_group(spark.createDataFrame(pdf), ["g"], ["x"], "y").first()
+    beta = np.linalg.lstsq(np.c_[np.ones(n), x - x.mean()], y, rcond=None)[0]
+    assert abs(r["coef_x"] - beta[1]) < 1e-6
+    assert abs(r["intercept"] - (beta[0] - beta[1] * x.mean())) / abs(beta[1] * x.mean()) < 1e-9

@@ -136,15 +136,34 @@ def _solve_ssr(row: pd.Series, idx: Sequence[int]) -> tuple[np.ndarray | None, f
     return beta, max(ssr, 0.0)
 
 
+def center_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str],
+                    max_broadcast_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """Subtract each group's mean from ``cols`` (better-conditioned Gram sums).
+
+    Means come from one aggregation (one row per group) joined back, with a
+    broadcast only after a size check. Returns (centred rows, means).
+    """
+    from .joins import broadcast_if_small
+
+    means = df.groupBy(*group_cols).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
+    j = df.join(broadcast_if_small(means, max_broadcast_rows), list(group_cols))
+    centred = j.withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in cols})
+    return centred.drop(*[f"_m_{c}" for c in cols]), means
+
+
 def ols_by_group(df: DataFrame, group_cols: Sequence[str], features: Sequence[str],
                  label: str) -> DataFrame:
     """OLS with intercept per group; returns ``intercept`` and ``coef_<f>``.
 
-    Rows with a NULL label or feature are skipped. Singular systems give NULLs.
+    Rows with a NULL label or feature are skipped. Columns are centred per
+    group first; slopes come from the centred Gram sums and the intercept from
+    the means. Singular systems give NULLs.
     """
-    clean = df.na.drop(subset=[label, *features])
-    z = [F.lit(1.0)] + [F.col(f).cast("double") for f in features]
-    sums = clean.groupBy(*group_cols).agg(*_gram_aggs(z, F.col(label).cast("double")))
+    cols = [label, *features]
+    clean = df.na.drop(subset=cols).select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols])
+    centred, means = center_by_group(clean, group_cols, cols)
+    z = [F.lit(1.0)] + [F.col(f) for f in features]
+    sums = centred.groupBy(*group_cols).agg(*_gram_aggs(z, F.col(label))).join(means, list(group_cols))
     names = ["intercept"] + [f"coef_{f}" for f in features]
     schema = ", ".join([*(f"{g} string" for g in group_cols), "n long",
                         *(f"{c} double" for c in names)])
@@ -154,6 +173,10 @@ def ols_by_group(df: DataFrame, group_cols: Sequence[str], features: Sequence[st
         beta, _ = _solve_ssr(row, list(range(len(names))))
         out = {g: [str(row[g])] for g in group_cols}
         out["n"] = [int(row["n"])]
+        if beta is not None:
+            # intercept of the original columns: mean(y) - b . mean(x) (+ the centred intercept)
+            beta = beta.copy()
+            beta[0] += row[f"_m_{label}"] - sum(beta[i + 1] * row[f"_m_{f}"] for i, f in enumerate(features))
         for i, c in enumerate(names):
             out[c] = [None if beta is None else float(beta[i])]
         return pd.DataFrame(out)
@@ -215,7 +238,9 @@ def granger_pvalues(panel: DataFrame, target: str = "return",
     unrestricted adds x_1..x_L; stat = n (SSR_r - SSR_u) / SSR_u, p = chi2_sf(stat, L).
     """
     cols = [target, *features]
-    lagged = lag_columns(panel.select(group_col, date_col, *cols), cols, max_lag, group_col, date_col)
+    # centring is a shift: with an intercept both SSRs are unchanged, the sums better conditioned
+    centred, _ = center_by_group(panel.select(group_col, date_col, *cols), [group_col], cols)
+    lagged = lag_columns(centred, cols, max_lag, group_col, date_col)
     combos = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.lit(L).alias("lag"))
         for f in features for L in range(1, max_lag + 1)])).alias("c")
