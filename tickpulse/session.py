@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,9 +48,37 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     # defined in UTC throughout.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickpulse`` importable in Python workers (pandas UDFs and
+    ``applyInPandas`` bodies live here), like ``spark-submit --py-files``.
+
+    The package is zipped once per application and added with ``addPyFile``;
+    Spark copies it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, zpath = tempfile.mkstemp(prefix="tickpulse-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root, creating a private one only when unset."""
     sc = spark.sparkContext
