@@ -200,3 +200,15 @@ def test_random_and_row_ids(spark):
     df = spark.createDataFrame([("a", "b"), ("a", "b")], "x string, y string")
     rows = df.select(S.row_id("x", "y").alias("r"), S.random_id().alias("u")).collect()
     assert rows[0]["r"] == rows[1]["r"] and rows[0]["u"] != rows[1]["u"]
+
+
+def test_pivot_explicit_values_and_cap(spark):
+    import pytest
+    df = spark.createDataFrame([(T0, "A", 1.0), (T0, "B", 3.0), (T0 + dt.timedelta(hours=1), "A", 2.0)],
+                               "ingest_timestamp timestamp, topic string, sentiment_score double")
+    got = {r["hour"]: (r["A"], r["B"]) for r in A.hourly_pivot(df, values=["A", "B"]).collect()}
+    assert got[T0] == (1.0, 3.0) and got[T0 + dt.timedelta(hours=1)] == (2.0, 0.0)
+    with pytest.raises(ValueError):
+        A.hourly_pivot(df, max_columns=1)
+    long = SV.unpivot_wide(A.hourly_pivot(df), ["hour"], "topic", "avg")
+    assert long.count() == 4

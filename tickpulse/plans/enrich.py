@@ -72,6 +72,22 @@ def q_ticker_extract(spark, d):
     )
 
 
+@register("ticker_explode", "P02 P03", """
+SELECT event_id, symbol FROM (
+  SELECT DISTINCT event_id, unnest(regexp_extract_all('$' || upper(event_type) || ' vs $' || upper(reverse(event_type))
+                                                      || ' ' || props, '\\$([A-Z]+)', 1)) AS symbol
+  FROM events) t
+WHERE symbol <> ''""")
+def q_ticker_explode(spark, d):
+    """Every ticker of a post (one row each), not only the first."""
+    ev = V.table(spark, d, "events")
+    msgs = ev.select("event_id", F.date_format("ts", V.TS_TEXT_FORMAT).alias("created_at"),
+                     F.concat(F.lit("$"), F.upper("event_type"), F.lit(" vs $"),
+                              F.upper(F.reverse("event_type")), F.lit(" "), F.col("props")).alias("text"))
+    out = MSG.enrich_tweets(msgs, score=F.lit(0.0), uuid_col=F.col("event_id"), all_tickers=True)
+    return out.select("event_id", "symbol")
+
+
 @register("ticker_filter", "P03", """
 SELECT event_id, regexp_extract(txt, '\\$([A-Z]+)', 1) AS symbol FROM (
   SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN '$' || event_type || ' ' || props

@@ -66,16 +66,20 @@ def enrich_tweets(df: DataFrame, score: Column | None = None,
                   ingest_ts: Column | None = None,
                   uuid_col: Column | None = None,
                   ticker_pattern: str = S.TICKER_PATTERN,
-                  author: str = S.DEFAULT_AUTHOR) -> DataFrame:
+                  author: str = S.DEFAULT_AUTHOR, all_tickers: bool = False) -> DataFrame:
     """Decoded tweets ``(created_at, text)`` -> enriched bronze rows.
 
     P01 event time, P02 ticker, P03 ticker filter (applied *before* scoring so
     posts without a ticker are never scored), M01/M03 score, P05 ids, P06
     ingest stamp, P04 topic/author. ``score`` is a precomputed signed score
     column; otherwise ``scorer_factory`` runs the pluggable model.
+    ``all_tickers`` emits one row per distinct ticker in the text instead of
+    the first one only.
     """
+    sym = (F.explode(F.array_distinct(S.extract_all_tickers("text", ticker_pattern)))
+           if all_tickers else S.extract_ticker("text", ticker_pattern))
     out = (df.withColumn("api_timestamp", S.parse_ts("created_at"))
-           .withColumn("symbol", S.extract_ticker("text", ticker_pattern))
+           .withColumn("symbol", sym)
            .filter(S.has_ticker("symbol")))
     blank = S.blank_to_null("text").isNull()
     if scorer_factory is not None:
