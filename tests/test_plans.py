@@ -32,11 +32,18 @@ def test_partition_pruning_on_topic_table(spark):
 def test_moving_average_plan_has_no_single_partition_window(spark):
     t = V.tweets_v(spark, SF).select("topic", "ingest_timestamp", "uuid", "sentiment_score")
     plan = SV.explain_string(ordered.moving_average(t, ["topic"], ["ingest_timestamp", "uuid"],
-                                                    "sentiment_score", "ma"))
+                                                    "sentiment_score", "ma", max_rows_per_key=0))
     assert "SinglePartition" not in plan
     assert "hashpartitioning(topic" in plan and "_chunk" in plan
 
 
+def test_small_keys_use_a_plain_window(spark):
+    t = V.tweets_v(spark, SF).select("topic", "ingest_timestamp", "uuid", "sentiment_score")
+    plan = SV.explain_string(ordered.moving_average(t, ["topic"], ["ingest_timestamp", "uuid"],
+                                                    "sentiment_score", "ma"))
+    assert "_chunk" not in plan and "Window" in plan
+
+
 def test_explain_modes(spark):
     df = spark.range(3)
     for mode in ("simple", "extended", "formatted", "cost", "codegen"):

@@ -97,12 +97,26 @@ SELECT topic, ingest_timestamp, uuid, {r('sentiment_score')} AS sentiment_score,
           'ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)')} AS moving_avg_10
 FROM tweets_v"""))
 def q_moving_avg(spark, d):
-    """11-row (-10..0) moving average per topic, computed without one task per topic."""
+    """11-row (-10..0) moving average per topic; a plain per-topic window when
+    every topic fits the per-task row budget, the ranged path otherwise."""
     t = V.tweets_v(spark, d).select("topic", "ingest_timestamp", "uuid", "sentiment_score")
     return ordered.moving_average(t, ["topic"], ["ingest_timestamp", "uuid"],
                                   "sentiment_score", "moving_avg_10", preceding=10)
 
 
+@register("moving_avg_ranged", "WF1", with_views(["tweets_v"], f"""
+SELECT topic, ingest_timestamp, uuid, {r('sentiment_score')} AS sentiment_score,
+       {r('avg(sentiment_score) OVER (PARTITION BY topic ORDER BY ingest_timestamp, uuid '
+          'ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)')} AS moving_avg_10
+FROM tweets_v"""))
+def q_moving_avg_ranged(spark, d):
+    """The same moving average forced through the ranged, chunked path (the
+    path taken when a key exceeds the per-task row budget)."""
+    t = V.tweets_v(spark, d).select("topic", "ingest_timestamp", "uuid", "sentiment_score")
+    return ordered.moving_average(t, ["topic"], ["ingest_timestamp", "uuid"], "sentiment_score",
+                                  "moving_avg_10", preceding=10, max_rows_per_key=0)
+
+
 @register("distinct_days", "A11", with_views(["bars_v"], """
 SELECT DISTINCT date FROM bars_v"""))
 def q_distinct_days(spark, d):

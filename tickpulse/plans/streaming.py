@@ -149,9 +149,22 @@ def q_session_activity(spark, d):
 @register("session_activity_batch", "W03 P11", with_views(["tweets_v"], _SESSIONS_SELECT,
                                                           extra=_SESSIONS_CTE))
 def q_session_activity_batch(spark, d):
-    """The same sessions over a whole table, without one task per topic."""
+    """The same sessions over a whole table (size-checked: ranged when a topic
+    exceeds the per-task row budget)."""
+    return _batch_sessions(spark, d, None)
+
+
+@register("session_activity_ranged", "W03 P11", with_views(["tweets_v"], _SESSIONS_SELECT,
+                                                           extra=_SESSIONS_CTE))
+def q_session_activity_ranged(spark, d):
+    """Batch sessions forced through the ranged, chunked path."""
+    return _batch_sessions(spark, d, 0)
+
+
+def _batch_sessions(spark, d, max_rows_per_key):
     t = V.tweets_v(spark, d).select("topic", "uuid", "api_timestamp", "sentiment_score")
-    s = ordered.sessions(t, ["topic"], "api_timestamp", "uuid", 120.0)
+    s = ordered.sessions(t, ["topic"], "api_timestamp", "uuid", 120.0,
+                         max_rows_per_key=max_rows_per_key)
     ts = F.col("api_timestamp")
     out = s.groupBy("topic", "_session").agg(
         F.min(ts).alias("window_start"),
