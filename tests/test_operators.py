@@ -219,3 +219,14 @@ def test_pivot_explicit_values_and_cap(spark):
         A.hourly_pivot(df, max_columns=1)
     long = SV.unpivot_wide(A.hourly_pivot(df), ["hour"], "topic", "avg")
     assert long.count() == 4
+
+
+def test_lag_by_key_paths_agree(spark):
+    rng = np.random.default_rng(4)
+    n = 1500
+    pdf = pd.DataFrame({"k": rng.choice(["HOT", "HOT", "a", "b"], n), "t": np.arange(n), "v": rng.normal(size=n)})
+    df = spark.createDataFrame(pdf)
+    a = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p").collect()}
+    b = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p", chunk_rows=41, num_ranges=5,
+                                                    max_rows_per_key=0).collect()}
+    assert a == b

@@ -133,6 +133,20 @@ def moving_average(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence
     return out.drop("_g")
 
 
+def lag_by_key(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence, col: str,
+               out_col: str, offset: int = 1, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+               num_ranges: int | None = None, max_rows_per_key: int | None = None) -> DataFrame:
+    """``lag(col, offset)`` per key in ``order_cols`` order, size-checked like
+    ``moving_average`` (plain window for small keys, ranged chunks beyond)."""
+    if not use_ranged(df, part_cols, max_rows_per_key):
+        w = Window.partitionBy(*part_cols).orderBy(*order_cols)
+        return df.withColumn(out_col, F.lag(col, offset).over(w))
+    x = with_global_index(df, part_cols, order_cols, "_g", num_ranges)
+    out = rows_frame(x, part_cols, "_g", offset,
+                     lambda w: {out_col: F.lag(col, offset).over(w)}, chunk_rows)
+    return out.drop("_g")
+
+
 def sessions(df: DataFrame, part_cols: Sequence[str], ts_col: str, tiebreak_col: str,
              gap_seconds: float, chunk_rows: int = DEFAULT_CHUNK_ROWS,
              num_ranges: int | None = None, session_col: str = "_session",

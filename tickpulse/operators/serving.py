@@ -75,16 +75,19 @@ def trailing_window(df: DataFrame, ts_col: str, minutes: int = 15, now=None) ->
 
 
 # T06
-def crossovers(index: DataFrame, ts_col: str = "ingest_timestamp") -> DataFrame:
+def crossovers(index: DataFrame, ts_col: str = "ingest_timestamp",
+               max_rows_per_key: int | None = None) -> DataFrame:
     """Rows where sign(bullish - bearish) differs from the topic's previous row.
 
-    The index has one row per (topic, minute): a topic's series grows with
-    time, not with post volume, so the per-topic window is calendar-bounded.
+    The index has one row per (topic, minute); the per-topic lag is size-checked
+    (plain window while a topic's series fits one task, ranged chunks beyond).
     """
-    w = Window.partitionBy("topic").orderBy(ts_col)
+    from .ordered import lag_by_key
+
     s = F.signum(F.col("bullish_count") - F.col("bearish_count"))
-    return (index.withColumn("sign", s).withColumn("prev_sign", F.lag("sign").over(w))
-            .filter(F.col("prev_sign").isNotNull() & (F.col("sign") != F.col("prev_sign"))))
+    x = lag_by_key(index.withColumn("sign", s), ["topic"], [ts_col], "sign", "prev_sign",
+                   max_rows_per_key=max_rows_per_key)
+    return x.filter(F.col("prev_sign").isNotNull() & (F.col("sign") != F.col("prev_sign")))
 
 
 # SET1
