@@ -139,3 +139,13 @@ def test_fan_out_feeds_every_sink_once(spark):
     q.awaitTermination()
     assert sorted(r["topic"] for r in spark.read.parquet(lake).collect()) == ["a", "b"]
     assert sorted(r["topic"] for r in kt.read().collect()) == ["a", "b"]
+
+
+def test_stream_static_dimension_join(spark):
+    from tickpulse.operators import joins as J
+    facts = spark.createDataFrame([("A", T0), ("Z", T0)], "symbol string, api_timestamp timestamp")
+    src = scratch_path(spark, "ss-src")
+    facts.write.mode("overwrite").parquet(src)
+    dim = spark.createDataFrame([("A", "Alpha", "Tech")], "symbol string, company_name string, sector string")
+    out = R.run_append(J.dim_join(spark.readStream.schema(facts.schema).parquet(src), dim), "ss")
+    assert sorted((r["symbol"], r["sector"]) for r in out.collect()) == [("A", "Tech"), ("Z", None)]

@@ -85,8 +85,10 @@ SELECT window_start, window_end, topic, count(*) AS tweet_count,
        {_dist()}
 FROM sw WHERE {_EMIT} GROUP BY window_start, window_end, topic""", extra=_SLIDING_ROWS))
 def q_sliding_sentiment(spark, d):
-    """5-minute windows sliding by 1 minute per topic, 10-minute watermark, append."""
-    return R.run_append(W.sliding_sentiment(SS.tweet_stream(spark, d)), "sliding")
+    """5-minute windows sliding by 1 minute per topic, 10-minute watermark,
+    appended to a gold table partitioned by topic."""
+    return R.run_append(W.sliding_sentiment(SS.tweet_stream(spark, d)), "sliding",
+                        partition_by=["topic"])
 
 
 _TUMBLING_SQL = f"""
