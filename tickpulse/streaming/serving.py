@@ -1,14 +1,15 @@
 """Keyed, upsertable serving tables on plain Parquet.
 
-Layout: ``<root>/v=<epoch>/_p=<partition>/part-*.parquet``. Each row's
-partition is a function of its key (for example the date of the key's
-timestamp). A micro-batch (``foreachBatch``) rewrites only the partitions it
-touches: for each touched partition it merges the batch into that partition's
-newest committed version and writes the result under ``v=<epoch>``. Readers
-take, per partition, the highest version whose ``_SUCCESS`` marker exists, so
-a half-written epoch is never visible, and a replayed epoch rewrites the same
-folder from the same base (idempotent by epoch id). Work per batch therefore
-grows with the partitions the batch touches, not with the table.
+Layout: ``<root>/v=<epoch>/_p=<partition>/part-*.parquet`` plus a commit
+manifest ``<root>/_manifest/epoch=<epoch>`` listing the partitions that epoch
+rewrote. Each row's partition is a function of its key (for example the date
+of the key's timestamp). A micro-batch (``foreachBatch``) rewrites only the
+partitions it touches: it merges the batch into each touched partition's
+newest committed version, writes the result under ``v=<epoch>``, and then
+records the epoch in the manifest. Readers follow the manifest only, so a
+half-written version is never visible, and a replayed epoch rewrites its
+version and its manifest entry from the same base (idempotent by epoch id).
+Work per batch grows with the partitions the batch touches, not with the table.
 
 The merge is one ``max_by`` aggregation per key (partial aggregation: a hot
 key is combined map-side): the latest epoch wins, and within an epoch the
@@ -19,9 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _PART = "_p"
+_MANIFEST_SCHEMA = "epoch long, part string"
 
 
 class KeyedTable:
@@ -34,49 +37,51 @@ class KeyedTable:
         # partition value of a row; must depend on key columns only
         self.partition = F.lit("all") if partition is None else partition
 
-    # -- version bookkeeping through the Hadoop file system of the path
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    # -- commit manifest (one tiny folder per epoch, read with Spark)
+    def _manifest(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in (e.getCondition() or "") or "does not exist" in str(e):
+                return None
+            raise
+
+    def _commit(self, epoch: int, parts: Sequence[str]) -> None:
+        rows = [(int(epoch), p) for p in sorted(parts)]
+        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.path}/_manifest/epoch={int(epoch):012d}"))
 
     def layout(self) -> dict[str, list[int]]:
-        """partition folder name -> committed versions holding it (ascending)."""
-        jvm, fs = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        """partition value -> committed versions holding it (ascending)."""
+        m = self._manifest()
         out: dict[str, list[int]] = {}
-        if not fs.exists(root):
+        if m is None:
             return out
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if not (st.isDirectory() and name.startswith("v=")):
-                continue
-            if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                continue
-            v = int(name[2:])
-            for part in fs.listStatus(st.getPath()):
-                pname = part.getPath().getName()
-                if part.isDirectory() and pname.startswith(_PART + "="):
-                    out.setdefault(pname, []).append(v)
+        for r in m.select("part", "epoch").distinct().collect():
+            out.setdefault(f"{_PART}={r['part']}", []).append(int(r["epoch"]))
         for vs in out.values():
             vs.sort()
         return out
 
     def versions(self) -> list[int]:
-        return sorted({v for vs in self.layout().values() for v in vs})
+        m = self._manifest()
+        return [] if m is None else sorted(int(r[0]) for r in m.select("epoch").distinct().collect())
 
     def _vdir(self, v: int) -> str:
         return f"{self.path}/v={v:012d}"
 
     def _paths(self, before: int | None = None, parts: set[str] | None = None) -> list[str]:
-        paths = []
-        for pname, vs in self.layout().items():
-            if parts is not None and pname not in parts:
-                continue
-            vs = [v for v in vs if before is None or v < before]
-            if vs:
-                paths.append(f"{self._vdir(vs[-1])}/{pname}")
-        return sorted(paths)
+        """Newest committed version folder of each (selected) partition: one
+        small aggregation over the manifest, one row per partition back."""
+        m = self._manifest()
+        if m is None:
+            return []
+        if before is not None:
+            m = m.filter(F.col("epoch") < before)
+        if parts is not None:
+            m = m.filter(F.col("part").isin([p.split("=", 1)[1] for p in parts]))
+        latest = m.groupBy("part").agg(F.max("epoch").alias("epoch")).collect()
+        return sorted(f"{self._vdir(int(r['epoch']))}/{_PART}={r['part']}" for r in latest)
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """Current table: newest committed version of every partition."""
@@ -114,6 +119,7 @@ class KeyedTable:
             # REBALANCE: about one file per partition folder, AQE splits a hot one
             (merged.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
              .parquet(self._vdir(epoch)))
+            self._commit(epoch, [t.split("=", 1)[1] for t in touched])
         finally:
             tagged.unpersist()
 
