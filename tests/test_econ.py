@@ -95,3 +95,15 @@ def test_ols_well_conditioned_with_large_offsets(spark):
     beta = np.linalg.lstsq(np.c_[np.ones(n), x - x.mean()], y, rcond=None)[0]
     assert abs(r["coef_x"] - beta[1]) < 1e-6
     assert abs(r["intercept"] - (beta[0] - beta[1] * x.mean())) / abs(beta[1] * x.mean()) < 1e-9
+
+
+def test_grouped_solves_equal_single_series_runs(spark):
+    from tickpulse.sources import testviews as V
+    d = "/root/testdata/sf0.001"
+    panel = E.daily_panel(V.bars_by_priority_v(spark, d), V.label_corpus_by_priority_v(spark, d)).cache()
+    allg = {(r["symbol"], r["feature"], r["lag"]): r["p_value"] for r in E.granger_pvalues(panel).collect()}
+    sym = sorted({k[0] for k in allg})[0]
+    one = {(r["symbol"], r["feature"], r["lag"]): r["p_value"]
+           for r in E.granger_pvalues(panel.filter(F.col("symbol") == sym)).collect()}
+    assert one and all(math.isclose(allg[k], v, rel_tol=1e-9, abs_tol=1e-12) for k, v in one.items())
+    panel.unpersist()

@@ -232,3 +232,69 @@ def q_udaf_agreement(spark, d):
     c = V.label_corpus_v(spark, d).withColumnRenamed("pred_label", "sentiment_label")
     return c.groupBy("symbol").agg(A.bullishness_agg().alias("bullishness"),
                                    A.agreement_agg().alias("agreement"))
+
+
+
+# ---------------------------------------------------------------- five series (by order priority)
+_MULTI_VIEWS = """bars_v AS (
+  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+         arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high,
+         min(o_totalprice) AS low, arg_max(o_totalprice, o_orderkey) AS close,
+         count(*) * 100 AS volume
+  FROM orders GROUP BY 1, 2),
+label_corpus_v AS (
+  SELECT CAST(l_shipdate AS TIMESTAMP) AS created_at,
+         CASE l_returnflag WHEN 'A' THEN 'BULLISH' WHEN 'R' THEN 'BEARISH'
+                           WHEN 'N' THEN 'NEUTRAL' END AS pred_label,
+         o_orderpriority AS symbol
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def multi_sql(body: str) -> str:
+    return "WITH " + _MULTI_VIEWS + ",\n" + _SENT + "\n" + body
+
+
+def _panel_multi(spark, d):
+    return E.daily_panel(V.bars_by_priority_v(spark, d), V.label_corpus_by_priority_v(spark, d))
+
+
+@register("daily_panel_multi", "N10 D01 J04", multi_sql("SELECT " + _PANEL_COLS.format(
+    open=r("open") + " AS open", high=r("high") + " AS high", low=r("low") + " AS low",
+    close=r("close") + " AS close", ret=r("return") + " AS return",
+    ltv=r("log_trading_vol") + " AS log_trading_vol", vol=r("volatility") + " AS volatility",
+    b=r("bullishness") + " AS bullishness", mv=r("msg_volume") + " AS msg_volume",
+    ag=r("agreement") + " AS agreement", cb=r("carried_bullishness") + " AS carried_bullishness",
+    ca=r("carried_agreement") + " AS carried_agreement",
+    cm=r("carried_msg_volume") + " AS carried_msg_volume") + " FROM panel"))
+def q_daily_panel_multi(spark, d):
+    """The aligned daily panel for five series at once (windows per series)."""
+    p = _panel_multi(spark, d)
+    return p.select("symbol", "date", "open", "high", "low", "close", "volume", "return",
+                    "log_trading_vol", "volatility", "pos", "neg", "NEUTRAL", "bullishness",
+                    "msg_volume", "agreement", "carried_bullishness", "carried_agreement",
+                    "carried_msg_volume", "carried_pos", "carried_neg")
+
+
+@register("corr_matrix_multi", "A10", multi_sql("\nUNION ALL\n".join(
+    f"SELECT symbol, '{a}' AS row, '{b}' AS col, {r(f'corr({a}, {b})')} AS r FROM panel GROUP BY symbol"
+    for a in E.SENTIMENT_COLS for b in E.MARKET_COLS)))
+def q_corr_matrix_multi(spark, d):
+    """Sentiment x market correlation block of each of the five series, one pass."""
+    return A.corr_block(_panel_multi(spark, d), E.SENTIMENT_COLS, E.MARKET_COLS, group_cols=("symbol",))
+
+
+@register("granger_pvalues_multi", "N06 WF5")
+def q_granger_pvalues_multi(spark, d):
+    """Granger p-values for every series, feature and lag in one aggregation."""
+    return E.granger_pvalues(_panel_multi(spark, d))
+
+
+@register("ols_fit_predict_multi", "N07 N08 N09 WF6")
+def q_ols_fit_predict_multi(spark, d):
+    """Per-series OLS fit on the first 75 %, R^2 and directional accuracy on the rest."""
+    p = E.chrono_split(_panel_multi(spark, d))
+    coefs = E.ols_by_group(p.filter(F.col("split") == "train"), ["symbol"], _OLS_FEATURES, "return")
+    test = E.predict(p.filter(F.col("split") == "test"), coefs, ["symbol"], _OLS_FEATURES)
+    return test.groupBy("symbol").agg(F.count("*").alias("n_test"),
+                                      E.r2_score("return", "prediction").alias("r2"),
+                                      E.directional_accuracy("return", "prediction").alias("dir_acc"))

@@ -105,3 +105,28 @@ def stock_info_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logits_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.slice("embedding", 1, 3).cast("array<double>").alias("logits"))
+
+
+def bars_by_priority_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily OHLCV bars of five series (one per order priority) from orders."""
+    o = table(spark, sf_dir, "orders")
+    return (o.groupBy(F.col("o_orderpriority").alias("symbol"),
+                      F.col("o_orderdate").cast("date").alias("date"))
+            .agg(F.min_by("o_totalprice", "o_orderkey").alias("open"),
+                 F.max("o_totalprice").alias("high"),
+                 F.min("o_totalprice").alias("low"),
+                 F.max_by("o_totalprice", "o_orderkey").alias("close"),
+                 (F.count("*") * BAR_VOLUME_PER_ORDER).alias("volume")))
+
+
+def label_corpus_by_priority_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled corpus keyed by the order priority of each line's order."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    flag = F.col("l_returnflag")
+    label = None
+    for k, v in RETURNFLAG_LABEL.items():
+        label = F.when(flag == k, v) if label is None else label.when(flag == k, v)
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    return j.select(F.col("l_shipdate").cast("timestamp").alias("created_at"),
+                    label.alias("pred_label"), F.col("o_orderpriority").alias("symbol"))
