@@ -149,3 +149,21 @@ def test_stream_static_dimension_join(spark):
     dim = spark.createDataFrame([("A", "Alpha", "Tech")], "symbol string, company_name string, sector string")
     out = R.run_append(J.dim_join(spark.readStream.schema(facts.schema).parquet(src), dim), "ss")
     assert sorted((r["symbol"], r["sector"]) for r in out.collect()) == [("A", "Tech"), ("Z", None)]
+
+
+def test_late_rows_still_land_in_bronze(spark):
+    src = scratch_path(spark, "lb-src")
+    bronze, agg_out = scratch_path(spark, "lb-bronze"), scratch_path(spark, "lb-agg")
+    ck_b, ck_a = scratch_path(spark, "lb-ckb"), scratch_path(spark, "lb-cka")
+    for i, mins in enumerate([[100, 101], [0, 1]]):  # the second file is entirely late
+        with open(os.path.join(src.replace("file:", ""), f"b{i}.json"), "w") as f:
+            for m in mins:
+                f.write(json.dumps({"topic": "t", "ts": str(T0 + dt.timedelta(minutes=m)), "v": 1.0}) + "\n")
+        s = (spark.readStream.schema(SCHEMA).json(src)
+             .select("topic", F.col("ts").cast("timestamp").alias("api_timestamp"),
+                     F.col("v").alias("sentiment_score")))
+        for q in (R.start_file_sink(s, bronze, ck_b),
+                  R.start_file_sink(W.tumbling_counts(s), agg_out, ck_a)):
+            q.awaitTermination()
+    assert spark.read.parquet(bronze).count() == 4
+    assert spark.read.parquet(agg_out).filter(F.col("window_start") == T0).count() == 0
