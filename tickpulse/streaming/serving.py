@@ -36,6 +36,9 @@ class KeyedTable:
         self.tiebreak = list(tiebreak)
         # partition value of a row; must depend on key columns only
         self.partition = F.lit("all") if partition is None else partition
+        # create the (empty) manifest if absent, so readers always find one
+        (spark.createDataFrame([], _MANIFEST_SCHEMA).write.mode("ignore")
+         .parquet(f"{self.path}/_manifest/epoch={-1:012d}"))
 
     # -- commit manifest (one tiny folder per epoch, read with Spark)
     def _manifest(self) -> DataFrame | None:
