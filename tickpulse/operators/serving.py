@@ -21,10 +21,6 @@ MINUTES_PER_SESSION = 390   # volume divisor (the replay emits 391 ticks)
 SERIES = ("bullish_count", "bearish_count", "neutral_count")
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
 # T01
 def preview_top_n(df: DataFrame, n: int, order: Sequence) -> DataFrame:
     return df.orderBy(*order).limit(n)
