@@ -384,9 +384,13 @@ def _sentiment_index(spark, d):
     return table.read().drop("_epoch")
 
 
-@register("batch_metadata", "P18")
+@register("batch_metadata", "P18", with_views(["tweets_v"], f"""
+SELECT to_timestamp(floor(epoch(api_timestamp) / 300) * 300)::TIMESTAMP AS window_start,
+       topic, count(*) AS tweet_count, 0 AS batch_id, 0 AS epoch
+FROM tweets_v GROUP BY 1, topic"""))
 def q_batch_metadata(spark, d):
-    """Rows tagged with the real micro-batch id and processing time."""
+    """Rows tagged with the real micro-batch id and processing time (one data
+    batch here, so every window carries batch id 0)."""
     epochs, _ = R.run_epochs(W.tumbling_counts(SS.tweet_stream(spark, d)), "metadata", "update",
                              with_metadata=True)
     return epochs.select("window_start", "topic", "tweet_count", "batch_id", "epoch")
