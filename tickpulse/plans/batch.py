@@ -80,7 +80,7 @@ def q_count_semantics(spark, d):
 
 _PIVOT_COLS = ",\n       ".join(
     f"{r(f'coalesce(avg(CASE WHEN topic = {t!r} THEN sentiment_score END), 0)')} AS {t}"
-    for t in TOPICS).replace("'", "'")
+    for t in TOPICS)
 
 
 @register("hourly_pivot", "A08 P08 D02", with_views(["tweets_v"], f"""
