@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -9,15 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    """One local session for the suite; scratch and checkpoints go under the
+    session's spark.checkpoint.dir (a private folder only when it is unset)."""
     from tickpulse.session import get_spark
 
-    s = get_spark("local[4]", 8)
-    yield s
-
-
-@pytest.fixture()
-def tmpdir_path():
-    return tempfile.mkdtemp(prefix="tickpulse-test-")
-
-
-SF_SMALL = "/root/testdata/sf0.001"
+    yield get_spark("local[4]", 8)
