@@ -40,6 +40,8 @@ def apply_stream_conf(spark: SparkSession, shuffle_partitions: int | None = None
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+# with RocksDB, commit only each batch's changes (snapshots are taken in the background)
+_CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 @contextlib.contextmanager
@@ -55,19 +57,21 @@ def state_partitions(spark: SparkSession, n: int | None, rocksdb: bool = False):
     """
     n = n or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    old_provider = spark.conf.get(_PROVIDER_KEY, None)
+    saved = {k: spark.conf.get(k, None) for k in (_PROVIDER_KEY, _CHANGELOG_KEY)}
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     if rocksdb:
         spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
+        spark.conf.set(_CHANGELOG_KEY, "true")
     try:
         yield n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         if rocksdb:
-            if old_provider is None:
-                spark.conf.unset(_PROVIDER_KEY)
-            else:
-                spark.conf.set(_PROVIDER_KEY, old_provider)
+            for k, v in saved.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
