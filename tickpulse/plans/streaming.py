@@ -88,7 +88,7 @@ def q_sliding_sentiment(spark, d):
     """5-minute windows sliding by 1 minute per topic, 10-minute watermark,
     appended to a gold table partitioned by topic."""
     return R.run_append(W.sliding_sentiment(SS.tweet_stream(spark, d)), "sliding",
-                        partition_by=["topic"])
+                        partition_by=["topic"], rocksdb=True)
 
 
 _TUMBLING_SQL = f"""
@@ -145,7 +145,7 @@ _SESSIONS_SELECT = f"""SELECT window_start, window_end, topic, tweets_in_session
 WHERE {_EMIT}""", extra=_SESSIONS_CTE))
 def q_session_activity(spark, d):
     """Session windows (2-minute gap) per topic, streaming append."""
-    return R.run_append(W.session_activity(SS.tweet_stream(spark, d)), "sessions")
+    return R.run_append(W.session_activity(SS.tweet_stream(spark, d)), "sessions", rocksdb=True)
 
 
 @register("session_activity_batch", "W03 P11", with_views(["tweets_v"], _SESSIONS_SELECT,
