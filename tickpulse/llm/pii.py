@@ -197,7 +197,7 @@ def _numbers(text: str, start: int, stop: int, found: dict) -> None:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             size = sum(map(len, four)) + 3
-            if all(len(x := x.lstrip("0")) <= 3 and int(x or 0) <= 255 for x in four):
+            if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in four):
                 found["ip"].append((p, p + size))
             p += size + 1
         at = end + 1
