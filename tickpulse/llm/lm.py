@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import written
 
-#: Characters of text in a block, about.
-BLOCK_CHARS = 16_000_000
+#: Bytes of text in a block, about; bytes of text whose n-grams, on average, meet in one range of hashes.
+BLOCK_CHARS = 5_000_000
+RANGE_CHARS = 16_000_000
 CONTEXT_BUCKETS = 24
 #: One in so many training documents is held out to learn the weights.
 DELETED = 10
@@ -260,7 +261,7 @@ def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     """doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score of every text, in
     log10. ``train`` is a condition on the input's columns."""
     packed = _pack(docs, id_col, text_col, train)
-    ranges = max(1, packed.agg(F.ceil(F.sum(F.expr("length(sizes) + 3 * length(texts)")) / BLOCK_CHARS)).first()[0] or 1)
+    ranges = max(1, packed.agg(F.ceil(F.sum(F.expr("length(sizes) + 3 * length(texts)")) / RANGE_CHARS)).first()[0] or 1)
     replies = written(_total(_send(packed, int(ranges))), "lm-counts")
     stats = replies.where("block < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kept_tokens", "types")]).first()
     n_all, n_kept, types = int(stats["tokens"]), int(stats["kept_tokens"]), int(stats["types"])
