@@ -86,10 +86,10 @@ def _next_keys(ids: DataFrame) -> DataFrame:
 
 def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document with its edited text: the last floor(n_chars / 2) code points replaced by the first as many
-    of the next document. key, doc_id, text, edited, next_likeness."""
+    of the next document. doc_id, text, edited, next_likeness (the id -2 ** 63 stands for null)."""
     null_key = "-9223372036854775808"
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
-        .withColumn("key", F.coalesce("doc_id", F.lit(null_key).cast("long"))).select("key", "doc_id", "text")
+        .withColumn("key", F.coalesce("doc_id", F.lit(null_key).cast("long"))).select("key", "text")
     # 'need': the longest prefix that a row of this key takes; 'speaks': the text that speaks for the key.
     ids = written(docs.groupBy("key").agg(F.max(F.floor(F.length("text") / 2)).alias("need"),
                                           F.min(F.xxhash64("text")).alias("speaks")), "fp-ids")
@@ -97,13 +97,15 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     speaks = ids.select(F.col("key").alias("next_key"), "speaks")
     steps = steps.join(speaks, "next_key").select(F.col("key").alias("for_key"), "next_key", "need", "speaks")
     # Each document meets the one before it, which takes a prefix of its text, and goes on to that one.
-    sent = docs.join(steps, (docs["key"] == steps["next_key"]) & (F.xxhash64("text") == F.col("speaks"))) \
+    # 'speaks' is the smallest hash, so <= is =; but it leaves the key alone as the join's key, and both joins share
+    # one shuffle of the texts.
+    sent = docs.join(steps, (docs["key"] == steps["next_key"]) & (F.xxhash64("text") <= F.col("speaks"))) \
         .select("for_key", F.expr("substring(text, 1, cast(need as int))").alias("prefix"), "text") \
         .withColumn("next_likeness", F.expr(_like("text"))).drop("text")
     sent = sent.groupBy("for_key").agg(F.first("prefix").alias("prefix"), F.first("next_likeness").alias("next_likeness"))
     half = "cast(floor(length(text) / 2) as int)"
     return docs.join(sent, docs["key"] == sent["for_key"]).select(
-        "doc_id", "text", "next_likeness",
+        F.expr(f"nullif(key, {null_key})").alias("doc_id"), "text", "next_likeness",
         F.expr(f"concat(substring(text, 1, length(text) - {half}), substring(prefix, 1, {half}))").alias("edited"))
 
 
