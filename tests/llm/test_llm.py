@@ -301,7 +301,7 @@ def test_toxicity_learns_and_leaves_clean_texts(spark):
         if toxic:
             for _ in range(3):
                 w.insert(rng.randrange(len(w)), rng.choice(["blarg", "zorkam", "zorkel", "zorkin"]))
-        elif i % 41 == 0:
+        elif i % 83 == 0:
             w.insert(3, "blarg plant")
         rows.append((i, " ".join(w), int(toxic)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
