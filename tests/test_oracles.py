@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import duckdb
 import pytest
@@ -36,12 +37,13 @@ def test_entry_runs(spark):
     assert df.columns[0] == "topic" and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# training-text queries without SQL have tests of their own
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in SQL or not re.match(r"op\d+_|pipeline$", n)))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
     rows = [tuple(_norm(x) for x in r) for r in df.collect()]
     if name not in SQL:
-        assert len(rows) >= 0
+        assert rows and len({len(r) for r in rows}) == 1
         return
     cur = con.execute(SQL[name])
     cols = [c[0] for c in cur.description]

@@ -2,8 +2,9 @@
 
 All of these are algebraic or sketch-based (partial + final aggregation), so
 a hot group is pre-aggregated map-side and never gathered into one task.
-Quantiles use ``percentile_approx`` (a mergeable sketch), never a sort of
-the whole group.
+Quantiles are exact: counts per (group, value) are spread over ranges, and
+only the ranges that hold a target rank are looked into, so no task sees a
+whole group.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import scratch_path
 from ..functions.scalar import BEARISH_AT, BULLISH_AT, _c
 
 
@@ -28,34 +30,71 @@ def topic_totals(df: DataFrame, group_col="topic", value_col="sentiment_score")
         F.count("*").alias("total_tweets"), F.avg(value_col).alias("avg_sentiment"))
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: Sequence[float]) -> DataFrame:
+    """``keys`` and an array ``_q``: for each p the smallest value whose rank is at least p * count.
+
+    Nulls don't count; a group of nulls has no row. Rows are counted per (group, value) before the shuffle, and
+    the counts dealt by value ranges; a range's share of a group is one number, which tells where each target
+    rank lies. Only those ranges are then summed up value by value.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    counts = (df.select(*keys, F.col(value_col).alias("_v")).where("_v IS NOT NULL")
+              .groupBy(*keys, "_v").agg(F.count("*").alias("_n")))
+    ranged = counts.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id())
+    path = scratch_path(spark, "quantile-counts")
+    ranged.write.mode("overwrite").parquet(path)  # fixes the ranges for both passes
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    group = Window.partitionBy(*keys)
+    before = F.sum("_m").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = (ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_m"))
+             .withColumn("_before", F.coalesce(before, F.lit(0)))
+             .withColumn("_total", F.sum("_m").over(group)))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.lit(1), F.ceil(F.col("_total") * F.lit(p))).alias("rank"))
+                      for i, p in enumerate(probs)])
+    targets = (parts.withColumn("_t", F.explode(ranks))
+               .where("_t.rank > _before AND _t.rank <= _before + _m")
+               .select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col("_part").alias("_p"), "_before", "_t"))
+    same = F.col("_part") == F.col("_p")
+    for n, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{n}"))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_part", "_t.i").orderBy("_v")
+                                               .rowsBetween(Window.unboundedPreceding, 0))
+    found = (ranged.join(targets, same).withColumn("_upto", upto)
+             .where("_upto >= _t.rank AND _upto - _n < _t.rank"))
+    return found.groupBy(*keys).agg(F.array(*[F.max(F.when(F.col("_t.i") == i, F.col("_v"))) for i in range(len(probs))]).alias("_q"))
+
+
+def _with_quantiles(df: DataFrame, stats: DataFrame, keys: list, value_col: str, probs) -> DataFrame:
+    """``stats`` (one row a group) and the groups' quantiles; both sides have a row for each group."""
+    q = exact_quantiles(df, keys, value_col, probs).select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], "_q")
+    same = F.lit(True)
+    for n, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{n}"))
+    return stats.join(q, same, "left").drop(*[f"_k{n}" for n in range(len(keys))])
+
+
 # A02
-def topic_statistics(df: DataFrame, group_col="topic", value_col="sentiment_score",
-                     accuracy: int = 10000) -> DataFrame:
-    """count, mean, sample stddev, approx median and approx p95 per group."""
-    v = F.col(value_col)
-    keys = _cols(group_col)
-    out = df.groupBy(*keys).agg(
+def topic_statistics(df: DataFrame, group_col="topic", value_col="sentiment_score") -> DataFrame:
+    """count, mean, sample stddev, median and p95 (exact, discrete) per group."""
+    v, keys = F.col(value_col), _cols(group_col)
+    stats = df.groupBy(*keys).agg(
         F.count("*").alias("total_tweets"),
         F.avg(v).alias("mean_sentiment"),
         F.stddev(v).alias("volatility"),
-        # one sketch per group, read at both ranks
-        F.percentile_approx(v, [0.5, 0.95], accuracy).alias("_q"),
     )
-    return out.select(*keys, "total_tweets", "mean_sentiment", "volatility",
-                      F.col("_q")[0].alias("median_sentiment"),
-                      F.col("_q")[1].alias("top_95_percentile"))
+    return _with_quantiles(df, stats, keys, value_col, [0.5, 0.95]).select(
+        *keys, "total_tweets", "mean_sentiment", "volatility",
+        F.col("_q")[0].alias("median_sentiment"), F.col("_q")[1].alias("top_95_percentile"))
 
 
 # A03
-def descriptive_stats(df: DataFrame, value_col="sentiment_score", group_col="topic",
-                      accuracy: int = 10000) -> DataFrame:
-    """mean, median, std_dev, variance, min, max, range, q1, q3, iqr per group."""
-    v = F.col(value_col)
-    q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
-    return (df.groupBy(*_cols(group_col))
-            .agg(F.avg(v).alias("mean"), q.alias("_q"),
-                 F.stddev(v).alias("std_dev"), F.variance(v).alias("variance"),
-                 F.min(v).alias("min_value"), F.max(v).alias("max_value"))
+def descriptive_stats(df: DataFrame, value_col="sentiment_score", group_col="topic") -> DataFrame:
+    """mean, median, std_dev, variance, min, max, range, q1, q3, iqr (exact, discrete) per group."""
+    v, keys = F.col(value_col), _cols(group_col)
+    stats = df.groupBy(*keys).agg(
+        F.avg(v).alias("mean"), F.stddev(v).alias("std_dev"), F.variance(v).alias("variance"),
+        F.min(v).alias("min_value"), F.max(v).alias("max_value"))
+    return (_with_quantiles(df, stats, keys, value_col, [0.25, 0.5, 0.75])
             .withColumn("median", F.col("_q")[1])
             .withColumn("range", F.col("max_value") - F.col("min_value"))
             .withColumn("q1", F.col("_q")[0])
