@@ -112,14 +112,19 @@ def test_interval_join_bounds_inclusive(spark):
     del day
 
 
-def test_dim_join_keeps_unknown_and_broadcasts(spark):
+def test_dim_join_keeps_unknown_and_leaves_broadcast_to_spark(spark):
     f = spark.createDataFrame([("A",), ("Z",)], "symbol string")
     d = spark.createDataFrame([("A", "Alpha", "Tech")], "symbol string, company_name string, sector string")
     out = J.dim_join(f, d)
     assert sorted((r["symbol"], r["sector"]) for r in out.collect()) == [("A", "Tech"), ("Z", None)]
-    assert "Broadcast" in SV.explain_string(out)
-    big = J.broadcast_if_small(d, 0)
-    assert "Broadcast" not in SV.explain_string(f.join(big, "symbol", "left").hint("merge"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, broadcast in (("10m", True), ("-1", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            small = J.dim_join(f, spark.range(3).selectExpr("string(id) AS symbol"))
+            assert ("BroadcastHashJoin" in SV.explain_string(small)) is broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_agreement_edges(spark):
@@ -150,12 +155,14 @@ def test_latest_per_key_and_top_k(spark):
     assert "TakeOrderedAndProject" in SV.explain_string(top, "simple")
 
 
-def test_optimize_dataframe_partitions_and_cache(spark):
-    df = spark.range(100).withColumn("k", F.col("id") % 3)
-    assert SV.optimize_dataframe(df, ["k"], 4).rdd.getNumPartitions() == 4
-    assert SV.optimize_dataframe(df, None, 6, coalesce_to=2).rdd.getNumPartitions() == 2
+def test_deal_partitions_and_cache(spark):
+    df = spark.range(1000).withColumn("k", F.lit(1))
+    assert SV.deal(df, ["k"], partitions=4).rdd.getNumPartitions() == 4
+    assert SV.deal(df, partitions=6, merge_to=2).rdd.getNumPartitions() == 2
+    sizes = SV.deal(df, ["k"], partitions=8, spread=8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 1000
     cached, n = SV.cache_and_count(df)
-    assert n == 100 and cached.is_cached
+    assert n == 1000 and cached.is_cached
     cached.unpersist()
 
 
@@ -209,14 +216,14 @@ def test_random_and_row_ids(spark):
     assert rows[0]["r"] == rows[1]["r"] and rows[0]["u"] != rows[1]["u"]
 
 
-def test_pivot_explicit_values_and_cap(spark):
-    import pytest
+def test_pivot_explicit_values_and_many_columns(spark):
     df = spark.createDataFrame([(T0, "A", 1.0), (T0, "B", 3.0), (T0 + dt.timedelta(hours=1), "A", 2.0)],
                                "ingest_timestamp timestamp, topic string, sentiment_score double")
     got = {r["hour"]: (r["A"], r["B"]) for r in A.hourly_pivot(df, values=["A", "B"]).collect()}
     assert got[T0] == (1.0, 3.0) and got[T0 + dt.timedelta(hours=1)] == (2.0, 0.0)
-    with pytest.raises(ValueError):
-        A.hourly_pivot(df, max_columns=1)
+    many = spark.range(1200).select(F.lit(T0).alias("ingest_timestamp"), F.col("id").cast("string").alias("topic"),
+                                    F.lit(1.0).alias("sentiment_score"))
+    assert len(A.hourly_pivot(many).columns) == 1201
     long = SV.unpivot_wide(A.hourly_pivot(df), ["hour"], "topic", "avg")
     assert long.count() == 4
 
@@ -230,3 +237,25 @@ def test_lag_by_key_paths_agree(spark):
     b = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p", chunk_rows=41, num_ranges=5,
                                                     max_rows_per_key=0).collect()}
     assert a == b
+
+
+def test_daily_label_pivot_keeps_every_label(spark):
+    df = spark.createDataFrame([(T0, "BULLISH"), (T0, "UNSURE"), (T0, "UNSURE"), (T0, None)],
+                               "created_at timestamp, pred_label string")
+    got = A.daily_label_pivot(df).first().asDict()
+    assert (got["pos"], got["neg"], got["NEUTRAL"], got["UNSURE"], got["null"]) == (1, 0, 0, 2, 1)
+
+
+def test_exact_quantiles_equal_sorting(spark):
+    rng = np.random.default_rng(9)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 1999), (None, 50)) for v in rng.integers(0, 40, n)]
+    rows += [("d", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.25, 0.5, 0.95]
+    got = {r["g"]: r["_q"] for r in A.exact_quantiles(df.repartition(5), ["g"], "v", probs).collect()}
+    for g in ("a", "b", "c", None):
+        vs = sorted(v for k, v in rows if k == g and v is not None)
+        assert got[g] == [vs[max(1, int(np.ceil(p * len(vs)))) - 1] for p in probs]
+    assert "d" not in got
+    stats = {r["topic"]: r for r in A.topic_statistics(df.selectExpr("g AS topic", "v AS sentiment_score")).collect()}
+    assert len(stats) == 5 and stats["d"]["median_sentiment"] is None and stats[None]["median_sentiment"] == got[None][1]

@@ -168,7 +168,7 @@ def lexicon_sum(text, lexicon: dict | None = None) -> Column:
     Tokens are looked up in a map literal inside ``aggregate``; unknown
     tokens add 0. A map lookup scans the map's keys, so this suits small
     lexicons (the built-in one has 60 words); large lexicons go through
-    ``lexicon_sentiment_join`` (explode + checked-broadcast join).
+    ``lexicon_sentiment_join`` (explode + lexicon join).
     """
     lex = _lexicon_map(DEFAULT_LEXICON if lexicon is None else lexicon)
     toks = F.split(F.lower(_c(text)), TOKEN_SPLIT)
@@ -190,19 +190,16 @@ def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
 
 
 def lexicon_sentiment_join(df: DataFrame, lexicon_df: DataFrame, id_col: str,
-                           text_col: str = "text",
-                           broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                           text_col: str = "text") -> DataFrame:
     """M02 for large lexicons given as a table ``(word, weight)``.
 
-    Tokens are exploded and joined to the lexicon; the lexicon is broadcast
-    only after its row count is checked, otherwise a shuffle join is used.
+    Tokens are exploded and joined to the lexicon, which Spark broadcasts where
+    its bytes are under the session's threshold.
     Only matching tokens reach the (partially aggregated) group-by.
     """
-    from ..operators.joins import broadcast_if_small
-
     toks = (df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("word"))
             .filter(F.col("word") != ""))
-    lex = broadcast_if_small(lexicon_df.select("word", "weight"), broadcast_max_rows)
+    lex = lexicon_df.select("word", "weight")
     sums = (toks.join(lex, "word").groupBy(id_col).agg(F.sum("weight").alias("lexicon_sum")))
     out = (df.join(sums, id_col, "left")
            .withColumn("lexicon_sum", F.when(F.col(text_col).isNotNull(),

@@ -161,35 +161,37 @@ def count_semantics(df: DataFrame, group_col, id_col) -> DataFrame:
 
 # A08
 def hourly_pivot(df: DataFrame, time_col="ingest_timestamp", pivot_col="topic",
-                 value_col="sentiment_score", values: Sequence[str] | None = None,
-                 max_columns: int = 1000) -> DataFrame:
+                 value_col="sentiment_score", values: Sequence[str] | None = None) -> DataFrame:
     """rows = hour, columns = pivot values, cell = avg, missing -> 0.
 
-    Pass ``values`` to skip the distinct job; without them the distinct
-    values are computed (a bounded, per-key result) and capped at
-    ``max_columns`` with an error rather than a silent cut.
+    Pass ``values`` to skip the distinct job; without them every value gets a
+    column (NULL the column "null"), up to Spark's ``spark.sql.pivotMaxValues``.
     """
     g = df.withColumn("hour", F.date_trunc("hour", F.col(time_col))).groupBy("hour")
-    if values is None:
-        values = distinct_values(df, pivot_col, max_columns)
-    return g.pivot(pivot_col, list(values)).agg(F.avg(value_col)).na.fill(0)
+    wide = g.pivot(pivot_col) if values is None else g.pivot(pivot_col, list(values))
+    return wide.agg(F.avg(value_col)).na.fill(0)
 
 
-def distinct_values(df: DataFrame, col: str, max_values: int) -> list:
-    vals = [r[0] for r in df.select(col).distinct().limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} distinct values; pass them explicitly")
-    return sorted(v for v in vals if v is not None)
+def distinct_values(df: DataFrame, col: str) -> list:
+    """Sorted values of a column that name output columns (a header line holds all of them anyway)."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
 
 
 # A09
 def daily_label_pivot(df: DataFrame, time_col="created_at", label_col="pred_label",
                       group_cols=(), labels=("BULLISH", "BEARISH", "NEUTRAL"),
                       rename=None) -> DataFrame:
-    """rows = date, columns = label counts (fill 0); BULLISH->pos, BEARISH->neg."""
+    """rows = date, columns = label counts (fill 0); BULLISH->pos, BEARISH->neg.
+
+    ``labels`` always have a column; any other label found has one too, after them.
+    """
     rename = {"BULLISH": "pos", "BEARISH": "neg"} if rename is None else rename
-    out = (df.withColumn("date", F.to_date(F.col(time_col)))
-           .groupBy(*group_cols, "date").pivot(label_col, list(labels)).count().na.fill(0))
+    keys = [*group_cols, "date"]
+    wide = (df.withColumn("date", F.to_date(F.col(time_col)))
+            .groupBy(*keys).pivot(label_col).count().na.fill(0))
+    wide = wide.withColumns({c: F.lit(0).cast("long") for c in labels if c not in wide.columns})
+    others = [c for c in wide.columns if c not in keys and c not in labels]
+    out = wide.select(*keys, *[F.col(f"`{c}`") for c in [*labels, *others]])
     for old, new in rename.items():
         out = out.withColumnRenamed(old, new)
     return out

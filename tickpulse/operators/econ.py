@@ -136,17 +136,13 @@ def _solve_ssr(row: pd.Series, idx: Sequence[int]) -> tuple[np.ndarray | None, f
     return beta, max(ssr, 0.0)
 
 
-def center_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str],
-                    max_broadcast_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def center_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Subtract each group's mean from ``cols`` (better-conditioned Gram sums).
 
-    Means come from one aggregation (one row per group) joined back, with a
-    broadcast only after a size check. Returns (centred rows, means).
+    Means come from one aggregation (one row per group) joined back. Returns (centred rows, means).
     """
-    from .joins import broadcast_if_small
-
     means = df.groupBy(*group_cols).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    j = df.join(broadcast_if_small(means, max_broadcast_rows), list(group_cols))
+    j = df.join(means, list(group_cols))
     centred = j.withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in cols})
     return centred.drop(*[f"_m_{c}" for c in cols]), means
 

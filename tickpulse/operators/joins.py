@@ -1,8 +1,8 @@
 """Joins: interval (J01/J02), dimension (J03), daily equi (J04), multi-way.
 
 Scale notes
-* Broadcast only behind a row-count check (``broadcast_if_small``); above
-  the bound the planner keeps a shuffle join.
+* No broadcast hints: Spark broadcasts a side whose measured bytes are under
+  its threshold and keeps a shuffle join above it.
 * The interval join never keys on the symbol alone: posts are bucketed by
   day and each price is copied to the three day buckets it can meet, so the
   join key is (symbol, day[, salt]). A hot symbol is spread over its days,
@@ -19,16 +19,6 @@ from ..schemas import SILVER_COLUMNS
 DAY_SECONDS = 86400
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when the side has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit``), so it is cheap
-    whatever the side's real size.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def interval_join(tweets: DataFrame, prices: DataFrame, before_s: int = DAY_SECONDS,
                   after_s: int = DAY_SECONDS, salt: int = 1,
                   strategy: str | None = None) -> DataFrame:
@@ -66,10 +56,10 @@ def interval_join(tweets: DataFrame, prices: DataFrame, before_s: int = DAY_SECO
                     F.col("p.volume")).select(*SILVER_COLUMNS)
 
 
-def dim_join(facts: DataFrame, dim: DataFrame, key: str = "symbol",
-             max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Left join to a dimension; unknown keys keep NULL attributes."""
-    return facts.join(broadcast_if_small(dim, max_broadcast_rows), key, "left")
+def dim_join(facts: DataFrame, dim: DataFrame, key: str = "symbol") -> DataFrame:
+    """Left join to a dimension; unknown keys keep NULL attributes. Spark broadcasts the dimension where its
+    bytes are under the session's threshold."""
+    return facts.join(dim, key, "left")
 
 
 def daily_join(a: DataFrame, b: DataFrame, on=("symbol", "date")) -> DataFrame:
@@ -77,11 +67,9 @@ def daily_join(a: DataFrame, b: DataFrame, on=("symbol", "date")) -> DataFrame:
     return a.join(b, list(on), "inner")
 
 
-def multi_join(tweets: DataFrame, prices: DataFrame, dim: DataFrame,
-               max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Posts x prices (interval, sort-merge) x dimension (checked broadcast)."""
-    silver = interval_join(tweets, prices, strategy="merge")
-    return dim_join(silver, dim, "symbol", max_broadcast_rows)
+def multi_join(tweets: DataFrame, prices: DataFrame, dim: DataFrame, salt: int = 4) -> DataFrame:
+    """Posts x prices (interval, sort-merge, hot symbols over ``salt`` tasks) x dimension."""
+    return dim_join(interval_join(tweets, prices, salt=salt, strategy="merge"), dim)
 
 
 def bucketed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:

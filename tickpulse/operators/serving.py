@@ -130,17 +130,21 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 
 
 # O01
-def optimize_dataframe(df: DataFrame, partition_cols: Sequence[str] | None = None,
-                       num_partitions: int = 4, coalesce_to: int | None = None,
-                       persist: bool = False) -> DataFrame:
-    """Hash-repartition by key (or round-robin), optionally coalesce / persist."""
-    out = (df.repartition(num_partitions, *partition_cols) if partition_cols
-           else df.repartition(num_partitions))
-    if coalesce_to:
-        out = out.coalesce(coalesce_to)
-    if persist:
-        out = out.persist()
-    return out
+def deal(df: DataFrame, keys: Sequence[str] = (), *, spread: int = 1, partitions: int | None = None,
+         merge_to: int | None = None, keep: bool = False) -> DataFrame:
+    """Rows dealt over partitions by ``keys``, a key's rows over ``spread`` of them; evenly without keys.
+
+    ``partitions`` defaults to the session's shuffle setting (which AQE may
+    adapt); ``merge_to`` joins partitions afterwards without a shuffle; ``keep`` persists the result.
+    """
+    by = [F.col(k) for k in keys]
+    if by and spread > 1:
+        by.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    if not by and partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartition(*([partitions] if partitions else []), *by)
+    out = out.coalesce(merge_to) if merge_to else out
+    return out.persist() if keep else out
 
 
 # O02

@@ -197,7 +197,7 @@ SELECT topic, count(*) AS total_tweets, {r('avg(sentiment_score)')} AS avg_senti
 FROM tweets_v GROUP BY topic"""))
 def q_repartitioned(spark, d):
     """Hash-repartitioned by topic first; the aggregate then needs no new shuffle."""
-    t = SV.optimize_dataframe(V.tweets_v(spark, d), ["topic"], 4)
+    t = SV.deal(V.tweets_v(spark, d), ["topic"], spread=4)
     return A.topic_totals(t)
 
 
@@ -282,7 +282,7 @@ SELECT symbol, date, {r('open')} AS open, {r('high')} AS high, {r('low')} AS low
 def q_csv_two_level(spark, d):
     """Daily per-symbol bars written as a wide two-header-row CSV and read back long."""
     bars = _daily_prices(spark, d)
-    symbols = A.distinct_values(bars, "symbol", 100_000)
+    symbols = A.distinct_values(bars, "symbol")
     path = scratch_path(spark, "csv-two-level")
     FS.write_two_level_csv(bars, path, symbols)
     return FS.read_two_level_csv(spark, path).filter(F.col("open").isNotNull())
