@@ -24,9 +24,8 @@ def test_distribution_thresholds(spark):
 def test_moving_average_is_eleven_rows(spark):
     rows = [("t", T0 + dt.timedelta(minutes=i), str(i).zfill(3), float(i)) for i in range(12)]
     df = spark.createDataFrame(rows, "topic string, ts timestamp, id string, v double")
-    for limit in (None, 0):
-        out = ordered.moving_average(df, ["topic"], ["ts", "id"], "v", "ma", preceding=10,
-                                     max_rows_per_key=limit)
+    for chunk in (1 << 20, 11):
+        out = ordered.moving_average(df, ["topic"], ["ts", "id"], "v", "ma", preceding=10, chunk_rows=chunk)
         last = out.orderBy(F.col("ts").desc()).first()
         assert abs(last["ma"] - np.mean(range(1, 12))) < 1e-12
 
@@ -40,7 +39,7 @@ def test_ordered_scan_matches_plain_window_with_hot_key(spark):
     df = spark.createDataFrame(pdf)
     # tiny chunks and many ranges force halos and cross-partition prefixes
     got = ordered.moving_average(df, ["topic"], ["ts", "id"], "v", "ma", preceding=10,
-                                 chunk_rows=37, num_ranges=13, max_rows_per_key=0)
+                                 chunk_rows=37, num_ranges=13)
     w = Window.partitionBy("topic").orderBy("ts", "id").rowsBetween(-10, 0)
     want = df.withColumn("ma", F.avg("v").over(w))
     a = {r["id"]: r["ma"] for r in got.select("id", "ma").collect()}
@@ -56,9 +55,8 @@ def test_sessions_gap_rule_and_skew_safe_form(spark):
     batch = W.session_activity(df, watermark=None).orderBy("window_start").collect()
     assert [r["tweets_in_session"] for r in batch] == [2, 1]
     assert batch[0]["window_end"] == T0 + dt.timedelta(minutes=4)
-    for limit in (0, None):  # forced ranged path, then the size-checked default
-        s = ordered.sessions(df, ["topic"], "api_timestamp", "uuid", 120.0, chunk_rows=2, num_ranges=3,
-                             max_rows_per_key=limit)
+    for chunk in (2, 1 << 20):
+        s = ordered.sessions(df, ["topic"], "api_timestamp", "uuid", 120.0, chunk_rows=chunk, num_ranges=3)
         sizes = sorted(r["count"] for r in s.groupBy("_session").count().collect())
         assert sizes == [1, 2]
 
@@ -70,8 +68,7 @@ def test_sessions_random_against_pandas(spark):
                         "secs": np.sort(rng.integers(0, 200000, n))})
     pdf["api_timestamp"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(pdf["secs"], unit="s")
     df = spark.createDataFrame(pdf[["topic", "uuid", "api_timestamp"]])
-    got = ordered.sessions(df, ["topic"], "api_timestamp", "uuid", 120.0, chunk_rows=50, num_ranges=7,
-                           max_rows_per_key=0)
+    got = ordered.sessions(df, ["topic"], "api_timestamp", "uuid", 120.0, chunk_rows=50, num_ranges=7)
     got_sizes = sorted(r["count"] for r in got.groupBy("topic", "_session").count().collect())
     plain = ordered.sessions(df, ["topic"], "api_timestamp", "uuid", 120.0)
     assert sorted(r["count"] for r in plain.groupBy("topic", "_session").count().collect()) == got_sizes
@@ -234,8 +231,7 @@ def test_lag_by_key_paths_agree(spark):
     pdf = pd.DataFrame({"k": rng.choice(["HOT", "HOT", "a", "b"], n), "t": np.arange(n), "v": rng.normal(size=n)})
     df = spark.createDataFrame(pdf)
     a = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p").collect()}
-    b = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p", chunk_rows=41, num_ranges=5,
-                                                    max_rows_per_key=0).collect()}
+    b = {r["t"]: r["p"] for r in ordered.lag_by_key(df, ["k"], ["t"], "v", "p", chunk_rows=41, num_ranges=5).collect()}
     assert a == b
 
 

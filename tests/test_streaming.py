@@ -7,10 +7,11 @@ import time
 
 from pyspark.sql import functions as F
 
+from tickpulse.operators.serving import explain_string
 from tickpulse.session import scratch_path
 from tickpulse.streaming import ops as W
 from tickpulse.streaming import runner as R
-from tickpulse.streaming.serving import KeyedTable
+from tickpulse.streaming.serving import EpochLog
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "topic string, ts string, v double"
@@ -43,29 +44,31 @@ def test_late_row_dropped_two_batches_later(spark):
     assert first[0]["tweet_count"] == 3
 
 
-def test_keyed_upsert_latest_wins_and_replay_is_idempotent(spark):
-    path = scratch_path(spark, "kt")
-    kt = KeyedTable(spark, path, ["topic", "ts"])
+def test_epoch_log_latest_wins_and_replay_is_idempotent(spark):
+    log = EpochLog(spark, scratch_path(spark, "kt"), ["topic", "ts"])
     b1 = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "topic string, ts long, v double")
     b2 = spark.createDataFrame([("a", 1, 9.0)], "topic string, ts long, v double")
-    kt.upsert(b1, 0)
-    kt.upsert(b2, 1)
+    log.append(b1, 0)
+    log.append(b2, 1)
     want = {("a", 1): 9.0, ("b", 1): 2.0}
-    assert {(r["topic"], r["ts"]): r["v"] for r in kt.read().collect()} == want
-    kt.upsert(b2, 1)  # replayed epoch rewrites the same version from the same base
-    assert {(r["topic"], r["ts"]): r["v"] for r in kt.read().collect()} == want
-    assert kt.versions() == [0, 1]
-
-
-def test_keyed_upsert_rewrites_only_touched_partitions(spark):
-    path = scratch_path(spark, "ktp")
-    kt = KeyedTable(spark, path, ["topic", "day"], partition=F.col("day"))
-    kt.upsert(spark.createDataFrame([("a", "d1", 1.0), ("a", "d2", 2.0)], "topic string, day string, v double"), 0)
-    kt.upsert(spark.createDataFrame([("a", "d2", 5.0), ("b", "d3", 7.0)], "topic string, day string, v double"), 1)
-    lay = kt.layout()
-    assert lay == {"_p=d1": [0], "_p=d2": [0, 1], "_p=d3": [1]}
-    got = {(r["topic"], r["day"]): (r["v"], r["_epoch"]) for r in kt.read().collect()}
+    assert {(r["topic"], r["ts"]): r["v"] for r in log.read().collect()} == want
+    log.append(b2, 1)  # a replayed epoch overwrites its own folder
+    assert {(r["topic"], r["ts"]): r["v"] for r in log.read().collect()} == want
+    assert log.last_epoch() == 1 and log.rows().count() == 3
+
+
+def test_epoch_log_reads_prune_partitions_and_compaction_keeps_the_table(spark):
+    log = EpochLog(spark, scratch_path(spark, "ktp"), ["topic", "day"], partition=F.col("day"))
+    log.append(spark.createDataFrame([("a", "d1", 1.0), ("a", "d2", 2.0)], "topic string, day string, v double"), 0)
+    log.append(spark.createDataFrame([("a", "d2", 5.0), ("b", "d3", 7.0)], "topic string, day string, v double"), 1)
+    got = {(r["topic"], r["day"]): (r["v"], r["_epoch"]) for r in log.read().collect()}
     assert got == {("a", "d1"): (1.0, 0), ("a", "d2"): (5.0, 1), ("b", "d3"): (7.0, 1)}
+    one = log.read(F.col("_p") == "d2")
+    assert "PartitionFilters: [isnotnull(_p" in explain_string(one)
+    assert [(r["topic"], r["v"]) for r in one.collect()] == [("a", 5.0)]
+    small = log.compact(scratch_path(spark, "ktc"))
+    assert small.rows().count() == 3
+    assert {(r["topic"], r["day"]): r["v"] for r in small.read().collect()} == {k: v for k, (v, _) in got.items()}
 
 
 def test_stream_batch_equivalence_sliding(spark):
@@ -132,7 +135,7 @@ def test_fan_out_feeds_every_sink_once(spark):
     src = scratch_path(spark, "fo-src")
     df.write.mode("overwrite").parquet(src)
     lake = scratch_path(spark, "fo-lake")
-    kt = KeyedTable(spark, scratch_path(spark, "fo-kt"), ["topic"])
+    kt = EpochLog(spark, scratch_path(spark, "fo-kt"), ["topic"])
     q = R.start_foreach_batch(spark.readStream.schema(df.schema).parquet(src),
                               R.fan_out(R.epoch_table_writer(lake, ["topic"]), kt.foreach_batch()),
                               scratch_path(spark, "fo-ck"), "append")

@@ -31,21 +31,6 @@ from pyspark.sql.window import WindowSpec
 from ..session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 1 << 20
-# Largest key (rows) a plain per-key window may hold in one task.
-DEFAULT_MAX_ROWS_PER_KEY = 5_000_000
-
-
-def largest_key_rows(df: DataFrame, part_cols: Sequence[str]) -> int:
-    """Row count of the largest key: one partially aggregated count, one scalar back."""
-    r = df.groupBy(*part_cols).count().agg(F.max("count")).first()[0]
-    return int(r or 0)
-
-
-def use_ranged(df: DataFrame, part_cols: Sequence[str], max_rows_per_key: int | None) -> bool:
-    """True when some key exceeds ``max_rows_per_key`` (0 forces the ranged path)."""
-    if max_rows_per_key is None:
-        max_rows_per_key = DEFAULT_MAX_ROWS_PER_KEY
-    return max_rows_per_key <= 0 or largest_key_rows(df, part_cols) > max_rows_per_key
 
 
 def _num_ranges(df: DataFrame, n: int | None) -> int:
@@ -115,17 +100,10 @@ def rows_frame(df: DataFrame, part_cols: Sequence[str], idx_col: str, preceding:
 
 def moving_average(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence,
                    value_col: str, out_col: str = "moving_avg", preceding: int = 10,
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS, num_ranges: int | None = None,
-                   max_rows_per_key: int | None = None) -> DataFrame:
-    """avg(value) over ``rowsBetween(-preceding, 0)`` per key.
-
-    Size-checked: when every key fits ``max_rows_per_key`` a plain per-key
-    window is used; otherwise (or with 0) the ranged, chunked path, whose
-    groups are bounded by a range partition / chunk whatever a key's size.
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS, num_ranges: int | None = None) -> DataFrame:
+    """avg(value) over ``rowsBetween(-preceding, 0)`` per key; groups are bounded
+    by a range partition / chunk whatever a key's size.
     """
-    if not use_ranged(df, part_cols, max_rows_per_key):
-        w = Window.partitionBy(*part_cols).orderBy(*order_cols).rowsBetween(-preceding, 0)
-        return df.withColumn(out_col, F.avg(value_col).over(w))
     x = with_global_index(df, part_cols, order_cols, "_g", num_ranges)
     out = rows_frame(x, part_cols, "_g", preceding,
                      lambda w: {out_col: F.avg(value_col).over(w.rowsBetween(-preceding, 0))},
@@ -135,12 +113,8 @@ def moving_average(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence
 
 def lag_by_key(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence, col: str,
                out_col: str, offset: int = 1, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-               num_ranges: int | None = None, max_rows_per_key: int | None = None) -> DataFrame:
-    """``lag(col, offset)`` per key in ``order_cols`` order, size-checked like
-    ``moving_average`` (plain window for small keys, ranged chunks beyond)."""
-    if not use_ranged(df, part_cols, max_rows_per_key):
-        w = Window.partitionBy(*part_cols).orderBy(*order_cols)
-        return df.withColumn(out_col, F.lag(col, offset).over(w))
+               num_ranges: int | None = None) -> DataFrame:
+    """``lag(col, offset)`` per key in ``order_cols`` order, over ranged chunks."""
     x = with_global_index(df, part_cols, order_cols, "_g", num_ranges)
     out = rows_frame(x, part_cols, "_g", offset,
                      lambda w: {out_col: F.lag(col, offset).over(w)}, chunk_rows)
@@ -149,25 +123,15 @@ def lag_by_key(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence, co
 
 def sessions(df: DataFrame, part_cols: Sequence[str], ts_col: str, tiebreak_col: str,
              gap_seconds: float, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-             num_ranges: int | None = None, session_col: str = "_session",
-             max_rows_per_key: int | None = None) -> DataFrame:
+             num_ranges: int | None = None, session_col: str = "_session") -> DataFrame:
     """Number sessions per key: a new session starts when the time since the
     previous row is greater than ``gap_seconds`` (equal gaps stay together).
 
     Returns the input rows plus ``session_col`` (a per-key session number);
     aggregate with ``groupBy(*part_cols, session_col)`` (partial aggregation,
-    so even one very long session is combined map-side). Size-checked like
-    ``moving_average``: small keys use a plain per-key window.
+    so even one very long session is combined map-side).
     """
     secs = F.col(ts_col).cast("double")
-    if not use_ranged(df, part_cols, max_rows_per_key):
-        w = Window.partitionBy(*part_cols).orderBy(ts_col, tiebreak_col)
-        prev = F.lag(secs, 1).over(w)
-        flag = F.when(prev.isNull() | ((secs - prev) > gap_seconds), 1).otherwise(0)
-        return (df.withColumn("_flag", flag)
-                .withColumn(session_col, F.sum("_flag").over(
-                    w.rowsBetween(Window.unboundedPreceding, 0)))
-                .drop("_flag"))
     x = with_global_index(df, part_cols, [ts_col, tiebreak_col], "_g", num_ranges)
     g = F.col("_g")
     home = F.floor(g / chunk_rows)

@@ -71,18 +71,15 @@ def trailing_window(df: DataFrame, ts_col: str, minutes: int = 15, now=None) ->
 
 
 # T06
-def crossovers(index: DataFrame, ts_col: str = "ingest_timestamp",
-               max_rows_per_key: int | None = None) -> DataFrame:
+def crossovers(index: DataFrame, ts_col: str = "ingest_timestamp") -> DataFrame:
     """Rows where sign(bullish - bearish) differs from the topic's previous row.
 
-    The index has one row per (topic, minute); the per-topic lag is size-checked
-    (plain window while a topic's series fits one task, ranged chunks beyond).
+    The index has one row per (topic, minute); the per-topic lag runs over ranged chunks.
     """
     from .ordered import lag_by_key
 
     s = F.signum(F.col("bullish_count") - F.col("bearish_count"))
-    x = lag_by_key(index.withColumn("sign", s), ["topic"], [ts_col], "sign", "prev_sign",
-                   max_rows_per_key=max_rows_per_key)
+    x = lag_by_key(index.withColumn("sign", s), ["topic"], [ts_col], "sign", "prev_sign")
     return x.filter(F.col("prev_sign").isNotNull() & (F.col("sign") != F.col("prev_sign")))
 
 

@@ -18,7 +18,7 @@ from ..sources import testviews as V
 from ..streaming import ops as W
 from ..streaming import runner as R
 from ..streaming import sources as SS
-from ..streaming.serving import KeyedTable
+from ..streaming.serving import EpochLog
 from .joins import silver_sql
 from .registry import r, register
 from .sqlviews import with_views
@@ -151,22 +151,20 @@ def q_session_activity(spark, d):
 @register("session_activity_batch", "W03 P11", with_views(["tweets_v"], _SESSIONS_SELECT,
                                                           extra=_SESSIONS_CTE))
 def q_session_activity_batch(spark, d):
-    """The same sessions over a whole table (size-checked: ranged when a topic
-    exceeds the per-task row budget)."""
-    return _batch_sessions(spark, d, None)
+    """The same sessions over a whole table."""
+    return _batch_sessions(spark, d)
 
 
 @register("session_activity_ranged", "W03 P11", with_views(["tweets_v"], _SESSIONS_SELECT,
                                                            extra=_SESSIONS_CTE))
 def q_session_activity_ranged(spark, d):
-    """Batch sessions forced through the ranged, chunked path."""
-    return _batch_sessions(spark, d, 0)
+    """Batch sessions over small chunks, so that sessions cross many chunk edges."""
+    return _batch_sessions(spark, d, chunk_rows=1000)
 
 
-def _batch_sessions(spark, d, max_rows_per_key):
+def _batch_sessions(spark, d, **chunks):
     t = V.tweets_v(spark, d).select("topic", "uuid", "api_timestamp", "sentiment_score")
-    s = ordered.sessions(t, ["topic"], "api_timestamp", "uuid", 120.0,
-                         max_rows_per_key=max_rows_per_key)
+    s = ordered.sessions(t, ["topic"], "api_timestamp", "uuid", 120.0, **chunks)
     ts = F.col("api_timestamp")
     out = s.groupBy("topic", "_session").agg(
         F.min(ts).alias("window_start"),
@@ -183,7 +181,7 @@ _JOIN_EMIT = ("window_end <= least((SELECT max(api_timestamp) FROM tweets_by_use
               "(SELECT max(trade_timestamp) FROM prices_v)) - INTERVAL 2 MINUTE - INTERVAL 1 DAY")
 
 
-def _join_stream(spark, d, salt=1):
+def _join_stream(spark, d, salt=4):
     return W.interval_join_stream(SS.user_tweet_stream(spark, d), SS.price_stream(spark, d), salt=salt)
 
 
@@ -194,7 +192,7 @@ def q_interval_join_stream(spark, d):
     """Stream-stream interval join (+/-1 day, 2-minute watermarks) to silver;
     join state keyed by (symbol, day, salt) so a hot symbol spreads out, and
     held in the RocksDB state store."""
-    return R.run_append(_join_stream(spark, d, salt=4), "silver", rocksdb=True)
+    return R.run_append(_join_stream(spark, d), "silver", rocksdb=True)
 
 
 _W02_SQL = f"""
@@ -324,13 +322,12 @@ def q_serving_tweets_upsert(spark, d):
     """Posts upserted into a (topic, api_timestamp)-keyed serving table, then a
     replay of part of the stream in a later epoch, then that epoch re-run:
     neither replay changes the table."""
-    table = KeyedTable(spark, scratch_path(spark, "serving-tweets"), ["topic", "api_timestamp"],
-                       tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
+    table = EpochLog(spark, scratch_path(spark, "serving-tweets"), ["topic", "api_timestamp"],
+                     tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
     _staged(spark, "serving-tweets", _dup_stages(spark, d), lambda s, ck: R.start_foreach_batch(
         s.select(*SERVING_TWEET_COLUMNS), table.foreach_batch(), ck, "append"))
-    last = max(table.versions())
     replay = SS.tweets_from_messages(_dup_stages(spark, d)[1]).select(*SERVING_TWEET_COLUMNS)
-    table.upsert(replay, last)  # a re-executed epoch rewrites its own version from the same base
+    table.append(replay, table.last_epoch())  # a re-executed epoch overwrites its own folder
     return table.read().select(*SERVING_TWEET_COLUMNS)
 
 
@@ -342,8 +339,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp
       FROM prices_v) t WHERE rn = 1"""))
 def q_serving_prices_upsert(spark, d):
     """Prices upserted into a (symbol, trade_timestamp)-keyed serving table."""
-    table = KeyedTable(spark, scratch_path(spark, "serving-prices"), ["symbol", "trade_timestamp"],
-                       tiebreak=["close_price", "volume"], partition=F.to_date("trade_timestamp"))
+    table = EpochLog(spark, scratch_path(spark, "serving-prices"), ["symbol", "trade_timestamp"],
+                     tiebreak=["close_price", "volume"], partition=F.to_date("trade_timestamp"))
     q = R.start_foreach_batch(SS.price_stream(spark, d).select(*SERVING_PRICE_COLUMNS),
                               table.foreach_batch(), scratch_path(spark, "serving-prices-ckpt"),
                               "append")
@@ -374,8 +371,8 @@ def _sentiment_index(spark, d):
         F.sha2(F.concat_ws("|", "topic", F.date_format("w.end", "yyyy-MM-dd HH:mm:ss")), 256).alias("uuid"),
         "topic", F.col("w.end").alias("ingest_timestamp"), "sentiment_score_avg",
         "bullish_count", "bearish_count", "neutral_count")
-    table = KeyedTable(spark, scratch_path(spark, "sentiment-index"), ["topic", "ingest_timestamp"],
-                       partition=F.to_date("ingest_timestamp"))
+    table = EpochLog(spark, scratch_path(spark, "sentiment-index"), ["topic", "ingest_timestamp"],
+                     partition=F.to_date("ingest_timestamp"))
     q = R.start_foreach_batch(idx, table.foreach_batch(), scratch_path(spark, "sentiment-index-ckpt"),
                               "update")
     q.awaitTermination()
@@ -412,9 +409,9 @@ def q_score_once_fanout(spark, d):
     scored = MSG.enrich_tweets(dec, scorer_factory=LexiconLogitScorer,
                                ingest_ts=F.col("api_timestamp"), uuid_col=F.col("event_id"))
     bronze = scratch_path(spark, "fanout-bronze")
-    table = KeyedTable(spark, scratch_path(spark, "fanout-serving"), ["topic", "api_timestamp"],
-                       tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
-    serve = lambda b, e: table.upsert(b.select(*SERVING_TWEET_COLUMNS), e)
+    table = EpochLog(spark, scratch_path(spark, "fanout-serving"), ["topic", "api_timestamp"],
+                     tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
+    serve = lambda b, e: table.append(b.select(*SERVING_TWEET_COLUMNS), e)
     q = R.start_foreach_batch(scored.drop("value", "event_id"),
                               R.fan_out(R.epoch_table_writer(bronze, ["topic"]), serve),
                               scratch_path(spark, "fanout-ckpt"), "append")

@@ -42,6 +42,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 # with RocksDB, commit only each batch's changes (snapshots are taken in the background)
 _CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+# session windows: a hot key's rows become sessions in each task before they are shuffled
+_LOCAL_SESSIONS_KEY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 @contextlib.contextmanager
@@ -57,8 +59,9 @@ def state_partitions(spark: SparkSession, n: int | None, rocksdb: bool = False):
     """
     n = n or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    saved = {k: spark.conf.get(k, None) for k in (_PROVIDER_KEY, _CHANGELOG_KEY)}
+    saved = {k: spark.conf.get(k, None) for k in (_PROVIDER_KEY, _CHANGELOG_KEY, _LOCAL_SESSIONS_KEY)}
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set(_LOCAL_SESSIONS_KEY, "true")
     if rocksdb:
         spark.conf.set(_PROVIDER_KEY, ROCKSDB_PROVIDER)
         spark.conf.set(_CHANGELOG_KEY, "true")
@@ -66,12 +69,11 @@ def state_partitions(spark: SparkSession, n: int | None, rocksdb: bool = False):
         yield n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-        if rocksdb:
-            for k, v in saved.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",

@@ -1,133 +1,60 @@
-"""Keyed, upsertable serving tables on plain Parquet.
-
-Layout: ``<root>/v=<epoch>/_p=<partition>/part-*.parquet`` plus a commit
-manifest ``<root>/_manifest/epoch=<epoch>`` listing the partitions that epoch
-rewrote. Each row's partition is a function of its key (for example the date
-of the key's timestamp). A micro-batch (``foreachBatch``) rewrites only the
-partitions it touches: it merges the batch into each touched partition's
-newest committed version, writes the result under ``v=<epoch>``, and then
-records the epoch in the manifest. Readers follow the manifest only, so a
-half-written version is never visible, and a replayed epoch rewrites its
-version and its manifest entry from the same base (idempotent by epoch id).
-Work per batch grows with the partitions the batch touches, not with the table.
-
-The merge is one ``max_by`` aggregation per key (partial aggregation: a hot
-key is combined map-side): the latest epoch wins, and within an epoch the
-larger tie-break value wins.
+"""Keyed serving logs on plain Parquet.
+
+``foreachBatch`` appends each micro-batch as the folder ``<root>/_epoch=<id>/_p=<partition>`` and overwrites that
+folder when the epoch is replayed, so a replay changes nothing. A read takes the newest row of every key: one
+``max_by`` aggregation (a hot key is combined map-side) in which the latest epoch wins, and within an epoch the
+larger tie-break value. A condition on ``_p`` (for example the date of the key's timestamp) prunes folders before
+the scan. Work per batch is the batch's own rows; nothing is read back or collected. ``compact`` is the batch job that
+writes the newest rows as the first epoch of a new log.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_PART = "_p"
-_MANIFEST_SCHEMA = "epoch long, part string"
+PARTITION, EPOCH = "_p", "_epoch"
 
 
-class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 tiebreak: Sequence[str] = (), partition: Column | None = None):
+class EpochLog:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], tiebreak: Sequence[str] = (),
+                 partition: Column | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.tiebreak = list(tiebreak)
         # partition value of a row; must depend on key columns only
         self.partition = F.lit("all") if partition is None else partition
-        # create the (empty) manifest if absent, so readers always find one
-        (spark.createDataFrame([], _MANIFEST_SCHEMA).write.mode("ignore")
-         .parquet(f"{self.path}/_manifest/epoch={-1:012d}"))
-
-    # -- commit manifest (one tiny folder per epoch, read with Spark)
-    def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in (e.getCondition() or "") or "does not exist" in str(e):
-                return None
-            raise
 
-    def _commit(self, epoch: int, parts: Sequence[str]) -> None:
-        rows = [(int(epoch), p) for p in sorted(parts)]
-        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/_manifest/epoch={int(epoch):012d}"))
-
-    def layout(self) -> dict[str, list[int]]:
-        """partition value -> committed versions holding it (ascending)."""
-        m = self._manifest()
-        out: dict[str, list[int]] = {}
-        if m is None:
-            return out
-        for r in m.select("part", "epoch").distinct().collect():
-            out.setdefault(f"{_PART}={r['part']}", []).append(int(r["epoch"]))
-        for vs in out.values():
-            vs.sort()
+    def append(self, batch: DataFrame, epoch: int) -> None:
+        # folder-safe value; values that map to the same folder share it (reads are by key)
+        part = F.regexp_replace(F.coalesce(self.partition.cast("string"), F.lit("null")), "[^A-Za-z0-9_.-]", "_")
+        # REBALANCE: about one file per partition folder, AQE splits a hot one
+        (batch.withColumn(PARTITION, part).hint("rebalance", PARTITION).write.mode("overwrite")
+         .partitionBy(PARTITION).parquet(f"{self.path}/{EPOCH}={int(epoch):012d}"))
+
+    def foreach_batch(self) -> Callable[[DataFrame, int], None]:
+        """``writeStream.foreachBatch(log.foreach_batch())``."""
+        return self.append
+
+    def rows(self) -> DataFrame:
+        """Every appended row, with its epoch and partition."""
+        return self.spark.read.parquet(self.path)
+
+    def last_epoch(self) -> int:
+        return int(self.rows().agg(F.max(EPOCH)).first()[0])
+
+    def read(self, where: Column | str | None = None) -> DataFrame:
+        """The newest row of each key and its epoch; ``where``: a condition on ``_p`` or the keys."""
+        rows = self.rows() if where is None else self.rows().where(where)
+        payload = [c for c in rows.columns if c not in (*self.keys, PARTITION)]
+        newest = rows.groupBy(*self.keys).agg(
+            F.max_by(F.struct(*payload), F.struct(EPOCH, *self.tiebreak)).alias("_row"))
+        return newest.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
+
+    def compact(self, path: str) -> EpochLog:
+        """A new log whose first epoch holds the newest rows of this one."""
+        out = EpochLog(self.spark, path, self.keys, self.tiebreak, self.partition)
+        out.append(self.read().drop(EPOCH), 0)
         return out
-
-    def versions(self) -> list[int]:
-        m = self._manifest()
-        return [] if m is None else sorted(int(r[0]) for r in m.select("epoch").distinct().collect())
-
-    def _vdir(self, v: int) -> str:
-        return f"{self.path}/v={v:012d}"
-
-    def _paths(self, before: int | None = None, parts: set[str] | None = None) -> list[str]:
-        """Newest committed version folder of each (selected) partition: one
-        small aggregation over the manifest, one row per partition back."""
-        m = self._manifest()
-        if m is None:
-            return []
-        if before is not None:
-            m = m.filter(F.col("epoch") < before)
-        if parts is not None:
-            m = m.filter(F.col("part").isin([p.split("=", 1)[1] for p in parts]))
-        latest = m.groupBy("part").agg(F.max("epoch").alias("epoch")).collect()
-        return sorted(f"{self._vdir(int(r['epoch']))}/{_PART}={r['part']}" for r in latest)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """Current table: newest committed version of every partition."""
-        paths = self._paths(before)
-        return self.spark.read.parquet(*paths) if paths else None
-
-    # -- merge
-    def merge(self, base: DataFrame | None, batch: DataFrame, epoch: int) -> DataFrame:
-        cols = [c for c in batch.columns if c not in ("_epoch", _PART)]
-        new = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch)).cast("long"))
-        allrows = new if base is None else base.select(*cols, "_epoch").unionByName(new)
-        order = F.struct(F.col("_epoch"), *[F.col(c) for c in self.tiebreak])
-        payload = [c for c in cols if c not in self.keys] + ["_epoch"]
-        merged = allrows.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*payload), order).alias("_row"))
-        return merged.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
-
-    def _part_col(self) -> Column:
-        # folder-safe partition value: characters Spark never escapes in paths
-        # (values that map to the same folder simply share it; merges are by key)
-        return F.regexp_replace(F.coalesce(self.partition.cast("string"), F.lit("null")),
-                                "[^A-Za-z0-9_.-]", "_")
-
-    def upsert(self, batch: DataFrame, epoch: int) -> None:
-        # the batch is read twice (touched partitions, merge): keep it for the epoch
-        tagged = batch.withColumn(_PART, self._part_col()).persist()
-        try:
-            # the partitions this batch touches: one small distinct per batch
-            touched = {f"{_PART}={r[0]}" for r in tagged.select(_PART).distinct().collect()}
-            if not touched:
-                return
-            base_paths = self._paths(before=epoch, parts=touched)
-            base = self.spark.read.parquet(*base_paths) if base_paths else None
-            merged = self.merge(base, tagged.drop(_PART), epoch).withColumn(_PART, self._part_col())
-            # REBALANCE: about one file per partition folder, AQE splits a hot one
-            (merged.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
-             .parquet(self._vdir(epoch)))
-            self._commit(epoch, [t.split("=", 1)[1] for t in touched])
-        finally:
-            tagged.unpersist()
-
-    def foreach_batch(self):
-        """``writeStream.foreachBatch(table.foreach_batch())``."""
-        def fn(batch: DataFrame, epoch_id: int) -> None:
-            self.upsert(batch, epoch_id)
-        return fn
