@@ -72,11 +72,13 @@ def test_ols_predict_r2_diracc_match_numpy(spark):
     assert abs(m["da"] - np.mean(np.sign(yhat) == np.sign(y))) < 1e-12
 
 
-def test_singular_design_gives_null(spark):
+def test_singular_design_has_the_shortest_fit(spark):
     df = spark.createDataFrame([("G", 1.0, 1.0, 2.0), ("G", 2.0, 2.0, 3.0), ("G", 3.0, 3.0, 5.0)],
                                "g string, a double, b double, y double")
     r = E.ols_by_group(df, ["g"], ["a", "b"], "y").first()
-    assert r["intercept"] is None
+    beta = np.linalg.lstsq(np.array([[-1.0, -1.0], [0.0, 0.0], [1.0, 1.0]]), np.array([2.0, 3.0, 5.0]), rcond=None)[0]
+    assert abs(r["coef_a"] - beta[0]) < 1e-9 and abs(r["coef_b"] - beta[1]) < 1e-9
+    assert abs(r["intercept"] - (10 / 3 - 2 * beta.sum())) < 1e-9
 
 
 def test_chrono_split_75_percent(spark):

@@ -6,7 +6,7 @@ import duckdb
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"ols_fit_predict", "ols_fit_predict_multi", "granger_pvalues", "granger_pvalues_multi"}
+ROWS_ONLY = {"granger_pvalues", "granger_pvalues_multi"}
 SF = "/root/testdata/sf0.001"
 
 

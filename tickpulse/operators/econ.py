@@ -4,8 +4,8 @@
 Daily series hold one row per (symbol, day), so symbol-partitioned windows
 over them are bounded by the calendar, not by data volume. Regressions never
 pull a series to the driver: OLS and Granger tests are one partial
-aggregation of Gram sums (sum z_i z_j, sum z_i y, sum y^2) per group, then a
-tiny solve on that single summary row per group (``applyInPandas``).
+aggregation of co-moments per group, then a tiny solve on that single
+summary row per group (``applyInPandas``).
 """
 
 from __future__ import annotations
@@ -107,75 +107,71 @@ def lag_columns(df: DataFrame, cols: Sequence[str], max_lag: int, group_col="sym
     return df.withColumns({"_rn": F.row_number().over(w), **lags})
 
 
-# ----------------------------------------------------------------- Gram sums
-def _gram_aggs(z: Sequence[Column], y: Column) -> list[Column]:
-    k = len(z)
-    aggs = [F.count("*").alias("n")]
-    for i in range(k):
-        for j in range(i, k):
-            aggs.append(F.sum(z[i] * z[j]).alias(f"zz_{i}_{j}"))
-        aggs.append(F.sum(z[i] * y).alias(f"zy_{i}"))
-    aggs.append(F.sum(y * y).alias("yy"))
+# ----------------------------------------------------------------- co-moments
+def _comoments(z: Sequence[Column], y: Column) -> list[Column]:
+    """Row count, and centred sums of products of the regressors ``z`` and ``y`` (co-moment aggregates merge
+    stably, so no means are needed beforehand)."""
+    n = F.count("*")
+    aggs = [n.alias("n"), (F.var_pop(y) * n).alias("yy")]
+    for i, a in enumerate(z):
+        aggs += [(F.covar_pop(a, b) * n).alias(f"zz_{i}_{j}") for j, b in enumerate(z) if j >= i]
+        aggs.append((F.covar_pop(a, y) * n).alias(f"zy_{i}"))
     return aggs
 
 
-def _solve_ssr(row: pd.Series, idx: Sequence[int]) -> tuple[np.ndarray | None, float | None]:
-    """Least squares on the Gram sums restricted to regressors ``idx``."""
-    k = len(idx)
-    xtx = np.empty((k, k))
-    xty = np.empty(k)
-    for a, i in enumerate(idx):
-        xty[a] = row[f"zy_{i}"]
-        for b, j in enumerate(idx):
-            lo, hi = min(i, j), max(i, j)
-            xtx[a, b] = row[f"zz_{lo}_{hi}"]
-    if not np.all(np.isfinite(xtx)) or np.linalg.matrix_rank(xtx) < k:
-        return None, None
-    beta = np.linalg.solve(xtx, xty)
-    ssr = float(row["yy"] - beta @ xty)
-    return beta, max(ssr, 0.0)
+def _comoments_by_sums(df: DataFrame, keys: Sequence[str], z: Sequence[Column], y: Column) -> DataFrame:
+    """The same per ``keys`` from plain sums, which compile to less code than so many co-moments; for columns whose
+    means are near 0, so that nothing cancels."""
+    v = [*z, y]
+    sums = df.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(a).alias(f"s_{i}") for i, a in enumerate(v)],
+                                 *[F.sum(a * b).alias(f"p_{i}_{j}") for i, a in enumerate(v) for j, b in enumerate(v) if j >= i])
+    k = len(z)
 
+    def name(i: int, j: int) -> str:
+        return f"zz_{i}_{j}" if j < k else f"zy_{i}" if i < k else "yy"
 
-def center_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Subtract each group's mean from ``cols`` (better-conditioned Gram sums).
+    return sums.select(*keys, "n", *[
+        (F.col(f"p_{i}_{j}") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("n")).alias(name(i, j))
+        for i in range(k + 1) for j in range(i, k + 1)])
 
-    Means come from one aggregation (one row per group) joined back. Returns (centred rows, means).
-    """
-    means = df.groupBy(*group_cols).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    j = df.join(means, list(group_cols))
-    centred = j.withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in cols})
-    return centred.drop(*[f"_m_{c}" for c in cols]), means
+
+def _solve_ssr(row: pd.Series, idx: Sequence[int]) -> tuple[np.ndarray, float]:
+    """Least squares with an intercept on the centred sums of regressors ``idx``: slopes and the residuals' sum of
+    squares. Of the fits of a singular system it is the one with the shortest slopes."""
+    xtx = np.array([[row[f"zz_{min(i, j)}_{max(i, j)}"] for j in idx] for i in idx], float)
+    xty = np.array([row[f"zy_{i}"] for i in idx], float)
+    size = np.sqrt(np.diag(xtx))
+    size[size == 0] = 1.0
+    unit = xtx / np.outer(size, size)  # correlations: rank is judged free of the columns' scales
+    if np.linalg.matrix_rank(unit, hermitian=True) == len(idx):
+        beta = np.linalg.solve(unit, xty / size) / size
+    else:
+        beta = np.linalg.pinv(xtx, rcond=1e-12, hermitian=True) @ xty
+    return beta, max(float(row["yy"] - beta @ xty), 0.0)
 
 
 def ols_by_group(df: DataFrame, group_cols: Sequence[str], features: Sequence[str],
                  label: str) -> DataFrame:
     """OLS with intercept per group; returns ``intercept`` and ``coef_<f>``.
 
-    Rows with a NULL label or feature are skipped. Columns are centred per
-    group first; slopes come from the centred Gram sums and the intercept from
-    the means. Singular systems give NULLs.
+    Rows with a NULL label or feature are skipped. One aggregation gives each
+    group's means and co-moments; a singular system has the least-squares fit
+    of the shortest slopes.
     """
     cols = [label, *features]
     clean = df.na.drop(subset=cols).select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols])
-    centred, means = center_by_group(clean, group_cols, cols)
-    z = [F.lit(1.0)] + [F.col(f) for f in features]
-    sums = centred.groupBy(*group_cols).agg(*_gram_aggs(z, F.col(label))).join(means, list(group_cols))
+    sums = clean.groupBy(*group_cols).agg(*_comoments([F.col(f) for f in features], F.col(label)),
+                                          *[F.avg(c).alias(f"_m_{c}") for c in cols])
     names = ["intercept"] + [f"coef_{f}" for f in features]
     schema = ", ".join([*(f"{g} string" for g in group_cols), "n long",
                         *(f"{c} double" for c in names)])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        beta, _ = _solve_ssr(row, list(range(len(names))))
-        out = {g: [str(row[g])] for g in group_cols}
-        out["n"] = [int(row["n"])]
-        if beta is not None:
-            # intercept of the original columns: mean(y) - b . mean(x) (+ the centred intercept)
-            beta = beta.copy()
-            beta[0] += row[f"_m_{label}"] - sum(beta[i + 1] * row[f"_m_{f}"] for i, f in enumerate(features))
-        for i, c in enumerate(names):
-            out[c] = [None if beta is None else float(beta[i])]
-        return pd.DataFrame(out)
+        beta, _ = _solve_ssr(row, range(len(features)))
+        intercept = row[f"_m_{label}"] - sum(b * row[f"_m_{f}"] for b, f in zip(beta, features))
+        return pd.DataFrame([[*(str(row[g]) for g in group_cols), int(row["n"]), float(intercept), *map(float, beta)]],
+                            columns=[*group_cols, "n", *names])
 
     return sums.groupBy(*group_cols).applyInPandas(solve, schema)
 
@@ -190,13 +186,10 @@ def predict(df: DataFrame, coefs: DataFrame, group_cols: Sequence[str],
 
 
 def r2_score(y: str, yhat: str) -> Column:
-    """1 - sum((y-yhat)^2) / sum((y-mean(y))^2) (aggregate expression).
-
-    Computed from sums: SS_tot = sum(y^2) - (sum y)^2 / n.
-    """
+    """1 - sum((y-yhat)^2) / sum((y-mean(y))^2) (aggregate expression)."""
     yc, pc = F.col(y), F.col(yhat)
     ss_res = F.sum((yc - pc) * (yc - pc))
-    ss_tot = F.sum(yc * yc) - F.sum(yc) * F.sum(yc) / F.count(yc)
+    ss_tot = F.var_pop(yc) * F.count(yc)
     return 1 - F.try_divide(ss_res, ss_tot)
 
 
@@ -234,17 +227,17 @@ def granger_pvalues(panel: DataFrame, target: str = "return",
     unrestricted adds x_1..x_L; stat = n (SSR_r - SSR_u) / SSR_u, p = chi2_sf(stat, L).
     """
     cols = [target, *features]
-    # centring is a shift: with an intercept both SSRs are unchanged, the sums better conditioned
-    centred, _ = center_by_group(panel.select(group_col, date_col, *cols), [group_col], cols)
+    # centring is a shift (SSRs are unchanged); its window has the lags' partitioning, so it costs no shuffle
+    whole = Window.partitionBy(group_col)
+    centred = panel.select(group_col, date_col, *[(F.col(c) - F.avg(c).over(whole)).alias(c) for c in cols])
     lagged = lag_columns(centred, cols, max_lag, group_col, date_col)
     combos = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.lit(L).alias("lag"))
         for f in features for L in range(1, max_lag + 1)])).alias("c")
     x = lagged.select("*", combos).select("*", "c.feature", "c.lag").drop("c")
-    # regressor slots: 0 = const, 1..max_lag = y lags, max_lag+1.. = x lags (unused -> 0)
-    z = [F.lit(1.0)]
-    z += [F.when(F.col("lag") >= i, F.col(f"{target}_lag{i}")).otherwise(F.lit(0.0))
-          for i in range(1, max_lag + 1)]
+    # regressor slots: max_lag y lags, then max_lag x lags (unused -> 0)
+    z = [F.when(F.col("lag") >= i, F.col(f"{target}_lag{i}")).otherwise(F.lit(0.0))
+         for i in range(1, max_lag + 1)]
     for i in range(1, max_lag + 1):
         xi = None
         for f in features:
@@ -253,20 +246,20 @@ def granger_pvalues(panel: DataFrame, target: str = "return",
         z.append(F.when(F.col("lag") >= i, xi).otherwise(F.lit(0.0)))
     usable = (F.col("_rn") > F.col("lag"))
     x = x.filter(usable)
-    sums = x.groupBy(group_col, "feature", "lag").agg(*_gram_aggs(z, F.col(target)))
+    sums = _comoments_by_sums(x, [group_col, "feature", "lag"], z, F.col(target))
     schema = (f"{group_col} string, feature string, lag int, n_obs long, "
               "ssr_restricted double, ssr_full double, chi2 double, p_value double")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
         L = int(row["lag"])
-        own = list(range(0, L + 1))
-        full = own + list(range(max_lag + 1, max_lag + 1 + L))
+        own = list(range(L))
+        full = own + list(range(max_lag, max_lag + L))
         _, ssr_r = _solve_ssr(row, own)
         _, ssr_u = _solve_ssr(row, full)
         n = int(row["n"])
         stat = p = None
-        if ssr_r is not None and ssr_u is not None and ssr_u > 0:
+        if ssr_u > 0:
             stat = n * (ssr_r - ssr_u) / ssr_u
             p = chi2_sf(stat, L)
         return pd.DataFrame({group_col: [str(row[group_col])], "feature": [row["feature"]],

@@ -112,15 +112,21 @@ def q_log_return(spark, d):
     return E.market_measures(V.bars_v(spark, d)).select("symbol", "date", "return")
 
 
-@register("carried_features", "WF3", study_sql(f"""
+_CARRIED_SQL = f"""
 SELECT symbol, date, {r('carried_bullishness')} AS carried_bullishness,
        {r('carried_agreement')} AS carried_agreement,
        {r('carried_msg_volume')} AS carried_msg_volume, carried_pos, carried_neg
-FROM carried"""))
+FROM carried"""
+
+
+@register("carried_features", "WF3", study_sql(_CARRIED_SQL))
 def q_carried_features(spark, d):
     """Lag-1 sentiment over the joined trading days (before dropping NULL rows)."""
-    m = E.market_measures(V.bars_v(spark, d))
-    j = m.join(_sent(spark, d), ["symbol", "date"])
+    return _carried(V.bars_v(spark, d), V.label_corpus_v(spark, d))
+
+
+def _carried(bars, corpus):
+    j = E.market_measures(bars).join(E.daily_sentiment(corpus), ["symbol", "date"])
     w = Window.partitionBy("symbol").orderBy("date")
     return j.select("symbol", "date", *[F.lag(c).over(w).alias(f"carried_{c}") for c in E.CARRIED])
 
@@ -158,11 +164,14 @@ def q_corr_matrix(spark, d):
     return A.corr_block(p, E.SENTIMENT_COLS, E.MARKET_COLS, group_cols=("symbol",))
 
 
-@register("chrono_split", "WF6", study_sql("""
+_SPLIT_SQL = """
 SELECT symbol, date, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date)
                                <= floor(count(*) OVER (PARTITION BY symbol) * 0.75)
                           THEN 'train' ELSE 'test' END AS split
-FROM panel"""))
+FROM panel"""
+
+
+@register("chrono_split", "WF6", study_sql(_SPLIT_SQL))
 def q_chrono_split(spark, d):
     """First 75% of each symbol's panel rows (by date) train, the rest test."""
     return E.chrono_split(_panel(spark, d)).select("symbol", "date", "split")
@@ -176,39 +185,72 @@ _PERSIST = """scored AS (
   FROM panel)"""
 
 
-def _persistence(spark, d):
-    p = E.chrono_split(_panel(spark, d))
+def _persistence(panel):
+    """Test rows with the previous day's return as the forecast."""
     w = Window.partitionBy("symbol").orderBy("date")
-    return p.withColumn("y", F.col("return")).withColumn("yhat", F.lag("return").over(w))
+    s = E.chrono_split(panel).withColumn("y", F.col("return")).withColumn("yhat", F.lag("return").over(w))
+    return s.filter((F.col("split") == "test") & F.col("yhat").isNotNull())
+
+
+_R2_SQL = f""", {_PERSIST}
+SELECT symbol, {r('1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y))')} AS r2
+FROM scored WHERE split = 'test' AND yhat IS NOT NULL GROUP BY symbol"""
 
 
-@register("r2_score", "N08", study_sql(f""", {_PERSIST}
-SELECT symbol, {r('1 - sum((y - yhat) * (y - yhat)) / (sum(y * y) - sum(y) * sum(y) / count(y))')} AS r2
-FROM scored WHERE split = 'test' AND yhat IS NOT NULL GROUP BY symbol"""))
+@register("r2_score", "N08", study_sql(_R2_SQL))
 def q_r2_score(spark, d):
     """R^2 of a given forecast (previous day's return) on the test part."""
-    s = _persistence(spark, d).filter((F.col("split") == "test") & F.col("yhat").isNotNull())
-    return s.groupBy("symbol").agg(E.r2_score("y", "yhat").alias("r2"))
+    return _persistence(_panel(spark, d)).groupBy("symbol").agg(E.r2_score("y", "yhat").alias("r2"))
 
 
-@register("directional_accuracy", "N09", study_sql(f""", {_PERSIST}
+_DIR_SQL = f""", {_PERSIST}
 SELECT symbol, {r('avg(CASE WHEN sign(y) = sign(yhat) THEN 1.0 ELSE 0.0 END)')} AS dir_acc
-FROM scored WHERE split = 'test' AND yhat IS NOT NULL GROUP BY symbol"""))
+FROM scored WHERE split = 'test' AND yhat IS NOT NULL GROUP BY symbol"""
+
+
+@register("directional_accuracy", "N09", study_sql(_DIR_SQL))
 def q_directional_accuracy(spark, d):
     """Share of test days whose forecast sign equals the realised sign."""
-    s = _persistence(spark, d).filter((F.col("split") == "test") & F.col("yhat").isNotNull())
-    return s.groupBy("symbol").agg(E.directional_accuracy("y", "yhat").alias("dir_acc"))
+    return _persistence(_panel(spark, d)).groupBy("symbol").agg(E.directional_accuracy("y", "yhat").alias("dir_acc"))
 
 
 _OLS_FEATURES = ["carried_bullishness", "carried_agreement", "carried_msg_volume",
                  "carried_pos", "carried_neg"]
 
 
-@register("ols_fit_predict", "N07 N08 N09 WF6")
+def _residuals(source: str, ys: list[str], xs: list[str], fit: str, keep: str) -> str:
+    """SQL text of CTEs ``s0 .. s<len(xs)>``: columns ``ys`` of ``source``, freed of the regressors ``xs`` one after
+    the other by slopes (covariance over variance) on the rows where ``fit`` holds, per symbol."""
+    over = f"FILTER (WHERE {fit}) OVER (PARTITION BY symbol)"
+    cols = [*ys, *xs]
+    ctes = ["s0 AS (SELECT " + keep + ", " + ", ".join(f"{c} - avg({c}) {over} AS {c}" for c in cols) + f" FROM {source})"]
+    for k, x in enumerate(xs):
+        left = [*ys, *xs[k + 1:]]
+        ctes.append(f"s{k + 1} AS (SELECT {keep}, " + ", ".join(
+            f"{c} - {x} * coalesce(covar_pop({c}, {x}) {over} / nullif(var_pop({x}) {over}, 0), 0) AS {c}" for c in left)
+            + f" FROM s{k})")
+    return ",\n".join(ctes)
+
+
+_OLS_SQL = f""", parted AS (
+  SELECT *, return AS y, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date)
+                   <= floor(count(*) OVER (PARTITION BY symbol) * 0.75) THEN 'train' ELSE 'test' END AS split
+  FROM panel),
+{_residuals("parted", ["y"], _OLS_FEATURES, "split = 'train'", "symbol, split, return")}
+SELECT symbol, count(*) AS n_test, {r('1 - sum(y * y) / (var_pop(return) * count(*))')} AS r2,
+       {r('avg(CASE WHEN sign(return) = sign(return - y) THEN 1.0 ELSE 0.0 END)')} AS dir_acc
+FROM s5 WHERE split = 'test' GROUP BY symbol"""
+
+
+@register("ols_fit_predict", "N07 N08 N09 WF6", study_sql(_OLS_SQL))
 def q_ols_fit_predict(spark, d):
     """OLS of return on the five carried features, fit on each symbol's first
     75 %, evaluated (R^2, directional accuracy) on the rest."""
-    p = E.chrono_split(_panel(spark, d))
+    return _fit_predict(_panel(spark, d))
+
+
+def _fit_predict(panel):
+    p = E.chrono_split(panel)
     coefs = E.ols_by_group(p.filter(F.col("split") == "train"), ["symbol"], _OLS_FEATURES, "return")
     test = E.predict(p.filter(F.col("split") == "test"), coefs, ["symbol"], _OLS_FEATURES)
     return test.groupBy("symbol").agg(F.count("*").alias("n_test"),
@@ -289,12 +331,39 @@ def q_granger_pvalues_multi(spark, d):
     return E.granger_pvalues(_panel_multi(spark, d))
 
 
-@register("ols_fit_predict_multi", "N07 N08 N09 WF6")
+@register("ols_fit_predict_multi", "N07 N08 N09 WF6", multi_sql(_OLS_SQL))
 def q_ols_fit_predict_multi(spark, d):
     """Per-series OLS fit on the first 75 %, R^2 and directional accuracy on the rest."""
-    p = E.chrono_split(_panel_multi(spark, d))
-    coefs = E.ols_by_group(p.filter(F.col("split") == "train"), ["symbol"], _OLS_FEATURES, "return")
-    test = E.predict(p.filter(F.col("split") == "test"), coefs, ["symbol"], _OLS_FEATURES)
-    return test.groupBy("symbol").agg(F.count("*").alias("n_test"),
-                                      E.r2_score("return", "prediction").alias("r2"),
-                                      E.directional_accuracy("return", "prediction").alias("dir_acc"))
+    return _fit_predict(_panel_multi(spark, d))
+
+
+@register("log_return_multi", "WF2", multi_sql(f"""
+SELECT symbol, date, {r('return')} AS return FROM mkt"""))
+def q_log_return_multi(spark, d):
+    """Log returns of the five series."""
+    return E.market_measures(V.bars_by_priority_v(spark, d)).select("symbol", "date", "return")
+
+
+@register("carried_features_multi", "WF3", multi_sql(_CARRIED_SQL))
+def q_carried_features_multi(spark, d):
+    """Lag-1 sentiment of the five series."""
+    return _carried(V.bars_by_priority_v(spark, d), V.label_corpus_by_priority_v(spark, d))
+
+
+@register("chrono_split_multi", "WF6", multi_sql(_SPLIT_SQL))
+def q_chrono_split_multi(spark, d):
+    """Chronological split of each of the five series."""
+    return E.chrono_split(_panel_multi(spark, d)).select("symbol", "date", "split")
+
+
+@register("r2_score_multi", "N08", multi_sql(_R2_SQL))
+def q_r2_score_multi(spark, d):
+    """R^2 of the previous day's return as a forecast, per series."""
+    return _persistence(_panel_multi(spark, d)).groupBy("symbol").agg(E.r2_score("y", "yhat").alias("r2"))
+
+
+@register("directional_accuracy_multi", "N09", multi_sql(_DIR_SQL))
+def q_directional_accuracy_multi(spark, d):
+    """Directional accuracy of the previous day's return as a forecast, per series."""
+    return _persistence(_panel_multi(spark, d)).groupBy("symbol").agg(
+        E.directional_accuracy("y", "yhat").alias("dir_acc"))
