@@ -52,3 +52,9 @@ def test_bucketed_join_has_no_exchange(spark):
     pb = FS.write_bucketed(p, "tp_test_prices", scratch_path(spark, "bq"), 4, ["symbol"])
     plan = SV.explain_string(J.bucketed_join(tb, pb, ["symbol"]), "simple")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_registered_bucketed_join_has_no_exchange(spark):
+    from tickpulse.plans import QUERIES
+    plan = SV.explain_string(QUERIES["bucketed_join"].build(spark, SF), "simple")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan

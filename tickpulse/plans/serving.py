@@ -293,15 +293,15 @@ SELECT t.uuid, t.symbol, p.trade_timestamp, {r('p.close_price')} AS close_price
 FROM tweets_by_user_v t JOIN prices_v p ON t.symbol = p.symbol
 WHERE CAST(p.trade_timestamp AS DATE) = CAST(t.api_timestamp AS DATE)"""))
 def q_bucketed_join(spark, d):
-    """Posts and prices written as tables bucketed by symbol, joined per symbol
-    and day without a shuffle of either side."""
+    """Posts and prices written as tables bucketed by symbol and day (a hot symbol's days lie in many buckets),
+    joined on both without a shuffle of either side."""
     import uuid as _uuid
 
     tag = _uuid.uuid4().hex[:10]
-    t = V.tweets_by_user_v(spark, d).select("uuid", "symbol", "api_timestamp")
-    p = V.prices_v(spark, d).select("symbol", "trade_timestamp", "close_price")
-    tb = FS.write_bucketed(t, f"tp_posts_{tag}", scratch_path(spark, "bucket-posts"), 8, ["symbol"])
-    pb = FS.write_bucketed(p, f"tp_prices_{tag}", scratch_path(spark, "bucket-prices"), 8, ["symbol"])
-    j = J.bucketed_join(tb, pb, ["symbol"])
-    return j.filter(F.to_date("trade_timestamp") == F.to_date("api_timestamp")).select(
-        "uuid", "symbol", "trade_timestamp", "close_price")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["symbol", "day"]
+    t = V.tweets_by_user_v(spark, d).select("uuid", "symbol", F.to_date("api_timestamp").alias("day"))
+    p = V.prices_v(spark, d).select("symbol", F.to_date("trade_timestamp").alias("day"), "trade_timestamp", "close_price")
+    tb = FS.write_bucketed(t, f"tp_posts_{tag}", scratch_path(spark, "bucket-posts"), buckets, keys)
+    pb = FS.write_bucketed(p, f"tp_prices_{tag}", scratch_path(spark, "bucket-prices"), buckets, keys)
+    return J.bucketed_join(tb, pb, keys).select("uuid", "symbol", "trade_timestamp", "close_price")

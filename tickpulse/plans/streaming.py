@@ -223,6 +223,13 @@ def q_sentiment_price_alert(spark, d):
     return W.sentiment_price_alert(q_tumbling_price_sentiment(spark, d))
 
 
+@register("sentiment_price_alert_mild", "W12", silver_sql(
+    f"SELECT * FROM ({_W02_SQL}) a WHERE avg_sentiment < -0.1 AND price_change_pct < 0.5"))
+def q_sentiment_price_alert_mild(spark, d):
+    """The alert with thresholds that many windows pass."""
+    return W.sentiment_price_alert(q_tumbling_price_sentiment(spark, d), sentiment_below=-0.1, change_below=0.5)
+
+
 # ------------------------------------------------------------------ dedup, late data, resume
 def _dup_stages(spark, d):
     """Post messages, then a replay of every 'view' post (at-least-once delivery)."""
