@@ -24,12 +24,19 @@ def _norm(v):
     return v
 
 
+#: At sf0.001 one of the five series has collinear regressors: the fit of the shortest slopes (checked against numpy in
+#: test_econ) and the SQL's elimination are then two of many equal fits. At sf0.01 every series has one fit.
+DIRS = {"ols_fit_predict_multi": "/root/testdata/sf0.01"}
+
+
 @pytest.fixture(scope="module")
 def con():
-    c = duckdb.connect()
-    for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    return c
+    def connect(d):
+        c = duckdb.connect()
+        for t in TABLES:
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+        return c
+    return {d: connect(d) for d in {SF, *DIRS.values()}}
 
 
 def test_entry_runs(spark):
@@ -40,12 +47,13 @@ def test_entry_runs(spark):
 # training-text queries without SQL have tests of their own
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in SQL or not re.match(r"op\d+_|pipeline$", n)))
 def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF)
+    d = DIRS.get(name, SF)
+    df = QUERIES[name](spark, d)
     rows = [tuple(_norm(x) for x in r) for r in df.collect()]
     if name not in SQL:
         assert rows and len({len(r) for r in rows}) == 1
         return
-    cur = con.execute(SQL[name])
+    cur = con[d].execute(SQL[name])
     cols = [c[0] for c in cur.description]
     assert sorted(cols) == sorted(df.columns)
     idx = [cols.index(c) for c in df.columns]
