@@ -9,8 +9,9 @@ minhashes instead of 400. A pair with similarity s shares a table with probabili
 0.9995 at s = 0.75 and more above.
 
 Equal sets form one class first, so copies cost nothing further. Candidates then come in two steps:
-1. In each bucket every class meets the bucket's pivot (the class of smallest random rank, another one in each
-   table); linked ones join a component. This is linear in the bucket.
+1. In each bucket every class meets the bucket's pivot (the class of smallest random rank); linked ones join a
+   component. This is linear in the bucket. Ranks are drawn once for each half key of the first collection, so
+   that a group's buckets in the tables of one half key mostly share a pivot and repeat its pairs.
 2. Buckets that still hold several components are gone through whole, in blocks of bounded size: pairs from
    different components (pairs within one need no link) are screened by odd sketches. A sketch gives a lower
    bound of the symmetric difference, so it never drops a linked pair.
@@ -227,10 +228,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = sigs.join(speaks, ["id", "digest"]).dropDuplicates(["id"])
 
     # Tensored tables: every pair of a half key of the first and of the second collection is a key.
-    keys = nodes.select("id", F.explode("a").alias("a"), "b").select("id", "a", F.explode("b").alias("b")) \
-        .select(F.xxhash64("a", "b").alias("key"), "id")
+    keys = nodes.select("id", F.posexplode("a").alias("i", "a"), "b").select("id", "i", "a", F.explode("b").alias("b")) \
+        .select(F.xxhash64("a", "b").alias("key"), "id", "i")
     by_key = Window.partitionBy("key")
-    rank = F.xxhash64("id", "key")
+    rank = F.xxhash64("id", "i")
     buckets = written(keys.withColumn("size", F.count("*").over(by_key))
                       .withColumn("pivot", F.min(F.struct(rank.alias("rank"), "id")).over(by_key)["id"])
                       .where("size > 1"), "nd-buckets")
