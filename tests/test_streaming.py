@@ -170,3 +170,18 @@ def test_late_rows_still_land_in_bronze(spark):
             q.awaitTermination()
     assert spark.read.parquet(bronze).count() == 4
     assert spark.read.parquet(agg_out).filter(F.col("window_start") == T0).count() == 0
+
+
+def test_batch_job_without_posts(spark):
+    from tickpulse import jobs
+    from tickpulse.sources.files import LakePaths
+
+    assert jobs.run_batch(spark, LakePaths(scratch_path(spark, "no-posts"))) == {}
+
+
+def test_sink_format_is_configuration(spark):
+    src, out = scratch_path(spark, "sink-src"), scratch_path(spark, "sink-out")
+    spark.createDataFrame([("a",), ("b",)], "value string").write.mode("overwrite").text(src)
+    q = R.start_sink(spark.readStream.text(src), "json", f"{out}/_checkpoint", {"path": f"{out}/rows"})
+    q.awaitTermination()
+    assert sorted(r[0] for r in spark.read.json(f"{out}/rows").collect()) == ["a", "b"]

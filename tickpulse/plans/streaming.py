@@ -8,7 +8,7 @@ emitted once ``window_end <= max(event time) - delay``.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import aggregates as A
 from ..operators import ordered
@@ -389,15 +389,29 @@ def _sentiment_index(spark, d):
 
 
 @register("batch_metadata", "P18", with_views(["tweets_v"], f"""
-SELECT to_timestamp(floor(epoch(api_timestamp) / 300) * 300)::TIMESTAMP AS window_start,
-       topic, count(*) AS tweet_count, 0 AS batch_id, 0 AS epoch
-FROM tweets_v GROUP BY 1, topic"""))
+SELECT window_start, topic, batch, tweet_count, TRUE AS tagged
+FROM (SELECT to_timestamp(floor(epoch(api_timestamp) / 300) * 300)::TIMESTAMP AS window_start, topic,
+             count_if(api_timestamp < mid) AS early, count_if(api_timestamp >= mid) AS late
+      FROM tweets_v, midpoint GROUP BY 1, topic) w,
+     LATERAL (SELECT 1 AS batch, early AS tweet_count WHERE early > 0
+              UNION ALL SELECT 2, early + late WHERE late > 0) b""",
+    extra="""midpoint AS (
+  SELECT to_timestamp((epoch(min(ts)) + epoch(max(ts))) / 2)::TIMESTAMP AS mid FROM events)"""))
 def q_batch_metadata(spark, d):
-    """Rows tagged with the real micro-batch id and processing time (one data
-    batch here, so every window carries batch id 0)."""
-    epochs, _ = R.run_epochs(W.tumbling_counts(SS.tweet_stream(spark, d)), "metadata", "update",
-                             with_metadata=True)
-    return epochs.select("window_start", "topic", "tweet_count", "batch_id", "epoch")
+    """Windows as two micro-batches update them (the early half's messages, then the late half's), tagged with the
+    micro-batch id and processing time; batches are numbered in the order of those tags."""
+    out = scratch_path(spark, "metadata-out")
+    mid = F.lit(SS.split_at_midpoint(spark, d)).cast("timestamp")
+    msgs, ts = SS._tweet_messages(spark, d), F.try_to_timestamp("_ts")
+    halves = [msgs.where(c).select("value") for c in (ts < mid, ts >= mid)]
+    _staged(spark, "metadata", halves, lambda s, ck: R.start_foreach_batch(
+        W.tumbling_counts(s), R.epoch_writer(out, with_metadata=True), ck, "update"))
+    rows = spark.read.parquet(out)
+    batches = rows.select("batch_id", "processing_time").distinct()
+    order = batches.select("batch_id", F.rank().over(Window.orderBy("processing_time")).cast("int").alias("batch"))
+    return rows.join(order, "batch_id").select(
+        "window_start", "topic", "batch", "tweet_count",
+        (F.col("batch_id") == F.col("epoch")).alias("tagged"))
 
 
 @register("score_once_fanout", "M01 F01 K01 K04 SRC1", with_views(["tweets_v"], f"""

@@ -94,6 +94,21 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
         return w.start()
 
 
+def start_sink(df: DataFrame, fmt: str, checkpoint: str, options: dict | None = None, output_mode: str = "append",
+               available_now: bool = True, name: str | None = None,
+               num_state_partitions: int | None = None) -> StreamingQuery:
+    """A sink whose format is configuration: ``kafka`` (``kafka.bootstrap.servers``, ``topic``), a connector of a keyed
+    store, or a file format with its ``path``. Message sinks take the rows of ``messages.encode_json``."""
+    w = (df.writeStream.format(fmt).options(**(options or {}))
+         .option("checkpointLocation", checkpoint).outputMode(output_mode))
+    if name:
+        w = w.queryName(name)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    with state_partitions(df.sparkSession, num_state_partitions):
+        return w.start()
+
+
 def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                         output_mode: str = "update", available_now: bool = True,
                         name: str | None = None,
