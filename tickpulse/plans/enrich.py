@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 from ..functions import scalar as S
 from ..functions import sentiment as M
 from ..schemas import SERVING_TWEET_COLUMNS, TWEET_MESSAGE
+from ..session import scratch_path
+from ..sources import files as FS
 from ..sources import messages as MSG
 from ..sources import testviews as V
 from .registry import r, register
@@ -234,3 +236,22 @@ def q_lexicon_sentiment_join(spark, d):
     docs = V.table(spark, d, "documents").select("doc_id", "text")
     out = M.lexicon_sentiment_join(docs, M.lexicon_frame(spark), "doc_id")
     return out.select("doc_id", "lexicon_sum", "compound", "sentiment_label")
+
+
+@register("crawl_ingest", "SRC9", """
+SELECT event_id AS "Index", '$' || upper(event_type) || ' ' || user_id AS "Text",
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS "CreatedAt", event_id % 7 AS "RetweetCount", event_id % 5 AS "ReplyCount",
+       user_id % 11 AS "FavoriteCount", NULL::BIGINT AS "QuoteCount", event_id AS "ViewCount"
+FROM events""")
+def q_crawl_ingest(spark, d):
+    """Crawled posts with engagement counts, read from files of one JSON array each (an attribute is missing)."""
+    ev = V.table(spark, d, "events")
+    path = scratch_path(spark, "crawl")
+    post = F.struct(F.col("event_id").alias("Index"),
+                    F.concat(F.lit("$"), F.upper("event_type"), F.lit(" "), F.col("user_id").cast("string")).alias("Text"),
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("CreatedAt"),
+                    (F.col("event_id") % 7).alias("RetweetCount"), (F.col("event_id") % 5).alias("ReplyCount"),
+                    (F.col("user_id") % 11).alias("FavoriteCount"), F.col("event_id").alias("ViewCount"))
+    files = ev.groupBy(F.floor(F.col("event_id") / 5000).alias("file")).agg(F.to_json(F.collect_list(post)).alias("value"))
+    files.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return FS.read_crawled_posts(spark, path)

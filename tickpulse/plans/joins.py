@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..sources import testviews as V
+from ..streaming import ops as W
 from .registry import r, register
 from .sqlviews import with_views
 
@@ -107,3 +108,25 @@ def q_ohlc_vwap(spark, d):
         *A.ohlc_vwap_columns("close_price", "price_ts", "volume"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       *[c for c in out.columns if c != "w"])
+
+
+_DEDUPED_SQL = f"""
+SELECT to_timestamp(floor(epoch(price_ts) / 300) * 300)::TIMESTAMP AS window_start,
+       to_timestamp(floor(epoch(price_ts) / 300) * 300 + 300)::TIMESTAMP AS window_end,
+       symbol, CAST(sum(posts) AS BIGINT) AS tweet_count, {r('sum(total) / sum(scored)')} AS avg_sentiment,
+       {r('first(close_price ORDER BY price_ts, close_price)')} AS open_price,
+       {r('last(close_price ORDER BY price_ts, close_price)')} AS close_price,
+       {r('max(close_price)')} AS high_price, {r('min(close_price)')} AS low_price,
+       CAST(sum(volume) AS BIGINT) AS total_volume,
+       {r('CASE WHEN sum(volume) = 0 THEN NULL ELSE sum(close_price * volume) / sum(volume) END')} AS vwap,
+       {r('(last(close_price ORDER BY price_ts, close_price) - first(close_price ORDER BY price_ts, close_price))'
+          ' / first(close_price ORDER BY price_ts, close_price) * 100')} AS price_change_pct
+FROM (SELECT symbol, price_ts, close_price, volume, count(tweet_id) AS posts, count(sentiment_score) AS scored,
+             sum(sentiment_score) AS total FROM silver GROUP BY ALL) one
+GROUP BY 1, 2, symbol"""
+
+
+@register("ohlc_vwap_deduped", "W02 A06 P13", silver_sql(_DEDUPED_SQL))
+def q_ohlc_vwap_deduped(spark, d):
+    """The 5-minute bars with each price's volume counted once, however many posts it joins."""
+    return W.tumbling_price_sentiment(_silver(spark, d), dedupe_prices=True)

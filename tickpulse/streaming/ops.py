@@ -113,16 +113,26 @@ def interval_join_stream(tweets: DataFrame, prices: DataFrame,
 
 
 def tumbling_price_sentiment(joined: DataFrame, window: str = TUMBLING_WINDOW,
-                             watermark: str | None = None) -> DataFrame:
+                             watermark: str | None = None, dedupe_prices: bool = False) -> DataFrame:
     """5-minute OHLC/VWAP + sentiment per symbol over joined rows.
 
+    A price joins many posts, so volumes count it once a post; ``dedupe_prices`` counts each price (symbol, time,
+    price and volume) once, by one more aggregation before the windows. Post counts and sentiment stay over all pairs.
+
     After a stream-stream join the join's watermark already applies; Spark
     4.1 refuses a second ``withWatermark``, so ``watermark`` is only for
     batch or un-watermarked input.
     """
     src = joined.withWatermark("price_ts", watermark) if watermark else joined
+    counts = [F.count("tweet_id").alias("tweet_count"), F.avg("sentiment_score").alias("avg_sentiment")]
+    if dedupe_prices:
+        src = src.groupBy("symbol", "price_ts", "close_price", "volume").agg(
+            F.count("tweet_id").alias("_posts"), F.count("sentiment_score").alias("_scored"),
+            F.sum("sentiment_score").alias("_total"))
+        counts = [F.sum("_posts").alias("tweet_count"),
+                  F.try_divide(F.sum("_total"), F.sum("_scored")).alias("avg_sentiment")]
     out = src.groupBy(F.window("price_ts", window).alias("window"), "symbol").agg(
-        F.count("tweet_id").alias("tweet_count"), F.avg("sentiment_score").alias("avg_sentiment"),
+        *counts,
         *ohlc_vwap_columns("close_price", "price_ts", "volume"))
     return _flat_window(out)
 
