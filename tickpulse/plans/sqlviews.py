@@ -59,7 +59,10 @@ VIEWS: dict[str, str] = {
                c_mktsegment AS sector
         FROM customer""",
     "logits_v": """
-        SELECT vec_id, CAST(embedding[1:3] AS DOUBLE[]) AS logits FROM embeddings""",
+        SELECT vec_id, [list_sum(list_filter(CAST(embedding AS DOUBLE[]), lambda x, i: (i - 1) % 3 = 0)),
+                        list_sum(list_filter(CAST(embedding AS DOUBLE[]), lambda x, i: (i - 1) % 3 = 1)),
+                        list_sum(list_filter(CAST(embedding AS DOUBLE[]), lambda x, i: (i - 1) % 3 = 2))] AS logits
+        FROM embeddings""",
 }
 
 
