@@ -287,6 +287,22 @@ def test_html_equals_the_marked_article(spark):
         assert r["text"] == " ".join(p for p in parts if p)
 
 
+def test_html_mark_is_a_prior():
+    """Article cards beside a story in plain divs; blocks of few stop words; a story that goes on after the article."""
+    story = " ".join(["This is the story of a man who was in the house and it was good for him to be there."] * 5)
+    card = "<article><h3>Another one</h3><p>Read what the man in the house said to all of us on that day of the year.</p></article>"
+    for cards in (card * 3, card.replace("article", "div class=article") * 3):
+        page = f"<body><div><h1>The house</h1><div>{story}</div><div>Short end.</div><div>{story}</div></div><div>{cards}</div>"
+        assert html_text.main_text(page) == f"The house {story} Short end. {story}"
+        assert html_text.main_text(f"<main>{page}</main>") == f"The house {story} Short end. {story}"
+    few = "Lorem ipsum dolor consectetur adipiscing elit eiusmod tempor incididunt labore dolore magna aliqua. " * 3
+    links = "<p><a href=x>" + "Lorem ipsum dolor " * 10 + "</a></p>"
+    assert html_text.main_text(f"<article><p>{story}</p><p>{few}</p><p>{story}</p></article>") == f"{story} {few}{story}"
+    assert html_text.main_text(f"<article><p>{story}</p>{links}<p>{few}</p>{links}<p>{story}</p></article>") == f"{story} {story}"
+    assert html_text.main_text(f"<p>Site</p><article><h1>Head</h1><p>{few}</p></article><p>{few}</p>") == f"Head {few.strip()}"
+    assert html_text.main_text(f"<p>Site</p><article><p>{story}</p></article><div>{story}</div>") == f"{story} {story}"
+
+
 def test_fold_reads_lookalikes():
     assert toxicity.fold("1D10T ѕtuріd ＳＣＵＭ lo​ser t!me!") == "idiot stupid scum loser time!"
 

@@ -2,9 +2,14 @@
 
 A page is cut into blocks at block-level tags, outside of comments, scripts, styles and other unseen elements.
 First pass: stop-word density, length and link density call each block good, bad, or (short, or nearly
-good) undecided; what its ancestors are (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, the article) decides first. Second pass: undecided blocks take the label of their nearest decided
-neighbours (good where both sides are good, or where the nearer one is; headings look at what follows).
+good) undecided; only what lies in menus, headers, footers, sidebars, notices, adverts, forms or comments is bad
+before that. Second pass: undecided blocks take the label of their nearest decided neighbours (good where
+both sides are good, or where the nearer one is; headings look at what follows).
+
+The mark of an <article> or <main> is a prior for undecided blocks and doesn't overrule a good one. In a marked
+element few stop words alone leave a block undecided. Where the articles hold at least as much text as the
+good blocks outside of them, an undecided block in them is good unless the decided blocks on both sides are bad.
+Otherwise they are cards beside the story: each is settled by its own blocks, and is bad without a good one.
 
 The result is the good blocks in page order, character references decoded, white space within a block
 collapsed, joined by one space; nothing else is dropped. A null or empty page, and one without a good block,
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from itertools import groupby
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -50,10 +56,10 @@ BAD_NAMES = frozenset(
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 GOOD_NAMES = frozenset("article articlebody content main post story entry body text".split())
 
-# Thresholds of the block rules; inside and outside a marked article.
+# Thresholds of the block rules; in a marked element, links up to LINKS_MARKED leave a block undecided.
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.22
-LINKS_MOST = 0.4
+LINKS_MOST, LINKS_MARKED = 0.4, 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe")}
@@ -63,18 +69,18 @@ _SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("parts", "linked", "heading", "label", "inside", "aside", "text")
+    __slots__ = ("parts", "linked", "heading", "label", "article", "main", "aside", "text")
 
-    def __init__(self, heading: bool, inside: bool, aside: bool):
+    def __init__(self, heading: bool, article: int, main: bool, aside: bool):
         self.parts: list[str] = []
         self.linked = 0
-        self.heading, self.inside, self.aside = heading, inside, aside
+        self.heading, self.article, self.main, self.aside = heading, article, main, aside
         self.label = self.text = ""
 
 
-def _role(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Does an element set its contents aside; does it mark the article."""
-    aside, article = tag in ASIDE, tag in ("article", "main")
+def _role(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Does an element set its contents aside; does it mark an article; does it mark the page's main part."""
+    aside, article, main = tag in ASIDE, tag == "article", tag == "main"
     if attrs and "=" in attrs or "hidden" in attrs:
         for name, a, b, c in _ATTRS.findall(attrs):
             name, value = name.lower(), a or b or c
@@ -82,35 +88,37 @@ def _role(tag: str, attrs: str) -> tuple[bool, bool]:
                 aside = True
             elif name == "role":
                 aside |= value.lower() in BAD_ROLES
-                article |= value.lower() in ("main", "article")
+                article |= value.lower() == "article"
+                main |= value.lower() == "main"
             elif name == "itemprop":
                 article |= value.lower() == "articlebody"
             elif name in ("class", "id"):
                 parts = {p.lower() for p in _NAME_PARTS.findall(value)}
                 aside |= bool(parts & BAD_NAMES) and tag not in ("html", "body", "article", "main")
                 article |= tag in ("div", "section", "td") and bool(parts & {"article", "articlebody"})
-    return aside, article
+    return aside, article, main
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, aside, article, unseen: own and inherited
-    links = heading = 0
+    # element, aside, number of the outermost article (0: none), main, unseen: own and inherited
+    stack: list[tuple[str, bool, int, bool, bool]] = []
+    links = heading = articles = 0
     current: Block | None = None
 
-    def state() -> tuple[bool, bool, bool]:
-        return stack[-1][1:] if stack else (False, False, False)
+    def state() -> tuple[bool, int, bool, bool]:
+        return stack[-1][1:] if stack else (False, 0, False, False)
 
     def text(s: str) -> None:
         nonlocal current
-        aside, inside, unseen = state()
+        aside, article, main, unseen = state()
         if unseen or not s:
             return
         if current is None:
             if s.isspace():
                 return
-            current = Block(heading > 0, inside, aside)
+            current = Block(heading > 0, article, main, aside)
             out.append(current)
         current.parts.append(s)
         if links:
@@ -151,11 +159,11 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in ("p", "li") and stack and stack[-1][0] == tag:
             stack.pop()  # these end where the next one begins
-        aside, inside, unseen = state()
-        own_aside, own_article = _role(tag, m[3])
-        if own_article and not aside:
+        aside, article, main, unseen = state()
+        own_aside, own_article, own_main = _role(tag, m[3])
+        if (own_article or own_main) and not aside:
             own_aside = False
-        header_of_article = tag == "header" and inside
+        header_of_article = tag == "header" and (article or main)
         unseen = unseen or tag in UNSEEN or tag == "title"
         if tag in _RAW_END:
             end = _RAW_END[tag].search(page, at)
@@ -165,30 +173,49 @@ def blocks(page: str) -> list[Block]:
             if tag in BLOCKS:
                 current = None
             continue
-        if tag in BLOCKS or own_aside or own_article or unseen or tag in ("span", "a"):
-            stack.append((tag, aside or own_aside and not header_of_article, inside or own_article, unseen))
+        if own_article and not article:
+            articles += 1
+            article = articles
+        if tag in BLOCKS or own_aside or own_article or own_main or unseen or tag in ("span", "a"):
+            stack.append((tag, aside or own_aside and not header_of_article, article, main or own_main, unseen))
     for b in out:
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.parts))).strip()
     return [b for b in out if b.text]
 
 
-def first_pass(b: Block, marked: bool) -> str:
+def first_pass(b: Block) -> str:
     """good, bad, near (nearly good) or short."""
-    if b.aside or marked and not b.inside:
+    if b.aside:
         return "bad"
+    marked = b.article or b.main
     size = len(b.text)
     links = b.linked / size
-    if marked:  # within a marked article only link lists are out
-        return "bad" if links > 0.8 else "short" if size < SHORT or links > LINKS_MOST else "good"
-    if links > LINKS_MOST or "©" in b.text[:30]:
-        return "bad"
+    if links > LINKS_MOST or "©" in b.text[:30] and not marked:
+        return "short" if marked and links <= LINKS_MARKED else "bad"
     if size < SHORT:
         return "short"
     words = b.text.lower().split()
     density = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
     if density >= STOP_HIGH:
         return "good" if size > LONG else "near"
-    return "near" if density >= STOP_LOW else "bad"
+    return "near" if density >= STOP_LOW or marked else "bad"
+
+
+def settle_marked(found: list[Block]) -> None:
+    """The trusted mark's word on nearly good blocks: good, unless the decided blocks on both sides are bad."""
+    sides = []
+    for way in (found, found[::-1]):
+        seen, out = "", []
+        for b in way:
+            out.append(seen)
+            seen = b.label if b.label in ("good", "bad") else seen
+        sides.append(out)
+    for b, before, after in zip(found, sides[0], sides[1][::-1]):
+        if b.label == "near":
+            b.label = "bad" if before == after == "bad" else "good"
+    if not any(b.label == "good" for b in found):
+        for b in found:  # an article of short blocks only
+            b.label = "good" if b.label == "short" else b.label
 
 
 def second_pass(found: list[Block]) -> None:
@@ -214,26 +241,41 @@ def second_pass(found: list[Block]) -> None:
             label = b[0]
         else:
             label = a[0] if a[1] < b[1] else b[0] if b[1] < a[1] else "good" if first[i] == "near" else "bad"
-        if first[i] == "near" and n == 1:
+        if first[i] == "near" and n == 1 and not found[i].article:
             label = "good"
         found[i].label = label
 
 
+def _size(found: list[Block]) -> int:
+    """Characters of blocks that aren't mostly links."""
+    return sum(len(b.text) for b in found if b.linked <= LINKS_MOST * len(b.text))
+
+
+def _prose(found: list[Block]) -> int:
+    return sum(len(b.text) for b in found if b.label == "good")
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    marked = any(b.inside and not b.aside for b in found)
     for b in found:
-        b.label = first_pass(b, marked)
-    if marked and not any(b.label == "good" for b in found):
-        for b in found:  # an article of short blocks only
-            b.label = "good" if b.label == "short" else b.label
-    elif marked:
-        kept = [b for b in found if b.inside and not b.aside]
-        second_pass(kept)
-    else:
-        second_pass(found)
+        b.label = first_pass(b)
+    seen = [b for b in found if not b.aside]
+    in_article, outside = [b for b in seen if b.article], [b for b in seen if not b.article]
+    cards = _size(in_article) < _prose(outside)
+    marked = [b for b in seen if b.main and not b.article or b.article and not cards]
+    if _size(marked) < _prose([b for b in outside if not b.main]):
+        marked = []
+    settle_marked(marked)
+    second_pass(marked)
+    trusted = set(map(id, marked))
+    for inside, run in groupby((b for b in found if not (cards and b.article) or b.aside), key=lambda b: id(b) in trusted):
+        if not inside:  # what lies before, between or after the marked blocks
+            second_pass(list(run))
+    if cards:
+        for _, card in groupby(in_article, key=lambda b: b.article):
+            second_pass(list(card))
     return " ".join(b.text for b in found if b.label == "good")
 
 
