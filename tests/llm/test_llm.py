@@ -303,6 +303,22 @@ def test_html_mark_is_a_prior():
     assert html_text.main_text(f"<p>Site</p><article><p>{story}</p></article><div>{story}</div>") == f"{story} {story}"
 
 
+def test_html_article_in_a_wrapper_with_a_bad_name():
+    story = " ".join(["This is the story of a man who was in the house and it was good for him to be there."] * 5)
+    reply = "This was the best of all and I was in the house with him as well, so it is what I would say to you. " * 3
+    parts = f"<h1>The house</h1><p>{story}</p><p>Short too.</p><p>{story}</p>"
+    for wrapper in ("page has-sidebar", "site header-fixed", "post no-comments", "layout sidebar-left", "with_sidebar"):
+        for inner in ("article", "main", "div class=entry-content", "section id=main"):
+            page = f"<body><nav>{story}</nav><div class='{wrapper}'><{inner}>{parts}</{inner.split()[0]}><div class=comments>{reply}</div></div>"
+            assert html_text.main_text(page) == f"The house {story} Short too. {story}", (wrapper, inner)
+            assert html_text.main_text(page.replace("<div", "<section").replace("</div", "</section")) == f"The house {story} Short too. {story}"
+    for outer in ("article", "div"):
+        page = f"<{outer}>{parts}</{outer}><div id=comments><article>{reply}</article><div class=content>{reply}</div></div>"
+        assert html_text.main_text(page) == f"The house {story} Short too. {story}"
+    assert html_text.main_text(f"<div class='page has-sidebar'>{parts}</div>") == f"The house {story} Short too. {story}"
+    assert html_text.main_text(f"<div class=sidebar>{parts}</div><nav><article>{parts}</article></nav>") == ""
+
+
 def test_fold_reads_lookalikes():
     assert toxicity.fold("1D10T ѕtuріd ＳＣＵＭ lo​ser t!me!") == "idiot stupid scum loser time!"
 

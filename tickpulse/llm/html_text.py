@@ -11,6 +11,10 @@ element few stop words alone leave a block undecided. Where the articles hold at
 good blocks outside of them, an undecided block in them is good unless the decided blocks on both sides are bad.
 Otherwise they are cards beside the story: each is settled by its own blocks, and is bad without a good one.
 
+A class or id name can set a generic wrapper (div, section, table parts) aside; names that only tell of the
+layout (has-sidebar, no-comments) don't. An article, main element or content container (``GOOD_NAMES``) inside such a
+wrapper is taken back where it holds at least as much text as what lies outside of these wrappers.
+
 The result is the good blocks in page order, character references decoded, white space within a block
 collapsed, joined by one space; nothing else is dropped. A null or empty page, and one without a good block,
 gives an empty text. Malformed markup (unclosed tags, cut-off ends) is read as far as it goes. Rows stay as they
@@ -53,6 +57,10 @@ BAD_NAMES = frozenset(
     disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice overlay pagination pager
     popup promo promoted promotion related reply replies respond share sharing sidebar signup social sponsor sponsored
     subscribe subscription tags teaser toolbar topbar widget""".split())
+#: The rest of a name after one of these tells what a page's layout has or lacks, not what an element is.
+MODIFIERS = frozenset("has with without no not hide show".split())
+#: Elements that only wrap, so that an article inside may undo what their names say.
+GENERIC = frozenset("div section center table tbody tr td".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 GOOD_NAMES = frozenset("article articlebody content main post story entry body text".split())
 
@@ -69,18 +77,32 @@ _SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("parts", "linked", "heading", "label", "article", "main", "aside", "text")
+    __slots__ = ("parts", "linked", "heading", "label", "article", "main", "aside", "wrapper", "content", "text")
 
-    def __init__(self, heading: bool, article: int, main: bool, aside: bool):
+    def __init__(self, heading: bool, article: int, main: bool, aside: bool, wrapper: int, content: int):
         self.parts: list[str] = []
         self.linked = 0
         self.heading, self.article, self.main, self.aside = heading, article, main, aside
+        self.wrapper, self.content = wrapper, content
         self.label = self.text = ""
 
 
-def _role(tag: str, attrs: str) -> tuple[bool, bool, bool]:
-    """Does an element set its contents aside; does it mark an article; does it mark the page's main part."""
+def _names(value: str) -> set[str]:
+    """Parts of class or id names, without those after a modifier."""
+    out = set()
+    for name in value.split():
+        for p in _NAME_PARTS.findall(name):
+            if p.lower() in MODIFIERS:
+                break
+            out.add(p.lower())
+    return out
+
+
+def _role(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, bool]:
+    """Does an element set its contents aside; do only its names; does it mark an article; does it mark the page's
+    main part; is it a content container."""
     aside, article, main = tag in ASIDE, tag == "article", tag == "main"
+    names: set[str] = set()
     if attrs and "=" in attrs or "hidden" in attrs:
         for name, a, b, c in _ATTRS.findall(attrs):
             name, value = name.lower(), a or b or c
@@ -93,32 +115,36 @@ def _role(tag: str, attrs: str) -> tuple[bool, bool, bool]:
             elif name == "itemprop":
                 article |= value.lower() == "articlebody"
             elif name in ("class", "id"):
-                parts = {p.lower() for p in _NAME_PARTS.findall(value)}
-                aside |= bool(parts & BAD_NAMES) and tag not in ("html", "body", "article", "main")
-                article |= tag in ("div", "section", "td") and bool(parts & {"article", "articlebody"})
-    return aside, article, main
+                names |= _names(value)
+    article |= tag in ("div", "section", "td") and bool(names & {"article", "articlebody"})
+    bad = bool(names & BAD_NAMES) and tag not in ("html", "body", "article", "main")
+    content = tag in GENERIC and not bad and bool(names & GOOD_NAMES)
+    if bad and tag not in GENERIC:
+        aside = True
+    return aside, bad and not aside, article, main, content
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks, in order."""
     out: list[Block] = []
-    # element, aside, number of the outermost article (0: none), main, unseen: own and inherited
-    stack: list[tuple[str, bool, int, bool, bool]] = []
-    links = heading = articles = 0
+    # element; own and inherited: aside, number of the wrapper that is aside by name (0: none), 1 in a content container
+    # and 2 in an article or main element within it, number of the outermost article (0: none), main, unseen
+    stack: list[tuple[str, bool, int, int, int, bool, bool]] = []
+    links = heading = articles = wrappers = 0
     current: Block | None = None
 
-    def state() -> tuple[bool, int, bool, bool]:
-        return stack[-1][1:] if stack else (False, 0, False, False)
+    def state() -> tuple[bool, int, int, int, bool, bool]:
+        return stack[-1][1:] if stack else (False, 0, 0, 0, False, False)
 
     def text(s: str) -> None:
         nonlocal current
-        aside, article, main, unseen = state()
+        aside, wrapper, content, article, main, unseen = state()
         if unseen or not s:
             return
         if current is None:
             if s.isspace():
                 return
-            current = Block(heading > 0, article, main, aside)
+            current = Block(heading > 0, article, main, aside or wrapper > 0, 0 if aside else wrapper, content)
             out.append(current)
         current.parts.append(s)
         if links:
@@ -159,10 +185,11 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in ("p", "li") and stack and stack[-1][0] == tag:
             stack.pop()  # these end where the next one begins
-        aside, article, main, unseen = state()
-        own_aside, own_article, own_main = _role(tag, m[3])
-        if (own_article or own_main) and not aside:
-            own_aside = False
+        aside, wrapper, content, article, main, unseen = state()
+        own_aside, own_bad, own_article, own_main, own_content = _role(tag, m[3])
+        if own_article or own_main:
+            own_bad = False
+            own_aside = own_aside and (aside or wrapper > 0)
         header_of_article = tag == "header" and (article or main)
         unseen = unseen or tag in UNSEEN or tag == "title"
         if tag in _RAW_END:
@@ -176,8 +203,15 @@ def blocks(page: str) -> list[Block]:
         if own_article and not article:
             articles += 1
             article = articles
+        if own_bad:
+            wrappers += 1
+            wrapper, content = wrappers, 0
+        elif wrapper and (own_article or own_main):
+            content = 2
+        elif wrapper and own_content:
+            content = content or 1
         if tag in BLOCKS or own_aside or own_article or own_main or unseen or tag in ("span", "a"):
-            stack.append((tag, aside or own_aside and not header_of_article, article, main or own_main, unseen))
+            stack.append((tag, aside or own_aside and not header_of_article, wrapper, content, article, main or own_main, unseen))
     for b in out:
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.parts))).strip()
     return [b for b in out if b.text]
@@ -255,12 +289,45 @@ def _prose(found: list[Block]) -> int:
     return sum(len(b.text) for b in found if b.label == "good")
 
 
+def take_back(found: list[Block]) -> None:
+    """Contents of wrappers that are aside by name, the largest first, where they outweigh all that isn't aside."""
+    held: dict[int, list[Block]] = {}
+    for b in found:
+        if b.wrapper and b.content:
+            held.setdefault(b.wrapper, []).append(b)
+    if not held:
+        return
+    for own in held.values():
+        for b in own:
+            b.aside = False
+            b.label = first_pass(b)
+            b.aside = True
+
+    def weight(own: list[Block]) -> int:
+        """Text of the largest article, main element or content container."""
+        parts = [list(p) for _, p in groupby(own, key=lambda b: (b.content, b.article))]
+        return max(_size(p) if p[0].content == 2 else _prose(p) for p in parts)
+
+    plain = [b for b in found if not b.aside]
+    other = _size([b for b in plain if b.article or b.main]) + _prose([b for b in plain if not (b.article or b.main)])
+    for own in sorted(held.values(), key=weight, reverse=True):
+        if weight(own) < max(1, other):
+            break
+        other += _size(own)
+        for b in own:
+            b.aside = False
+    for b in found:
+        if b.aside:
+            b.label = "bad"
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
     for b in found:
         b.label = first_pass(b)
+    take_back(found)
     seen = [b for b in found if not b.aside]
     in_article, outside = [b for b in seen if b.article], [b for b in seen if not b.article]
     cards = _size(in_article) < _prose(outside)
