@@ -232,6 +232,16 @@ def test_near_duplicates_equal_brute_force(spark, docs, texts):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_buckets_without_a_window(spark):
+    rows = [(i, [1, 100 + i], [7]) for i in range(50)] + [(99, [5], [5])]
+    got = near_dup._buckets(spark.createDataFrame(rows, "id long, a array<long>, b array<long>"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan and "partial_count" in plan
+    found = got.collect()
+    assert len({(r["key"], r["pivot"]) for r in found}) == 1 and sorted(r["id"] for r in found) == list(range(50))
+    assert found[0]["pivot"] in range(50)
+
+
 def test_near_duplicates_edge_rows(odd, empty):
     got = near_dup.near_duplicates(odd).collect()
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == collections.Counter(

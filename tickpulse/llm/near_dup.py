@@ -27,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F
 
 from .common import columns_of, drop_written, map_texts, written
 from .components import connected_components
@@ -219,6 +219,16 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(run, "x long, y long")
 
 
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(key, id, pivot) of the keys that several sets share. Tensored tables: every pair of a half key of the first
+    and of the second collection is a key. A large bucket is one row of the aggregate, and the join can split it."""
+    keys = nodes.select("id", F.posexplode("a").alias("i", "a"), "b").select("id", "i", "a", F.explode("b").alias("b")) \
+        .select(F.xxhash64("a", "b").alias("key"), "id", F.xxhash64("id", "i").alias("rank"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rank", "id"))["id"].alias("pivot")) \
+        .where("size > 1").select("key", "pivot")
+    return keys.select("key", "id").join(shared, "key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     sigs = written(_signatures(docs, id_col, text_col), "nd-signatures")
@@ -227,14 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     speaks = classes.groupBy("rep").agg(F.min("digest").alias("digest")).withColumnRenamed("rep", "id")
     nodes = sigs.join(speaks, ["id", "digest"]).dropDuplicates(["id"])
 
-    # Tensored tables: every pair of a half key of the first and of the second collection is a key.
-    keys = nodes.select("id", F.posexplode("a").alias("i", "a"), "b").select("id", "i", "a", F.explode("b").alias("b")) \
-        .select(F.xxhash64("a", "b").alias("key"), "id", "i")
-    by_key = Window.partitionBy("key")
-    rank = F.xxhash64("id", "i")
-    buckets = written(keys.withColumn("size", F.count("*").over(by_key))
-                      .withColumn("pivot", F.min(F.struct(rank.alias("rank"), "id")).over(by_key)["id"])
-                      .where("size > 1"), "nd-buckets")
+    buckets = written(_buckets(nodes), "nd-buckets")
     members = written(nodes.join(buckets.select("id").distinct(), "id").select("id", "digest", "n", "odd"), "nd-members")
     sets = written(_sets(docs, id_col, text_col, members), "nd-sets")
     sketch = members.select("id", "n", "odd")
