@@ -333,6 +333,20 @@ def test_fold_reads_lookalikes():
     assert toxicity.fold("1D10T ѕtuріd ＳＣＵＭ lo​ser t!me!") == "idiot stupid scum loser time!"
 
 
+def test_toxicity_sample_has_one_row_of_an_id(spark):
+    rows = [(1, f"text {i}") for i in range(300)] + [(1, None), (2, None), (3, "b"), (3, "b"), (None, "x"), (4, "no label")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (5, 1), (None, 1)], "doc_id long, toxic int")
+
+    def sample(d, n):
+        return sorted(map(tuple, toxicity.labelled_sample(d, labels, "doc_id", "text", "toxic", None, n).collect()), key=str)
+
+    got = sample(docs, 10)
+    assert got == sample(docs.repartition(7), 10) and len(got) == 3
+    assert (None, 0) in got and ("b", 0) in got and [y for t, y in got if t and t.startswith("text")] == [1]
+    assert all(len(sample(docs, n)) <= n for n in (1, 2, 3))
+
+
 def test_toxicity_learns_and_leaves_clean_texts(spark):
     rng = random.Random(1)
     words = [f"{a}{b}" for a in ("lan", "mor", "tiv", "sel", "gra") for b in ("ta", "no", "ri", "ve", "shu")]

@@ -7,7 +7,7 @@ entry is harmless are exceptions and cancel its hits. A text's score is a logist
 weights, taken plainly and divided by its length in words, with three coefficients fitted on the same rows.
 
 Learning reads a bounded sample: the ``SAMPLE_ROWS`` labelled training rows with the smallest hash of the id
-(all of them where there are fewer). Scoring reads every text whole.
+(all of them where there are fewer), one text for each id. Scoring reads every text whole.
 
 Null text counts as empty and scores as a text without hits. Rows stay as they are (repeated rows and null
 ids too). Null labels, or label rows without a document, teach nothing; with no toxic or no clean training row
@@ -155,8 +155,9 @@ class Matcher:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     train: F.Column | None, rows: int) -> DataFrame:
-    """Texts and labels of at most ``rows`` training rows. The ids are few by that bound, so they are broadcast
-    and the texts stay where they are."""
+    """Texts and labels of at most ``rows`` training rows, one for each id: of an id's texts the one with the
+    smallest hash, a null text only where it has no other. The ids are few by that bound, so they are broadcast; an
+    id's rows become one before they are shuffled."""
     ids = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .where("id IS NOT NULL AND y IN (0, 1)")
     ids = ids.groupBy("id").agg(F.max("y").alias("y"))
@@ -164,7 +165,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         ids = ids.where(train)
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), "id").select("text", "y")
+    found = texts.join(F.broadcast(ids), "id")
+    order = F.struct(F.col("text").isNull(), F.xxhash64("text"), "text")
+    return found.groupBy("id", "y").agg(F.min(order)["text"].alias("text")).select("text", "y")
 
 
 def _patterns(folded: str) -> set[str]:
