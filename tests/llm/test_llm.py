@@ -232,6 +232,21 @@ def test_near_duplicates_equal_brute_force(spark, docs, texts):
     assert got == brute_components(rows)
 
 
+def test_accounts_in_groups_and_cues_of_any_case():
+    def accounts(text):
+        return [text[a:b] for k, a, b in pii.find(text) if k == "account"]
+
+    for cue in ("account no.", "ACCOUNT NO.", "KONTO:", "Konto", "aCCt #", "IBAN", "CUENTA NUMBER", "compte"):
+        assert accounts(f"my {cue} 1234 5678 9012, and so on") == ["1234 5678 9012"]
+        assert accounts(f"my {cue} 12345678") == ["12345678"]
+    assert accounts("account 12-34 5678-90.") == ["12-34 5678-90"]
+    assert accounts("account 1234 5678 9012 3456 78 9") == ["1234 5678 9012 3456 78"]
+    assert accounts("account 1234567890123456 789") == ["1234567890123456"]
+    assert accounts("account 1234  5678 9012") == accounts("account 12 34 x 5678 9012") == accounts("account 1234567890123456789 12") == []
+    assert accounts("account 12345678 - 9") == ["12345678"] and accounts("account 12345678 ") == ["12345678"]
+    assert pii.redacted("ACCOUNT 1234 5678 9012 is mine") == "ACCOUNT [ACCOUNT] is mine"
+
+
 def test_near_duplicates_buckets_without_a_window(spark):
     rows = [(i, [1, 100 + i], [7]) for i in range(50)] + [(99, [5], [5])]
     got = near_dup._buckets(spark.createDataFrame(rows, "id long, a array<long>, b array<long>"))

@@ -6,7 +6,7 @@ address, card or phone number, URL or account and validates it, in time linear i
 kinds are, exactly, the leftmost non-overlapping matches of the patterns in ``BASE`` that pass their test.
 
 Added kinds: ``url`` (scheme and the run after it), ``iban`` (country code and mod-97 check), ``account``
-(8 to 18 digits after a cue word). Spans are code points, end exclusive.
+(8 to 18 digits, with hyphens or single spaces between groups, after a cue word of any case). Spans are code points, end exclusive.
 
 Null text counts as empty: no spans. Rows stay as they are (repeated rows and null ids too). Other columns
 are not read; ``redact`` keeps them all.
@@ -15,6 +15,7 @@ are not read; ``redact`` keeps them all.
 from __future__ import annotations
 
 import hashlib
+from itertools import product
 
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
@@ -30,12 +31,13 @@ BASE = {
 }
 KINDS = [*BASE, "url", "iban", "account"]
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "HTTP://", "HTTPS://")
-CUES = ("IBAN", "iban", "Iban", "account", "Account", "acct", "Konto", "konto", "cuenta", "Cuenta", "compte", "Compte")
+CUES = ("iban", "account", "acct", "konto", "cuenta", "compte")
 
 DIGITS = frozenset("0123456789")
 LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
 LOCAL = LABEL | frozenset("._%+")
 PHONE = DIGITS | frozenset(" ().-")
+GROUP = DIGITS | frozenset("-")
 URL_STOP = frozenset(" \t\r\n\f\v<>\"'`{}|\\^")
 UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
@@ -49,7 +51,8 @@ def _automaton() -> ahocorasick.Automaton:
     for s in SCHEMES:
         a.add_word(s, ("scheme", len(s)))
     for c in CUES:
-        a.add_word(c, ("cue", len(c)))
+        for cased in product(*((x, x.upper()) for x in c)):
+            a.add_word("".join(cased), ("cue", len(c)))
     a.make_automaton()
     return a
 
@@ -78,6 +81,14 @@ def _run(text: str, at: int, chars: frozenset) -> int:
     return at
 
 
+def _group(text: str, at: int) -> int:
+    """End of the digits and hyphens from ``at``, without hyphens at the end."""
+    end = _run(text, at, GROUP)
+    while end > at and text[end - 1] == "-":
+        end -= 1
+    return end
+
+
 def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     start = at
     while start > floor and text[start - 1] in LOCAL:
@@ -165,12 +176,18 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 url_end = end
         else:
             start = last + 1
-            while start < n and start - last <= 24 and text[start] not in DIGITS and text[start] in " :#.=Nnoumber°":
+            while start < n and start - last <= 24 and text[start] not in DIGITS and text[start] in " :#.=NOUMBERnoumber°":
                 start += 1
-            end = _run(text, start, DIGITS | frozenset("-"))
-            while end > start and text[end - 1] == "-":
-                end -= 1
-            if start >= account_end and 8 <= sum(c in DIGITS for c in text[start:end]) <= 18:
+            end = _group(text, start)
+            digits = sum(c in DIGITS for c in text[start:end])
+            while 0 < digits < 18 and text[end:end + 1] == " " and text[end + 1:end + 2] in DIGITS:
+                stop = _group(text, end + 1)
+                digits += sum(c in DIGITS for c in text[end:stop])
+                if digits > 18:
+                    digits -= sum(c in DIGITS for c in text[end:stop])
+                    break
+                end = stop
+            if start >= account_end and 8 <= digits <= 18:
                 found["account"].append((start, end))
                 account_end = end
     return [(k, s, e) for k in KINDS for s, e in sorted(found[k])]
