@@ -4,9 +4,10 @@ The vocabulary is a merge vocabulary (the pair whose joined piece has the best s
 prefix of a text has one last token, so after a character the state is: the longest suffix that may still grow
 into a piece, with the last token and the token count (relative to now) at each position of that suffix. There
 are finitely many; transitions are compiled when they first occur and carry the change in the number of
-tokens. No piece has a space mark after another character, so every word chunk starts in the start state: its
-state map is (start -> start, count). Chunk maps compose by adding counts, associatively, and a text's prefix
-scan over its chunks ends in its token count. A chunk's map is kept, so repeated words are not read again.
+tokens. No piece has a space mark after another character, so every word chunk starts in the start state: of its
+state map only (start -> start, count) is ever asked for. Such maps compose by adding counts, so the scan over
+a text's chunks is their sum; there is no other state map and no parallel scan. A chunk's count is kept, so
+repeated words are not read again. A chunk is read serially from end to end, however long it is.
 
 Characters outside the vocabulary emit one token per UTF-8 byte and end the suffix. Null and empty texts have
 0 bytes and 0 tokens. Rows stay as they are (repeated rows and null ids too); other columns are not read.
@@ -113,7 +114,7 @@ class Transducer:
         counts = [chunks.get(w) for w in words]
         if None in counts:
             counts = [self.chunk_map(w) if n is None else n for w, n in zip(words, counts)]
-        return int(np.cumsum(counts)[-1])  # the scan: each chunk map is (start -> start, count)
+        return int(np.cumsum(counts)[-1])  # the scan, a sum: every chunk leads from start to start
 
     def chunk_map(self, word: str) -> int:
         """The chunk's count; ``word`` leaves out the chunk's first space."""
