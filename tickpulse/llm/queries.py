@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, lm, near_dup, neighbours, packing, pii, token_counts, toxicity
+from . import (bpe, fingerprints, hard_negatives, html_text, lm, mixing, near_dup, neighbours, packing, pii, spelling,
+               token_counts, toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +76,22 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"), F.expr("crc32(cast(doc_id as string)) % 7 <> 2"))
 
 
+@_register
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+@_register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damage=199)
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
@@ -107,4 +124,91 @@ reach(doc_id, other) AS (
 c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, sh.doc_id = component_id AS kept
 FROM sh JOIN c ON sh.doc_id = c.doc_id""",
+    "op11_source_mix": r"""
+WITH w AS (
+  SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS tie FROM documents),
+q AS (
+  SELECT doc_id, source, tie, CAST(len(words) AS BIGINT) AS size, ln(1.0::DOUBLE + len(list_distinct(words))) AS a,
+         ln(1.0::DOUBLE + len(words)) AS b FROM w),
+d AS (
+  SELECT doc_id, source, tie, size, -ln((CAST('0x' || substr(tie, 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496::DOUBLE)
+         / greatest(CASE WHEN size > 0 THEN (a / b) * (a / b) ELSE 1.0 END, 0.000001) AS key FROM q),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+c AS (
+  SELECT sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+         sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight::DOUBLE ROWS UNBOUNDED PRECEDING) AS held,
+         sum(weight) OVER (ORDER BY 3 * source_size / weight::DOUBLE ROWS UNBOUNDED PRECEDING) AS used FROM s),
+l AS (
+  SELECT coalesce(max(share), 0) AS share FROM (
+    SELECT total::DOUBLE / weights AS share FROM c UNION ALL
+    SELECT (total - held)::DOUBLE / (weights - used) FROM c WHERE weights > used)),
+t AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, weight * share) AS target FROM s, l),
+e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size)) ELSE 0 END::BIGINT AS epochs FROM t),
+r AS (
+  SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.tie ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, CAST(times * size AS BIGINT) AS taken, CAST(times AS BIGINT) AS times
+FROM (SELECT *, epochs + CASE WHEN 2 * before + size <= 2 * rest THEN 1 ELSE 0 END AS times FROM r)""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: greatest(least(floor(256 * CAST(x AS DOUBLE)), 16777216), -16777216)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_dot_product(a.e, c.e), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT * FROM (
+  SELECT p.anchor_id, p.positive_id,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+         s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+WHERE rank <= 3""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents),
+g AS (SELECT id, run, count(*) AS k FROM r WHERE length(run) >= 6 GROUP BY id, run),
+h AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+           lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]))) AS h
+  FROM g, t),
+o AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word, k FROM h),
+v AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM o WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+x AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+y AS (SELECT word, left(word, i - 1) || '*' || substr(word, i + 1) AS hole, left(word, i - 1) || substr(word, i + 1) AS less FROM x),
+z AS (SELECT DISTINCT y.word, v.word AS near FROM y JOIN v ON y.less = v.word),
+p AS (
+  SELECT a.word, b.word AS near FROM y a JOIN y b ON a.hole = b.hole AND a.word <> b.word
+  UNION ALL SELECT word, near FROM z UNION ALL SELECT near, word FROM z),
+f AS (
+  SELECT p.word, p.near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near FROM p JOIN v b ON p.near = b.word
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, p.near) = 1),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN f ON v.word = f.word),
+walk(word, root) AS (
+  SELECT word, word FROM forms UNION ALL
+  SELECT w.word, f.form FROM walk w JOIN forms f ON w.root = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.root FROM walk w JOIN forms f ON w.root = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN ends e ON f.word = e.word""",
 }
