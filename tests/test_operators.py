@@ -1,6 +1,7 @@
 """Aggregates, ordered scans, joins, serving reads, reshapes (FIXTURES section 2)."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pandas as pd
@@ -152,6 +153,31 @@ def test_latest_per_key_and_top_k(spark):
     assert "TakeOrderedAndProject" in SV.explain_string(top, "simple")
 
 
+def test_latest_per_key_ties_and_nulls(spark):
+    rows = [("a", 1, "x", 1.0), ("a", 1, "y", 2.0), ("a", None, "z", 3.0), (None, 5, None, 4.0), (None, 5, "b", 5.0), ("c", None, "q", 6.0)]
+    df = spark.createDataFrame(rows, "k string, t long, id string, v double").repartition(3)
+    got = SV.latest_per_key(df, ["k"], "t", ["id"])
+    assert {(r["k"], r["v"]) for r in got.collect()} == {("a", 2.0), (None, 5.0)}
+    assert "SortAggregate" not in SV.explain_string(SV.latest_per_key(df, ["k"], "t", ["v"]), "simple")
+
+
+def test_ohlc_two_steps_equal_one(spark):
+    rows = [(random.choice("ab"), random.randint(0, 5), random.choice([None, 1.0, 2.0, 3.5]), random.choice([None, 0, 2])) for _ in range(300)]
+    rows += [("n", None, 7.0, 1), ("n", 3, 2.0, 1), ("z", 1, None, None)]
+    df = spark.createDataFrame(rows, "symbol string, price_ts long, close_price double, volume long").withColumn("x", F.col("close_price"))
+    got = A.ohlc_vwap(df, counts=["x"], means=["x"])
+    assert "SortAggregate" not in SV.explain_string(got, "simple")
+    for r in got.collect():
+        own = [t for t in rows if t[0] == r["symbol"]]
+        timed = [t for t in own if t[1] is not None and t[2] is not None]
+        t0, t1 = min((t[1] for t in timed), default=None), max((t[1] for t in timed), default=None)
+        assert r["open_price"] == min((t[2] for t in timed if t[1] == t0), default=None)
+        assert r["close_price"] == max((t[2] for t in timed if t[1] == t1), default=None)
+        prices = [t[2] for t in own if t[2] is not None]
+        assert r["x_count"] == len(prices) and r["high_price"] == max(prices, default=None)
+        assert (r["x_mean"] is None) == (not prices) and (not prices or abs(r["x_mean"] - sum(prices) / len(prices)) < 1e-12)
+
+
 def test_deal_partitions_and_cache(spark):
     df = spark.range(1000).withColumn("k", F.lit(1))
     assert SV.deal(df, ["k"], partitions=4).rdd.getNumPartitions() == 4
@@ -163,11 +189,45 @@ def test_deal_partitions_and_cache(spark):
     cached.unpersist()
 
 
-def test_lambda_merge_no_double_count(spark):
-    b = spark.createDataFrame([("a", T0, 2.0, 1), ("a", T0 + dt.timedelta(2), 9.0, 9)], "topic string, ts timestamp, s double, n long")
-    s = spark.createDataFrame([("a", T0, 7.0, 7), ("a", T0 + dt.timedelta(2), 4.0, 2)], "topic string, ts timestamp, s double, n long")
-    r = SV.lambda_merge(b, s, "ts", str(T0 + dt.timedelta(1)), ["topic"], ["s"], ["n"]).first()
-    assert (r["s"], r["n"]) == (6.0, 3)
+def test_lambda_merge_sums_parts(spark):
+    a = spark.createDataFrame([("x", 1, 2.0), ("y", 1, 1.0)], "topic string, n long, s double")
+    b = spark.createDataFrame([("x", 3, 0.5), (None, 1, 1.0)], "topic string, n long, s double")
+    got = {r["topic"]: (r["n"], r["s"]) for r in SV.lambda_merge(a, b, ["topic"], ["n", "s"]).collect()}
+    assert got == {"x": (4, 2.5), "y": (1, 1.0), None: (1, 1.0)}
+
+
+def test_handover_counts_every_post_once(spark):
+    from tickpulse import jobs
+    from tickpulse.session import scratch_path
+    from tickpulse.sources.files import LakePaths
+    from tickpulse.streaming import runner
+
+    lake = LakePaths(scratch_path(spark, "handover"))
+
+    def epoch(e, rows):
+        batch = spark.createDataFrame([(t, T0 + dt.timedelta(seconds=s), v) for t, s, v in rows],
+                                      "topic string, api_timestamp timestamp, sentiment_score double")
+        runner.epoch_table_writer(lake.bronze(jobs.POSTS), ["topic"])(batch, e)
+        runner.epoch_table_writer(lake.silver(jobs.INDEX))(A.minute_index(batch), e)
+
+    def total():
+        r = jobs.unified_index(spark, lake).agg(F.sum("tweet_count"), F.sum("sentiment_sum")).first()
+        return r[0], r[1]
+
+    epoch(0, [("a", 0, 0.5), ("a", 70, -0.5), ("b", 0, 1.0)])
+    assert jobs.handover(spark, lake) is None and total() == (3, 1.0)
+    assert jobs.run_index(spark, lake) == 0 and total() == (3, 1.0)
+    epoch(1, [("a", 0, 0.25)])
+    epoch(1, [("a", 0, 0.25)])  # the epoch again
+    assert total() == (4, 1.25)
+    epoch(0, [("a", 0, 0.5), ("a", 70, -0.5), ("b", 0, 1.0)])  # an epoch behind the cut again
+    assert total() == (4, 1.25)
+    assert jobs.run_index(spark, lake) == 1 and jobs.run_index(spark, lake) == 1 and total() == (4, 1.25)
+    # an epoch whose write has not been committed is neither in the cut nor in the batch view
+    epoch(2, [("c", 0, 1.0)])
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{lake.silver(jobs.INDEX)}/epoch={2:012d}/_SUCCESS")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
+    assert jobs.run_index(spark, lake) == 1
 
 
 def test_salted_interval_join_with_hot_symbol(spark):

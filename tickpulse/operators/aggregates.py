@@ -126,6 +126,14 @@ def sentiment_distribution(df: DataFrame, group_col="topic",
                                              *distribution_counts(value_col))
 
 
+def minute_index(posts: DataFrame, ts_col="api_timestamp", group_col="topic", value_col="sentiment_score") -> DataFrame:
+    """Additive parts of the sentiment index per group and minute (the minute's end as ``ingest_timestamp``)."""
+    return (posts.groupBy(F.window(ts_col, "1 minute").alias("w"), group_col)
+            .agg(F.count("*").alias("tweet_count"), F.sum(value_col).alias("sentiment_sum"), *distribution_counts(value_col))
+            .select(group_col, F.col("w.end").alias("ingest_timestamp"), "tweet_count", "sentiment_sum",
+                    "bullish_count", "bearish_count", "neutral_count"))
+
+
 # A06
 def ohlc_vwap_columns(price_col="close_price", ts_col="price_ts",
                       volume_col="volume") -> list[Column]:
@@ -133,6 +141,7 @@ def ohlc_vwap_columns(price_col="close_price", ts_col="price_ts",
 
     ``min_by/max_by`` on a (time, price) struct make open/close independent of
     arrival order; VWAP and change % are NULL (not an error) on a zero divisor.
+    One aggregation, for streaming windows; batch groups use ``ohlc_vwap``.
     """
     p, t, v = F.col(price_col), F.col(ts_col), F.col(volume_col)
     key = F.struct(t, p)
@@ -148,8 +157,30 @@ def ohlc_vwap_columns(price_col="close_price", ts_col="price_ts",
 
 
 def ohlc_vwap(df: DataFrame, group_cols=("symbol",), price_col="close_price",
-              ts_col="price_ts", volume_col="volume") -> DataFrame:
-    return df.groupBy(*_cols(group_cols)).agg(*ohlc_vwap_columns(price_col, ts_col, volume_col))
+              ts_col="price_ts", volume_col="volume", counts: Sequence[str] = (), means: Sequence[str] = ()) -> DataFrame:
+    """The same columns by hash aggregates of primitives alone, in two steps: rows of one group and time become one
+    (ties: lowest and highest price), then times become bars. The first step's key holds the time, so a hot group
+    is spread over all tasks, and what it combines map-side (a price that joins many posts) is never shuffled.
+
+    ``counts`` and ``means`` name columns whose non-null rows are counted (``<col>_count``) or averaged
+    (``<col>_mean``). Rows without a time or a price count in the sums, but open or close nothing.
+    """
+    keys = _cols(group_cols)
+    p, t, v = F.col(price_col), F.col(ts_col), F.col(volume_col)
+    first = df.groupBy(*keys, t.alias("_t")).agg(
+        F.min(p).alias("_lo"), F.max(p).alias("_hi"), F.sum(v).alias("_v"), F.sum(p * v).alias("_pv"),
+        *[F.count(c).alias(f"_n_{c}") for c in dict.fromkeys([*counts, *means])],
+        *[F.sum(c).alias(f"_s_{c}") for c in means])
+    names = first.columns[:len(keys)]
+    at = F.when(F.col("_lo").isNotNull(), F.col("_t"))
+    open_, close = F.min_by("_lo", at), F.max_by("_hi", at)
+    return first.groupBy(*[F.col(f"`{n}`") for n in names]).agg(
+        open_.alias("open_price"), close.alias("close_price"),
+        F.max("_hi").alias("high_price"), F.min("_lo").alias("low_price"), F.sum("_v").alias("total_volume"),
+        F.try_divide(F.sum("_pv"), F.sum("_v")).alias("vwap"),
+        (F.try_divide(close - open_, open_) * 100).alias("price_change_pct"),
+        *[F.sum(f"_n_{c}").alias(f"{c}_count") for c in counts],
+        *[F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(f"{c}_mean") for c in means])
 
 
 # A07

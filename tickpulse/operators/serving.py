@@ -1,9 +1,10 @@
 """Serving-layer reads (T01-T06, SET1, K09) and reshaping helpers.
 
-Serving reads are small parametric queries over keyed tables; every one is
-a filter + (top-k | aggregate), so Catalyst pushes the filters into the scan
-and ``orderBy().limit()`` plans as TakeOrderedAndProject (a per-partition
-top-k, never a full sort).
+Serving reads are small parametric queries: a filter + (top-k | aggregate) over
+any frame. ``orderBy().limit()`` plans as TakeOrderedAndProject (a per-partition
+top-k, never a full sort). Whether a filter prunes the scan depends on what lies
+below: over ``sources.stored.StoredTable`` the dashboard reads touch only the
+folders and row groups they ask for.
 """
 
 from __future__ import annotations
@@ -31,22 +32,36 @@ def latest_for_key(df: DataFrame, key_col: str, key, ts_col: str) -> DataFrame:
     return df.filter(F.col(key_col) == key).orderBy(F.col(ts_col).desc()).limit(1)
 
 
-# WF4 -- latest row per key as an aggregate (partial aggregation, skew-safe)
+# WF4 -- latest row per key: time first, then the tie-breaks, each a hash aggregate of primitives
 def latest_per_key(df: DataFrame, key_cols: Sequence[str], ts_col: str,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
-    payload = [c for c in df.columns if c not in key_cols]
-    order = F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak])
-    agg = df.groupBy(*key_cols).agg(F.max_by(F.struct(*payload), order).alias("_r"))
-    return agg.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in payload])
+    """The row of the largest ``ts_col`` (then of the largest ``tiebreak`` columns) of every key; null keys are a key.
+
+    Each step finds one column's maximum per key (combined map-side, no sort) and keeps the rows that have it; the
+    maxima are one row a key, so Spark broadcasts them where they are small. Rows that agree in all those columns
+    all stay: the tie-break should make the order total. Rows with a null time are never the latest; null
+    tie-breaks are the smallest. (Spark sorts to find the maximum of a string, here of the tied rows only.)
+    """
+    rows = df.where(F.col(ts_col).isNotNull())
+    for c in (ts_col, *tiebreak):
+        best = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)]).agg(F.max(c).alias("_best"))
+        same = F.col(c).eqNullSafe(F.col("_best"))
+        for i, k in enumerate(key_cols):
+            same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        rows = rows.join(best, same, "left_semi")
+    return rows
 
 
 # T03
 def range_series(index: DataFrame, topic: str, start, end, ts_col: str = "ingest_timestamp",
                  series: Sequence[str] = SERIES) -> DataFrame:
     """One metric per series for a topic in the open interval (start, end)."""
-    f = index.filter((F.col("topic") == topic) & (F.col(ts_col) > F.lit(start).cast("timestamp"))
-                     & (F.col(ts_col) < F.lit(end).cast("timestamp")))
-    return f.unpivot([ts_col], list(series), "series", "value")
+    return as_series(index.filter((F.col("topic") == topic) & (F.col(ts_col) > F.lit(start).cast("timestamp"))
+                                  & (F.col(ts_col) < F.lit(end).cast("timestamp"))), ts_col, series)
+
+
+def as_series(rows: DataFrame, ts_col: str = "ingest_timestamp", series: Sequence[str] = SERIES) -> DataFrame:
+    return rows.unpivot([ts_col], list(series), "series", "value")
 
 
 # T04
@@ -84,13 +99,10 @@ def crossovers(index: DataFrame, ts_col: str = "ingest_timestamp") -> DataFrame:
 
 
 # SET1
-def lambda_merge(batch_view: DataFrame, speed_view: DataFrame, ts_col: str, cut,
-                 keys: Sequence[str], sums: Sequence[str], counts: Sequence[str]) -> DataFrame:
-    """Unified view: batch rows before ``cut`` + speed rows from ``cut`` on,
-    re-aggregating additive parts (sums, counts); means are derived after."""
-    c = F.lit(cut).cast("timestamp")
-    parts = batch_view.filter(F.col(ts_col) < c).unionByName(speed_view.filter(F.col(ts_col) >= c))
-    return parts.groupBy(*keys).agg(*[F.sum(x).alias(x) for x in [*sums, *counts]])
+def lambda_merge(batch_view: DataFrame, speed_view: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Unified view of two sets of additive parts that share no row: sums per key; means are derived after."""
+    return batch_view.select(*keys, *parts).unionByName(speed_view.select(*keys, *parts)) \
+        .groupBy(*keys).agg(*[F.sum(x).alias(x) for x in parts])
 
 
 # K09

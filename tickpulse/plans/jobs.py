@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import jobs
+from ..operators import aggregates as A
 from ..session import scratch_path
 from ..sources import messages as MSG
 from ..sources import testviews as V
@@ -62,6 +63,35 @@ def q_speed_job(spark, d):
         .unionByName(held(jobs.serving_prices(spark, lake).read(), "market_data", "symbol", "close_price"))
 
 
+@register("lambda_merge", "SET1 K01 K06", with_views(["tweets_v"], f"""
+SELECT topic, count(*) AS tweet_count, {r('sum(sentiment_score)')} AS sentiment_sum,
+       {r('avg(sentiment_score)')} AS avg_sentiment, count_if(sentiment_score >= 0.05) AS bullish_count,
+       count_if(api_timestamp < mid) AS batch_posts, count_if(api_timestamp >= mid) AS speed_posts
+FROM tweets_v, midpoint GROUP BY topic""", extra="""midpoint AS (
+  SELECT to_timestamp((epoch(min(ts)) + epoch(max(ts))) / 2)::TIMESTAMP AS mid FROM events)"""))
+def q_lambda_merge(spark, d):
+    """A batch run between two runs of the speed layer (the early half's messages, then the late half's), the last
+    epoch's batch written again as a replay would, and the unified view over the stored cut."""
+    lake = LakePaths(scratch_path(spark, "lambda"))
+    src = scratch_path(spark, "lambda-messages")
+    for half in ("early", "late"):
+        spark.read.text(SS.message_dir(spark, d, "tweets", half)).write.mode("append").text(src)
+        q = jobs.start_posts(SS.tweets_from_messages(SS.read_messages(spark, src)), lake)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        if half == "early":
+            jobs.run_index(spark, lake)
+    last = R.last_written(spark, lake.silver(jobs.INDEX))
+    again = spark.read.parquet(f"{lake.bronze(jobs.POSTS)}/epoch={last:012d}")
+    R.epoch_table_writer(lake.silver(jobs.INDEX))(A.minute_index(again), last)
+    view = jobs.unified_index(spark, lake).groupBy("topic").agg(
+        F.sum("tweet_count").alias("tweet_count"), F.sum("sentiment_sum").alias("sentiment_sum"),
+        F.sum("bullish_count").alias("bullish_count"),
+        *[F.sum(F.when(F.col("view") == v, F.col("tweet_count")).otherwise(0)).alias(f"{v}_posts") for v in ("batch", "speed")])
+    return view.withColumn("avg_sentiment", F.col("sentiment_sum") / F.col("tweet_count"))
+
+
 @register("message_sink", "SRC10 SRC2 P01", with_views(["prices_v"], f"""
 SELECT symbol, trade_timestamp, {r('close_price')} AS close_price, volume FROM prices_v"""))
 def q_message_sink(spark, d):

@@ -101,13 +101,10 @@ FROM silver GROUP BY 1, 2, symbol"""
 @register("ohlc_vwap", "A06 P13", silver_sql(_OHLC_SQL))
 def q_ohlc_vwap(spark, d):
     """5-minute OHLC, volume, VWAP and change % per symbol over joined rows."""
-    s = _silver(spark, d)
     w = F.window("price_ts", "5 minutes")
-    out = s.groupBy(w.alias("w"), "symbol").agg(
-        F.count("tweet_id").alias("tweet_count"), F.avg("sentiment_score").alias("avg_sentiment"),
-        *A.ohlc_vwap_columns("close_price", "price_ts", "volume"))
-    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      *[c for c in out.columns if c != "w"])
+    bars = A.ohlc_vwap(_silver(spark, d), [w.start.alias("window_start"), w.end.alias("window_end"), F.col("symbol")],
+                       counts=["tweet_id"], means=["sentiment_score"])
+    return bars.withColumnsRenamed({"tweet_id_count": "tweet_count", "sentiment_score_mean": "avg_sentiment"})
 
 
 _DEDUPED_SQL = f"""

@@ -11,6 +11,7 @@ from ..operators import ordered
 from ..operators import serving as SV
 from ..session import scratch_path
 from ..sources import files as FS
+from ..sources import stored as ST
 from ..sources import testviews as V
 from .registry import r, register
 from .sqlviews import with_views
@@ -20,7 +21,6 @@ TOPIC = "CLICK"
 RANGE_FROM = "2024-01-02 00:00:00"
 RANGE_TO = "2024-01-05 00:00:00"
 LOOKUP_UUID = "42"
-LAMBDA_CUT = "2024-01-10 00:00:00"
 
 _INDEX_CTE = """idx AS (
   SELECT topic, to_timestamp(floor(epoch(api_timestamp) / 60) * 60 + 60)::TIMESTAMP AS ingest_timestamp,
@@ -33,13 +33,26 @@ _INDEX_CTE = """idx AS (
 
 def _index(spark, d):
     """Per-(topic, minute) sentiment index in batch form (the serving table's content)."""
-    t = V.tweets_v(spark, d)
-    w = F.window("api_timestamp", "1 minute")
-    return (t.groupBy(w.alias("w"), "topic")
-            .agg(F.count("*").alias("tweet_count"), F.sum("sentiment_score").alias("sentiment_sum"),
-                 *A.distribution_counts("sentiment_score"))
-            .select("topic", F.col("w.end").alias("ingest_timestamp"), "tweet_count",
-                    "sentiment_sum", "bullish_count", "bearish_count", "neutral_count"))
+    return A.minute_index(V.tweets_v(spark, d))
+
+
+POST_COLUMNS = ["uuid", "topic", "api_timestamp", "sentiment_score"]
+
+
+def stored_posts(spark, d) -> ST.StoredTable:
+    """Posts stored by (topic, day) and by id."""
+    t = V.tweets_v(spark, d).select(*POST_COLUMNS)
+    root = ST.stored_once(spark, "stored-posts", [f"{d}/events.parquet"],
+                          lambda path: ST.StoredTable(spark, path, t.schema, ts_col="api_timestamp", id_col="uuid").append(t))
+    return ST.StoredTable(spark, root, t.schema, ts_col="api_timestamp", id_col="uuid")
+
+
+def stored_index(spark, d) -> ST.StoredTable:
+    """The minute index stored by (topic, day)."""
+    idx = _index(spark, d)
+    root = ST.stored_once(spark, "stored-index", [f"{d}/events.parquet"],
+                          lambda path: ST.StoredTable(spark, path, idx.schema).append(idx))
+    return ST.StoredTable(spark, root, idx.schema)
 
 
 def index_sql(body: str) -> str:
@@ -59,10 +72,9 @@ def q_preview_top_n(spark, d):
 SELECT topic, ingest_timestamp, {r('sentiment_sum / tweet_count')} AS sentiment_score_avg
 FROM idx WHERE topic = '{TOPIC}' ORDER BY ingest_timestamp DESC LIMIT 1"""))
 def q_topic_latest_one(spark, d):
-    """Gauge: the latest index row of one topic."""
-    idx = _index(spark, d).withColumn("sentiment_score_avg", F.col("sentiment_sum") / F.col("tweet_count"))
-    return SV.latest_for_key(idx, "topic", TOPIC, "ingest_timestamp").select(
-        "topic", "ingest_timestamp", "sentiment_score_avg")
+    """Gauge: the latest index row of one topic, from its last day's folder of the stored index."""
+    return stored_index(spark, d).latest(TOPIC).select(
+        "topic", "ingest_timestamp", (F.col("sentiment_sum") / F.col("tweet_count")).alias("sentiment_score_avg"))
 
 
 @register("latest_per_topic", "WF4", index_sql(f"""
@@ -70,10 +82,19 @@ SELECT topic, ingest_timestamp, {r('sentiment_sum / tweet_count')} AS sentiment_
 FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY ingest_timestamp DESC) AS rn FROM idx) x
 WHERE rn = 1"""))
 def q_latest_per_topic(spark, d):
-    """Latest index row of every topic (max_by aggregate, partial per task)."""
-    idx = _index(spark, d).withColumn("sentiment_score_avg", F.col("sentiment_sum") / F.col("tweet_count"))
-    return SV.latest_per_key(idx.select("topic", "ingest_timestamp", "sentiment_score_avg"),
-                             ["topic"], "ingest_timestamp")
+    """Latest row of every topic, from the topics' last folders of the stored index."""
+    return stored_index(spark, d).latest_per_topic().select(
+        "topic", "ingest_timestamp", (F.col("sentiment_sum") / F.col("tweet_count")).alias("sentiment_score_avg"))
+
+
+@register("latest_post_per_topic", "WF4", with_views(["tweets_v"], f"""
+SELECT topic, uuid, api_timestamp, {r('sentiment_score')} AS sentiment_score
+FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY api_timestamp DESC, uuid DESC) AS rn FROM tweets_v) x
+WHERE rn = 1"""))
+def q_latest_post_per_topic(spark, d):
+    """Latest post of every topic over a whole table: hash aggregates of the time, then of the id."""
+    return SV.latest_per_key(V.tweets_v(spark, d).select("topic", "uuid", "api_timestamp", "sentiment_score"),
+                             ["topic"], "api_timestamp", ["uuid"])
 
 
 @register("topic_range_series", "T03", index_sql(f"""
@@ -87,8 +108,8 @@ SELECT ingest_timestamp, series, value FROM (
   SELECT ingest_timestamp, 'neutral_count', neutral_count FROM idx
     WHERE topic = '{TOPIC}' AND ingest_timestamp > TIMESTAMP '{RANGE_FROM}' AND ingest_timestamp < TIMESTAMP '{RANGE_TO}') s"""))
 def q_topic_range_series(spark, d):
-    """Bullish / bearish / neutral series of a topic in an open time range."""
-    return SV.range_series(_index(spark, d), TOPIC, RANGE_FROM, RANGE_TO)
+    """Bullish / bearish / neutral series of a topic in an open time range of the stored index."""
+    return SV.as_series(stored_index(spark, d).between(TOPIC, RANGE_FROM, RANGE_TO))
 
 
 @register("market_composition", "T04", index_sql(f"""
@@ -109,9 +130,8 @@ def q_market_composition(spark, d):
 SELECT uuid, topic, api_timestamp, {r('sentiment_score')} AS sentiment_score FROM tweets_v
 WHERE api_timestamp > (SELECT max(api_timestamp) FROM tweets_v) - INTERVAL 15 MINUTE"""))
 def q_trailing_window(spark, d):
-    """Posts of the last 15 minutes before the newest post."""
-    t = V.tweets_v(spark, d).select("uuid", "topic", "api_timestamp", "sentiment_score")
-    return SV.trailing_window(t, "api_timestamp", 15)
+    """Stored posts of the last 15 minutes before the newest post."""
+    return stored_posts(spark, d).trailing(15)
 
 
 @register("bull_bear_crossover", "T06", index_sql("""
@@ -127,27 +147,12 @@ def q_bull_bear_crossover(spark, d):
         F.col("prev_sign").cast("int").alias("prev_sign"))
 
 
-@register("lambda_merge", "SET1", index_sql(f"""
-SELECT topic, sum(tweet_count) AS tweet_count, {r('sum(sentiment_sum)')} AS sentiment_sum,
-       sum(bullish_count) AS bullish_count,
-       {r('sum(sentiment_sum) / sum(tweet_count)')} AS avg_sentiment
-FROM idx GROUP BY topic"""))
-def q_lambda_merge(spark, d):
-    """Batch view before a cut + speed view after it, additive parts re-aggregated."""
-    batch_view = _index(spark, d)
-    speed_view = _index(spark, d)
-    m = SV.lambda_merge(batch_view, speed_view, "ingest_timestamp", LAMBDA_CUT, ["topic"],
-                        ["sentiment_sum"], ["tweet_count", "bullish_count"])
-    return m.withColumn("avg_sentiment", F.col("sentiment_sum") / F.col("tweet_count"))
-
-
 @register("lookup_by_id", "K09", with_views(["tweets_v"], f"""
 SELECT uuid, topic, api_timestamp, {r('sentiment_score')} AS sentiment_score FROM tweets_v
 WHERE uuid = '{LOOKUP_UUID}'"""))
 def q_lookup_by_id(spark, d):
-    """Point lookup of a post by its secondary id."""
-    t = V.tweets_v(spark, d).select("uuid", "topic", "api_timestamp", "sentiment_score")
-    return SV.lookup(t, "uuid", LOOKUP_UUID)
+    """Point lookup of a post by its secondary id in the table stored by id."""
+    return stored_posts(spark, d).lookup(LOOKUP_UUID)
 
 
 _PIVOT_CTE = """piv AS (

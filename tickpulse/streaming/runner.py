@@ -150,6 +150,14 @@ def epoch_table_writer(path: str, partition_by: Sequence[str] | None = None
     return write
 
 
+def last_written(spark: SparkSession, path: str, name: str = "epoch") -> int | None:
+    """The largest ``name=<id>`` folder under ``path`` whose write has been committed; None without one."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    glob = fs_path(f"{path}/{name}=*/_SUCCESS")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+    return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found), default=None)
+
+
 def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """One foreachBatch feeding several sinks: the micro-batch (decoded and
     scored once) is persisted for the epoch and handed to every writer, instead

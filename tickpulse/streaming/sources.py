@@ -1,8 +1,8 @@
 """Message streams derived from the driver tables.
 
-Messages are written once per process as JSON lines (one ``value`` per row,
-exactly what a Kafka source would hand over) under the shared checkpoint
-root; streams read them with ``readStream.text`` and decode with the declared
+Messages are written once per application and state of the input as JSON lines
+(one ``value`` per row, exactly what a Kafka source would hand over) under the
+shared checkpoint root; streams read them with ``readStream.text`` and decode with the declared
 schemas (SRC1-SRC3). ``split_at_midpoint`` writes the data in two time halves
 so resume (SRC8/W09) and late data (W06) can be exercised.
 """
@@ -13,11 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..schemas import PRICE_MESSAGE, TWEET_MESSAGE
-from ..session import scratch_path
 from ..sources import messages as MSG
 from ..sources import testviews as V
-
-_CACHE: dict[tuple, str] = {}
+from ..sources.stored import stored_once
 
 # Test posts carry the event value from which their score is derived.
 TWEET_TEST_MESSAGE = StructType(TWEET_MESSAGE.fields + [StructField("value", DoubleType(), True),
@@ -55,23 +53,19 @@ _BUILDERS = {"tweets": _tweet_messages, "user_tweets": _user_tweet_messages,
              "prices": _price_messages}
 
 
-def message_dir(spark: SparkSession, sf_dir: str, kind: str, half: str | None = None,
-                fresh: bool = False) -> str:
+def message_dir(spark: SparkSession, sf_dir: str, kind: str, half: str | None = None) -> str:
     """Folder of JSON-line messages of ``kind``; ``half`` = 'early'/'late' splits
     at the midpoint of the event-time range."""
-    key = (sf_dir, kind, half)
-    if key in _CACHE and not fresh:
-        return _CACHE[key]
-    msgs = _BUILDERS[kind](spark, sf_dir)
-    if half:
-        mid = F.lit(split_at_midpoint(spark, sf_dir)).cast("timestamp")
-        ts = F.try_to_timestamp("_ts")
-        cond = ts < mid if half == "early" else ts >= mid
-        msgs = msgs.filter(cond)
-    path = scratch_path(spark, f"messages-{kind}-{half or 'all'}")
-    msgs.select("value").write.mode("overwrite").text(path)
-    _CACHE[key] = path
-    return path
+    def build(path: str) -> None:
+        msgs = _BUILDERS[kind](spark, sf_dir)
+        if half:
+            mid = F.lit(split_at_midpoint(spark, sf_dir)).cast("timestamp")
+            ts = F.try_to_timestamp("_ts")
+            msgs = msgs.filter(ts < mid if half == "early" else ts >= mid)
+        msgs.select("value").write.mode("overwrite").text(path)
+
+    table = "documents" if kind == "documents" else "events"
+    return stored_once(spark, f"messages-{kind}-{half or 'all'}", [f"{sf_dir.rstrip('/')}/{table}.parquet"], build)
 
 
 def split_at_midpoint(spark: SparkSession, sf_dir: str) -> str:
