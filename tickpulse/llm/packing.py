@@ -12,15 +12,15 @@ empty table gives no sequence. Columns other than the id and the text are not re
 
 from __future__ import annotations
 
-import base64
 import json
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import PATTERN, byte_alphabet
+from .bpe import PATTERN, byte_alphabet, codec
 from .common import columns_of, tokenizer_path, written
 
 SEQUENCE = 2048
@@ -67,6 +67,25 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
+#: In a longer run of white space the faster library's pattern may run out of stack; such texts go through this
+#: package's own codec (the same ids, linear time).
+RUN = 20_000
+_LONG_SPACE = re.compile(r"\s{%d}" % RUN)
+
+
+def has_long_space(text: str) -> bool:
+    if len(text) < RUN:
+        return False
+    words = text.split()
+    return len(text) - sum(map(len, words)) - len(words) >= RUN - 2 and _LONG_SPACE.search(text) is not None
+
+
+def token_ids(text: str, path: str) -> list[int] | np.ndarray:
+    if has_long_space(text):
+        return np.frombuffer(codec(path).encode_batch([text])[0], "<u4")
+    return encoder(path).encode(text, allowed_special="all", disallowed_special=())
+
+
 _ENCODERS: dict = {}
 
 
@@ -90,11 +109,10 @@ def pieces(df: DataFrame, id_col: str, text_col: str, path: str, sequence: int,
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def run(batches):
-        enc = encoder(path)
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = enc.encode(text, allowed_special="all", disallowed_special=()) if text else []
+                ids = token_ids(text, path) if text else []
                 ids = np.array([*ids, end_id], "<u4")
                 rows += [(doc, at, min(sequence, len(ids) - at), zlib.crc32(ids[at:at + sequence].tobytes()), len(ids))
                          for at in range(0, len(ids), sequence)]
