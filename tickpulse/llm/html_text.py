@@ -17,7 +17,8 @@ wrapper is taken back where it holds at least as much text as what lies outside
 
 The result is the good blocks in page order, character references decoded, white space within a block
 collapsed, joined by one space; nothing else is dropped. A null or empty page, and one without a good block,
-gives an empty text. Malformed markup (unclosed tags, cut-off ends) is read as far as it goes. Rows stay as they
+gives an empty text. Malformed markup (unclosed tags or quotes, ends without beginnings, a page that ends inside a
+tag) is read as far as it goes, in time linear in the page. Rows stay as they
 are (repeated rows and null ids too); other columns are not read.
 """
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from itertools import groupby
 
 from pyspark.sql import DataFrame, functions as F
@@ -69,7 +71,8 @@ SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.22
 LINKS_MOST, LINKS_MARKED = 0.4, 0.8
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([A-Za-z][A-Za-z0-9:-]*))")
+_STOP = re.compile("[>\"']")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe")}
 _ATTRS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -124,14 +127,43 @@ def _role(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, bool]:
     return aside, bad and not aside, article, main, content
 
 
+class TagEnds:
+    """Where tags of a page end: at the first ">" outside of quoted values. A quote without a partner is a plain
+    character, and where a tag's quotes reach over all the rest its first ">" ends it. Positions from which
+    no end was found are remembered, so all scans of a page together are linear in it."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.dead: set[int] = set()
+
+    def after(self, at: int) -> int:
+        """The place behind the tag's end; 0 without one."""
+        page, seen, p = self.page, [], at
+        while p not in self.dead:
+            seen.append(p)
+            m = _STOP.search(page, p)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.end()
+            p = m.end()
+            if m.start() < self.last[m[0]]:
+                p = page.find(m[0], p) + 1
+        self.dead.update(seen)
+        return page.find(">", at) + 1
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks, in order."""
     out: list[Block] = []
     # element; own and inherited: aside, number of the wrapper that is aside by name (0: none), 1 in a content container
     # and 2 in an article or main element within it, number of the outermost article (0: none), main, unseen
     stack: list[tuple[str, bool, int, int, int, bool, bool]] = []
+    open_tags: Counter[str] = Counter()
     links = heading = articles = wrappers = 0
     current: Block | None = None
+    body = False
 
     def state() -> tuple[bool, int, int, int, bool, bool]:
         return stack[-1][1:] if stack else (False, 0, 0, 0, False, False)
@@ -150,43 +182,53 @@ def blocks(page: str) -> list[Block]:
         if links:
             current.linked += len(s.strip())
 
-    at, n = 0, len(page)
+    at, n, ends = 0, len(page), TagEnds(page)
     while at < n:
-        m = _TOKEN.search(page, at)
+        m = _OPEN.search(page, at)
         if m is None:
-            rest = page[at:]
-            cut = rest.rfind("<")
-            text(rest[:cut] if cut >= 0 and re.match(r"</?[A-Za-z!]", rest[cut:]) else rest)  # a tag that the page's end cuts off
+            text(page[at:])
+            break
+        if m[1]:
+            end = page.find("-->", m.end()) + 3
+            end = end if end > 2 else n
+        elif m[3]:
+            end = ends.after(m.end())
+        else:
+            end = page.find(">", m.end()) + 1
+        if not end:  # the page's end cuts off its last tag
+            text(page[at:max(page.rfind("<"), m.start())])
             break
         text(page[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+        at = end
+        tag, attrs = (m[3] or "").lower(), page[m.end():end - 1]
         if not tag:
             continue
         if tag in BLOCKS:
             current = None
-        if m[1]:
+        if m[2]:
             if tag == "a":
                 links = max(0, links - 1)
             if tag in HEADINGS:
                 heading = max(0, heading - 1)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while open_tags[tag]:  # an end without its beginning closes nothing
+                closed = stack.pop()[0]
+                open_tags[closed] -= 1
+                if closed == tag:
                     break
             continue
-        if tag == "body":
+        if tag == "body" and not body:
+            body, open_tags["head"] = True, 0
             stack = [e for e in stack if e[0] != "head"]
         if tag == "a":
             links += 1
         if tag in HEADINGS:
             heading += 1
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or attrs.endswith("/"):
             continue
         if tag in ("p", "li") and stack and stack[-1][0] == tag:
-            stack.pop()  # these end where the next one begins
+            open_tags[stack.pop()[0]] -= 1  # these end where the next one begins
         aside, wrapper, content, article, main, unseen = state()
-        own_aside, own_bad, own_article, own_main, own_content = _role(tag, m[3])
+        own_aside, own_bad, own_article, own_main, own_content = _role(tag, attrs)
         if own_article or own_main:
             own_bad = False
             own_aside = own_aside and (aside or wrapper > 0)
@@ -211,6 +253,7 @@ def blocks(page: str) -> list[Block]:
         elif wrapper and own_content:
             content = content or 1
         if tag in BLOCKS or own_aside or own_article or own_main or unseen or tag in ("span", "a"):
+            open_tags[tag] += 1
             stack.append((tag, aside or own_aside and not header_of_article, wrapper, content, article, main or own_main, unseen))
     for b in out:
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.parts))).strip()
