@@ -31,13 +31,12 @@ from .common import drop_written, map_texts, written
 SAMPLE_ROWS = 20_000
 #: Lengths of word beginnings that may become entries.
 STEMS = range(4, 9)
-#: An entry is in this share of the toxic sample documents (and 3 of them) at least; 1/MIN_SHARE bounds the entries.
+#: An entry is in this share of the toxic sample documents (and 3 of them) at least,
 MIN_SHARE = 0.004
 #: ... by a log-likelihood ratio that chance doesn't reach among 1000 patterns a document,
 CHANCE_PATTERNS = 1000
 #: ... and so many times likelier in toxic documents than in clean ones.
 MIN_ODDS = 20.0
-MAX_ENTRIES = 5_000
 
 #: Characters and the letter each is read as (look-alikes from other scripts, digits and signs).
 LOOKALIKES = {
@@ -72,6 +71,7 @@ _INSIDE = re.compile(r"(?<=[^\W_])[!|+](?=[^\W_])")
 _FOLD = str.maketrans({k: v for k, v in LOOKALIKES.items() if k not in "!|+"}) | _ZERO_WIDTH
 _FOLDED = re.compile("[" + re.escape("".join(map(chr, _FOLD))) + "]")
 _WORD = re.compile(r"[^\W_]+")
+_NEXT_WORD = re.compile(r"[\s-]+[^\W_]+")
 
 
 def fold(text: str) -> str:
@@ -133,7 +133,10 @@ class Matcher:
                     best[start] = (end, weight)
         if best and self.exceptions is not None:
             for last, size in self.exceptions.iter(folded):
-                for start in range(last + 1 - size, last + 1):
+                at, end = last + 1 - size, last + 1
+                if at and folded[at - 1].isalnum() or end < n and folded[end].isalnum():
+                    continue  # the phrase goes on inside a longer word
+                for start in range(at, end):
                     best.pop(start, None)
         return [(s, e, w) for s, (e, w) in sorted(best.items())]
 
@@ -176,8 +179,7 @@ def _patterns(folded: str) -> set[str]:
     for w in set(_WORD.findall(folded)):
         if w.isdigit():
             continue
-        if 3 <= len(w) <= 40:
-            out.add(w + " ")
+        out.add(w + " ")
         out.update(w[:n] for n in STEMS if n < len(w))
     return out
 
@@ -237,12 +239,17 @@ def _phrases(batches, lexicon: Lexicon):
             for start, end, _ in m.hits(folded):
                 while end < len(folded) and folded[end].isalnum():
                     end += 1
-                after = re.match(r"[\s-]+[^\W_]+", folded[end:end + 60])
-                before = re.search(r"[^\W_]+[\s-]+\Z", folded[max(0, start - 60):start])
+                after = _NEXT_WORD.match(folded, end)
                 if after:
-                    seen.add(folded[start:end + after.end()])
-                if before:
-                    seen.add(before[0] + folded[start:end])
+                    seen.add(folded[start:after.end()])
+                gap = start
+                while gap and (folded[gap - 1].isspace() or folded[gap - 1] == "-"):
+                    gap -= 1
+                at = gap
+                while at and folded[at - 1].isalnum():
+                    at -= 1
+                if at < gap < start:
+                    seen.add(folded[at:end])
             (toxic if y else clean).update(seen)
     yield pd.DataFrame([(p, toxic[p], clean[p]) for p in toxic.keys() | clean.keys()], columns=["p", "toxic", "clean"])
 
@@ -288,13 +295,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1))
     likely = counts.where((F.col("p") != "") & (F.col("toxic") >= max(3, MIN_SHARE * n_toxic)) & (odds >= MIN_ODDS)
                           & (ratio >= 2 * math.log(CHANCE_PATTERNS * every)))
-    found = likely.orderBy(F.desc("toxic"), "p").limit(4 * MAX_ENTRIES).collect()
+    found = likely.collect()  # patterns of the sample that pass the thresholds; the sample bounds them
     words, stems = _closed(pd.DataFrame([tuple(r) for r in found], columns=["p", "toxic", "clean"]), n_toxic, n_clean)
     lexicon = Lexicon(words, stems)
     harmless = sample.mapInPandas(lambda b: _phrases(b, lexicon), "p string, toxic long, clean long") \
         .groupBy("p").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
-        .where("clean >= 3 AND clean >= 5 * toxic").orderBy(F.desc("clean"), "p").limit(MAX_ENTRIES).collect()
-    lexicon.exceptions = tuple(r["p"] for r in harmless)
+        .where("clean >= 3 AND clean >= 5 * toxic").collect()
+    lexicon.exceptions = tuple(sorted(r["p"] for r in harmless))
 
     def measure(batches):
         m = lexicon.matcher()
