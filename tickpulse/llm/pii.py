@@ -125,7 +125,7 @@ def _iban(text: str, at: int) -> tuple[int, int] | None:
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), by kind as in ``KINDS``, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    mail_end = phone_end = digit_end = url_end = account_end = 0
+    mail_end = phone_end = digit_end = url_end = account_end = cue_end = 0
     n = len(text)
     for last, (what, size) in ANCHORS.iter(text):
         at = last - size + 1
@@ -175,9 +175,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 found["url"].append((at, end))
                 url_end = end
         else:
-            start = last + 1
-            while start < n and start - last <= 24 and text[start] not in DIGITS and text[start] in " :#.=NOUMBERnoumber°":
+            start = max(last + 1, cue_end)  # what an earlier cue has passed over isn't read again
+            while start < n and text[start] in " :#.=NOUMBERnoumber°":
                 start += 1
+            cue_end = start
             end = _group(text, start)
             digits = sum(c in DIGITS for c in text[start:end])
             while 0 < digits < 18 and text[end:end + 1] == " " and text[end + 1:end + 2] in DIGITS:
@@ -259,6 +260,6 @@ def redacted(text: str) -> str:
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns with personal data replaced in ``text_col``; a null text stays null."""
-    others = [c for c in df.columns if c != text_col]
+    others = [f"`{c}`" for c in df.columns if c != text_col]
     out = map_texts(df, others, text_col, lambda: lambda texts: [[t and redacted(t) for t in texts]], {text_col: "string"})
-    return out.select(*df.columns)
+    return out.select(*[f"`{c}`" for c in df.columns])
