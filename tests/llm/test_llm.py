@@ -5,9 +5,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -468,3 +470,94 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(seen[1]) == {*range(60), 201, None}
     assert seen[2][None] == "mail me at [EMAIL]"
     assert {r["doc_id"] for r in P.run(spark, str(tmp_path)).collect()} == set(seen[2])
+
+
+def test_packing_takes_long_white_space(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    short = ["a" + " " * 30_000 + "b", "\t \n" * 9000, "x\n" + "\n" * 25_000, " " * 20_000]
+    want, _ = fixed_ids(short)
+    assert all(packing.has_long_space(t) for t in short) and not packing.has_long_space("a  " * 50_000)
+    assert [np.array(packing.token_ids(t, path), "<u4").tobytes() for t in short] == want
+    rows = [(i, c * 2_000_000) for i, c in enumerate(" \t\n")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
+    assert len(got) == 3 and all(r["n"] == r["m"] > 100 for r in got)
+
+
+def test_html_hostile_pages_take_linear_time():
+    story = "the text of the story and all that it has to say to us " * 8
+    attrs = " ".join(f'a{i}="v > {i}"' for i in range(200))
+    start = time.monotonic()
+    for tail in ("<div " + attrs, "<div " + attrs + ' b="x', "<a href='x", "<!-- never ends", "<", "</p", "</p>", "<p", '<p "'):
+        assert html_text.main_text(f"<html><body><p>{story}</p>{tail}") == story.strip()
+    assert html_text.main_text(f"<body><div {attrs}><p>{story}</p></div>") == story.strip()
+    assert html_text.main_text("<div>" * 100_000 + f"<p>{story}</p>" + "</div>" * 100_000) == story.strip()
+    assert html_text.main_text("<div>" * 100_000 + "</section>" * 100_000 + f"<p>{story}") == story.strip()
+    for part in ("<head><body>", '<a "><a "" ">', '<a "', "<a '\">", "<!", "<a ", "<!--", "a < b ", "<script", "&", "<p class='"):
+        html_text.main_text(part * 100_001)
+    assert time.monotonic() - start < 60
+
+
+def test_html_quotes_in_tags():
+    story = "the text of the story and all that it has to say to us " * 8
+    for tag in ('<p title="a > b">', "<p title='a > \" b'>", '<p title=a">', "<p it's>", '<p a="1"b=\'2\'>'):
+        assert html_text.main_text(f"<body>{tag}{story}</p>") == story.strip()
+
+
+def test_toxicity_entries_of_any_length_and_whole_exceptions():
+    m = toxicity.Lexicon({"blarg": 3.0}, {}, ("blarg plant", "nice blarg")).matcher()
+    assert [m.hits(t) != [] for t in ("blarg plantation", "blarg plant.", "nice blarg", "venice blarg", "nice blargs")] == [True, False, False, True, False]
+    assert {"ab ", "x" * 50 + " "} <= toxicity._patterns("ab " + "x" * 50)
+    got = next(toxicity._phrases([pd.DataFrame({"text": ["n" * 70 + " blarg  " + "m" * 70], "y": [0]})], toxicity.Lexicon({"blarg": 1.0})))
+    assert set(got["p"]) == {"n" * 70 + " blarg", "blarg  " + "m" * 70}
+
+
+def test_toxicity_keeps_all_entries(spark):
+    rng = random.Random(4)
+    bad = ["".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4)) for _ in range(6000)]
+    good = ["".join(rng.choice("hjvwxyz") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    rows = [(i, " ".join([*rng.sample(good, 30), *(bad if i % 10 == 0 else [])]), int(i % 10 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(df, df)
+    m = lexicon.matcher()
+    assert all(m.hits(w) for w in bad)
+
+
+def test_accounts_far_behind_a_cue():
+    t = "account " + "number " * 10 + ": 12345678"
+    assert pii.find(t) == [("account", len(t) - 8, len(t))]
+    start = time.monotonic()
+    assert pii.find("account no " * 200_000) == [] and time.monotonic() - start < 20
+
+
+def test_dotted_column_names(spark):
+    df = spark.createDataFrame([(1, "mail a@b.org", "v")], "doc_id long, text string, `x.y` string")
+    assert pii.redact(df).first()["x.y"] == "v" and pii.redact(df).columns == df.columns
+    assert toxicity.score(df, toxicity.Lexicon()).first()["x.y"] == "v"
+
+
+def brute_toxicity(lexicon, text):
+    """The score from the lexicon's entries, looked for at every word start."""
+    folded = toxicity.fold(text)
+    starts = [m.start() for m in re.finditer(r"[^\W_]+", folded)]
+    hits = {}
+    for s in starts:
+        found = [w for e, w in lexicon.stems.items() if folded.startswith(e, s)]
+        found += [w for e, w in lexicon.words.items() if re.compile(re.escape(e) + r"(?![^\W_])").match(folded, s)]
+        if found:
+            hits[s] = max(found)
+    for p in lexicon.exceptions:
+        for m in re.finditer(r"(?<![^\W_])(?=" + re.escape(p) + r"(?![^\W_]))", folded):
+            for s in [s for s in hits if m.start() <= s < m.start() + len(p)]:
+                del hits[s]
+    total = sum(hits.values())
+    a, b, c = lexicon.coefficients
+    z = a * math.log1p(total) + b * math.log1p(100 * total / max(1, len(text.split()))) + c
+    return 1 / (1 + math.exp(-z))
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    lexicon = toxicity.learn(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    assert lexicon.words or lexicon.stems
+    for r in toxicity.score(docs.select("doc_id", "text"), lexicon).collect():
+        assert math.isclose(r["score"], brute_toxicity(lexicon, r["text"] or ""), rel_tol=1e-9)
