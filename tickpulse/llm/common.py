@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..session import scratch_path
 
@@ -56,18 +57,20 @@ def map_texts(df: DataFrame, keep: list[Column | str], text_col: str, make: Call
     columns, as lists in the order of ``fields`` (name to type).
     """
     src = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    kept = [(f"`{f.name}`", f.dataType.simpleString()) for f in src.schema.fields[:-1]]
-    schema = ", ".join(f"{n} {t}" for n, t in [*kept, *((f"`{n}`", t) for n, t in fields.items())])
+    names = [*src.columns[:-1], *fields]
+    src = src.toDF(*[f"c{i}" for i in range(len(src.columns))])  # names with dots don't reach mapInArrow
     types = [_ARROW[t] for t in fields.values()]
+    kinds = [*[f.dataType for f in src.schema.fields[:-1]], *map(DataType.fromDDL, fields.values())]
+    schema = StructType([StructField(f"c{i}", t) for i, t in enumerate(kinds)])
 
     def run(batches):
         f = make()
         for b in batches:
             new = f(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *(pa.array(c, t) for c, t in zip(new, types))], names=[*b.schema.names[:-1], *fields])
+            columns = [*b.columns[:-1], *(pa.array(c, t) for c, t in zip(new, types))]
+            yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).toDF(*names)
 
 
 def columns_of(rows: list[tuple], n: int) -> list[list]:
