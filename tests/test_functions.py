@@ -86,7 +86,17 @@ def test_signed_score(spark):
     assert [r[0] for r in df.select(M.signed_score("l", "p")).collect()] == [0.9, -0.8, 0.0, None]
 
 
-KeywordScorer = M.LexiconLogitScorer
+def _keyword_scorer():
+    class Words(M.LogitScorer):
+        """A plug-in: counts of a few words."""
+
+        def logits(self, texts):
+            return np.array([[1.0, 2.0 * sum(w in t.lower() for w in ("moon", "great")), 2.0 * t.lower().count("crash")] for t in texts])
+
+    return lambda: Words()  # travels by value
+
+
+KeywordScorer = _keyword_scorer()
 
 
 def test_pluggable_scorer_batches_and_blank_guard(spark):
@@ -121,3 +131,104 @@ def test_lexicon_paths_agree(spark):
          for r in M.lexicon_sentiment_join(df, M.lexicon_frame(spark), "doc_id").collect()}
     assert a == b
     assert a[1][1] == "BULLISH" and a[2][1] == "BEARISH" and a[3] == (0.0, "NEUTRAL") and a[4] == (None, None)
+
+
+def test_default_scorer_is_built_in(spark):
+    from tickpulse.operators.serving import explain_string
+    rows = [("Great rally, crash!",), ("crash and panic",), ("nothing",), (" ",), (None,)]
+    out = M.score_table(spark.createDataFrame(rows, "text string"))
+    got = [(r["sentiment_label"], r["sentiment_prob"]) for r in out.collect()]
+    z = np.exp(np.array([1.0, 5.0, 3.0]) - 5.0)
+    assert got[0][0] == "BULLISH" and abs(got[0][1] - z[1] / z.sum()) < 1e-12
+    assert [g[0] for g in got] == ["BULLISH", "BEARISH", "NEUTRAL", None, None] and got[3][1] is None
+    assert "Python" not in explain_string(out, "simple")
+
+
+def test_model_scores_equal_plain_counts(spark):
+    import collections
+    import math
+    import re
+    import zlib
+    from tickpulse.functions import model as MD
+    from tickpulse.session import scratch_path
+    from tickpulse.sources import testviews as V
+
+    d = "/root/testdata/sf0.01"
+    posts, classes = V.document_posts(spark, d).where("text IS NOT NULL"), V.document_classes(spark, d)
+    texts = {r["doc_id"]: r["text"] for r in posts.collect()}
+    label = {r["doc_id"]: r["label"] for r in classes.collect() if r["doc_id"] in texts}
+    held = {i for i in label if i % 4 == 0}
+
+    def feats(t):
+        w = re.findall("[a-z]+", t.lower())
+        return {zlib.crc32(s.encode()) & 0xFFFF for s in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]}
+
+    own = {i: feats(t) for i, t in texts.items()}
+    train = [i for i in label if i not in held]
+    share = {k: sum(label[i] == k for i in train) / len(train) for k in M.DEFAULT_LABELS}
+    count, total = {k: collections.Counter() for k in share}, collections.Counter()
+    for i in train:
+        count[label[i]].update(own[i])
+        total.update(own[i])
+    path = scratch_path(spark, "test-model")
+    MD.fit(posts.join(classes, "doc_id").where("doc_id % 4 <> 0"), F.col("label")).write.mode("overwrite").parquet(path)
+    got = {r["doc_id"]: r["_s"] for r in posts.withColumn("_s", M.score_column("text", MD.scorer_factory(spark, path))).collect()}
+    assert set(got) == set(texts)
+    for i, f in own.items():
+        z = [sum(math.log((count[k][b] + 10 * share[k]) / (total[b] + 10)) - math.log(share[k]) for b in f if total[b] >= 2)
+             / math.sqrt(len(f)) for k in M.DEFAULT_LABELS]
+        p = np.exp(np.array(z) - max(z))
+        assert got[i]["pred_label"] == M.DEFAULT_LABELS[int(p.argmax())] and abs(got[i]["pred_score"] - p.max() / p.sum()) < 1e-9
+    assert len({g["pred_label"] for g in got.values()}) == 3
+    right = sum(got[i]["pred_label"] == label[i] for i in held) / len(held)
+    assert right > 0.6
+    toxic = [i for i in held if label[i] == "BEARISH"]
+    others = [i for i in held if label[i] != "BEARISH"]
+
+    def named(ids):
+        return sum(got[i]["pred_label"] == "BEARISH" for i in ids) / len(ids)
+
+    assert named(toxic) > 1.5 * named(others)
+
+
+def test_model_of_nothing(spark):
+    from tickpulse.functions import model as MD
+    df = spark.createDataFrame([], "text string, label string")
+    prior, weights = MD.arrays(MD.fit(df, F.col("label")))
+    assert not prior.any() and not weights.any()
+    one = spark.createDataFrame([("a b", "BULLISH"), (None, "BULLISH"), ("", "BULLISH"), ("x", "other"), ("y", None)], "text string, label string")
+    prior, weights = MD.arrays(MD.fit(one, F.col("label")))
+    assert prior.argmax() == 1 and prior.min() == -1e9 and not weights.any()
+
+
+def test_rule_valence(spark):
+    from tickpulse.functions import valence as VL
+    lex = {"good": 2.0, "bad": -2.0, "très": 1.0}
+    cases = {
+        "good": 2.0, "a good day": 2.0, "GOOD": 2.0, "it is GOOD day": 2.0 + 0.733, "not good": -0.74 * 2, "never so very good": -0.74 * (2 + 0.293 * 1.95),
+        "very good": 2.293, "very a good": 2 + 0.293 * 0.95, "very a b good": 2 + 0.293 * 0.9, "very a b c good": 2.0, "hardly bad": -2 + 0.293,
+        "very bad": -2.293, "good but bad": 1.0 - 3.0, "bad, but GOOD day!": -1.0 + (2 + 0.733) * 1.5 + 0.292, "(good)": 2.0, "good!!!!!!": 2 + 4 * 0.292,
+        "bad!": -2.292, "!!!": 0.0, "": 0.0, " \n": 0.0, "12 good-12": 2.0, "Très good": 3.0, "not a b bad": 1.48, "not a b c bad": -2.0, "but": 0.0}
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*cases, None])], "doc_id long, text string, word string")
+    want = [*cases.values(), None]
+    small = {r["doc_id"]: r for r in VL.rule_valence(df, lex).collect()}
+    large = {r["doc_id"]: r for r in VL.rule_valence_join(df, M.lexicon_frame(spark, lex), "doc_id").collect()}
+    for i, w in enumerate(want):
+        for got in (small[i], large[i]):
+            assert (got["valence"] is None) == (w is None) and (w is None or abs(got["valence"] - w) < 1e-9), (df.collect()[i], got)
+        assert small[i]["sentiment_label"] == large[i]["sentiment_label"]
+    # a run of texts of one id is one row of the large form
+    twice = VL.rule_valence_join(df.unionByName(df), M.lexicon_frame(spark, lex), "doc_id").where("doc_id = 0").first()
+    assert abs(twice["valence"] - 4.0) < 1e-9
+
+
+def test_rule_valence_shuffles_no_text(spark):
+    from tickpulse.functions import valence as VL
+    from tickpulse.operators.serving import explain_string
+    from tickpulse.sources import testviews as V
+    docs = V.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    for out in (VL.rule_valence_join(docs, M.lexicon_frame(spark), "doc_id"), M.lexicon_sentiment_join(docs, M.lexicon_frame(spark), "doc_id")):
+        blocks = explain_string(out, "formatted").split("\n\n")
+        shuffles = [b for b in blocks if b.lstrip("\n").split(")")[1:] and ") Exchange" in b.split("\n")[0] + b.split("\n")[min(1, b.count("\n"))]]
+        assert shuffles and all("Input" in b and "text#" not in b for b in shuffles)
+        assert "Python" not in explain_string(out, "simple")

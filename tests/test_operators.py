@@ -315,3 +315,29 @@ def test_exact_quantiles_equal_sorting(spark):
     assert "d" not in got
     stats = {r["topic"]: r for r in A.topic_statistics(df.selectExpr("g AS topic", "v AS sentiment_score")).collect()}
     assert len(stats) == 5 and stats["d"]["median_sentiment"] is None and stats[None]["median_sentiment"] == got[None][1]
+
+
+def test_user_aggregates_merge(spark):
+    from pyspark.sql.types import DoubleType
+    from tickpulse.operators import udaf
+
+    labels = ["BULLISH", "BEARISH", "NEUTRAL", None]
+    rows = [("hot" if i % 3 else random.choice(["a", None, ""]), random.choice(labels), i % 700) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, label string, v long").repartition(8)
+    want = {r["k"]: r["a"] for r in df.groupBy("k").agg(A.agreement_agg("label").alias("a")).collect()}
+    for held in (50_000, 1):
+        got = udaf.aggregate_by(df, ["k"], ["label"], udaf.Agreement("label"), DoubleType(), held=held, width=3)
+        assert {r["k"]: r["value"] for r in got.collect()}.keys() == want.keys()
+        assert all(abs(r["value"] - want[r["k"]]) < 1e-12 for r in got.collect())
+    # rows of the hot key are folded where they lie: only states are shuffled, one for each of its tasks
+    plan = SV.explain_string(got, "simple")
+    assert plan.index("Exchange hashpartitioning(k0") < plan.rindex("MapInArrow") and "ArrowEvalPython" not in plan
+    n = udaf.aggregate_by(df, ["k"], ["v"], udaf.Distinct("v"), DoubleType())
+    exact = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("v").alias("n")).collect()}
+    assert {r["k"]: r["value"] for r in n.collect()} == exact
+    wide = spark.range(60_000).withColumn("k", F.lit("one"))
+    got = udaf.aggregate_by(wide, ["k"], ["id"], udaf.Distinct("id"), DoubleType()).first()["value"]
+    assert abs(got / 60_000 - 1) < 0.12
+    assert udaf.aggregate_by(df.limit(0), ["k"], ["v"], udaf.Distinct("v"), DoubleType()).count() == 0
+    nothing = spark.createDataFrame([("x", None)], "k string, label string")
+    assert udaf.aggregate_by(nothing, ["k"], ["label"], udaf.Agreement("label"), DoubleType()).first()["value"] is None

@@ -1,9 +1,10 @@
 """Text -> sentiment: pluggable batch scorer (M01), lexicon compound (M02),
 signed score (M03), softmax/argmax over logits with higher-order functions.
 
-The scorer runs as an Arrow-batched iterator ``pandas_udf``: the model is
-built once per Python worker task, then whole batches are scored at a time.
-Everything else is JVM-side column expressions.
+Models run as an Arrow-batched iterator ``pandas_udf``: the model is built
+once per Python worker task, then whole batches are scored at a time
+(``functions.model`` has a trained one). Everything else, the default lexicon
+scorer included, is JVM-side column expressions.
 """
 
 from __future__ import annotations
@@ -24,21 +25,16 @@ DEFAULT_LABELS = ("NEUTRAL", "BULLISH", "BEARISH")
 COMPOUND_ALPHA = 15.0
 # Token boundary for lexicon scoring: anything that is not a-z after lower().
 TOKEN_SPLIT = "[^a-z]+"
-# Built-in finance lexicon (word, valence); deliberately small, replaceable.
-DEFAULT_LEXICON = {
-    "bull": 1.5, "bullish": 2.0, "buy": 1.2, "buying": 1.2, "long": 0.8,
-    "rally": 1.8, "surge": 1.9, "soar": 2.0, "gain": 1.5, "gains": 1.5,
-    "profit": 1.8, "profits": 1.8, "beat": 1.2, "strong": 1.6, "growth": 1.6,
-    "up": 0.5, "high": 0.6, "good": 1.9, "great": 3.1, "win": 2.8,
-    "positive": 2.6, "upgrade": 1.7, "outperform": 1.8, "breakout": 1.5,
-    "moon": 1.4, "love": 3.2, "best": 3.2, "happy": 2.7, "success": 2.7,
-    "bear": -1.5, "bearish": -2.0, "sell": -1.2, "selling": -1.2, "short": -0.8,
-    "crash": -2.5, "plunge": -2.2, "drop": -1.4, "loss": -1.9, "losses": -1.9,
-    "miss": -1.2, "weak": -1.6, "decline": -1.5, "down": -0.5, "low": -0.6,
-    "bad": -2.5, "terrible": -2.9, "lose": -2.0, "negative": -2.7, "downgrade": -1.7,
-    "underperform": -1.8, "fear": -2.2, "panic": -2.3, "risk": -1.1, "fraud": -2.8,
-    "hate": -2.7, "worst": -3.1, "sad": -2.1, "fail": -2.5, "bankrupt": -2.6,
+# Built-in finance lexicon: own short lists by strength, replaceable.
+_BY_VALENCE = {
+    3.0: "great best love soar moon",
+    2.0: "bullish surge rally profit profits win positive breakout success happy good",
+    1.0: "bull buy buying long gain gains beat strong growth upgrade outperform up high",
+    -1.0: "bear sell selling short drop miss weak decline downgrade underperform risk down low",
+    -2.0: "bearish plunge loss losses lose negative fear sad bad fail",
+    -3.0: "crash panic fraud bankrupt worst terrible hate",
 }
+DEFAULT_LEXICON = {w: v for v, words in _BY_VALENCE.items() for w in words.split()}
 
 
 # ---------------------------------------------------------------- M03 / A05
@@ -80,31 +76,6 @@ class LogitScorer:
         raise NotImplementedError
 
 
-class LexiconLogitScorer(LogitScorer):
-    """Default plug-in: logits (neutral, bullish, bearish) from lexicon hits.
-
-    Neutral gets a fixed logit of 1; bullish/bearish get the summed positive /
-    negative valence of the words in the text.
-    """
-
-    labels = DEFAULT_LABELS
-
-    def __init__(self, lexicon: dict | None = None):
-        self.lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
-
-    def logits(self, texts: list[str]) -> np.ndarray:
-        import re
-
-        out = np.zeros((len(texts), 3))
-        out[:, 0] = 1.0
-        for i, t in enumerate(texts):
-            for w in re.split(TOKEN_SPLIT, t.lower()):
-                v = self.lexicon.get(w)
-                if v:
-                    out[i, 1 if v > 0 else 2] += abs(v)
-        return out
-
-
 def _softmax_rows(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=1, keepdims=True)
     e = np.exp(z)
@@ -140,10 +111,25 @@ def score_column(text, scorer_factory: Callable[[], LogitScorer],
     return _score(_c(text))
 
 
-def score_table(df: DataFrame, scorer_factory: Callable[[], LogitScorer],
+def lexicon_scores(text, lexicon: dict | None = None) -> Column:
+    """The default scorer as built-ins: logits (neutral 1, bullish and bearish the summed strength of the text's
+    words), softmax and argmax; a null or blank text has a null label and score."""
+    lex = _lexicon_map(DEFAULT_LEXICON if lexicon is None else lexicon)
+    values = F.transform(F.split(F.lower(_c(text)), TOKEN_SPLIT), lambda w: F.coalesce(F.try_element_at(lex, w), F.lit(0.0)))
+
+    def strength(sign: int) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda s, v: s + F.greatest(v * sign, F.lit(0.0)))
+
+    scores = softmax_argmax(F.array(F.lit(1.0), strength(1), strength(-1)))
+    return F.when(F.trim(_c(text)) != "", scores)
+
+
+def score_table(df: DataFrame, scorer_factory: Callable[[], LogitScorer] | None = None,
                 text_col: str = "text", prob_col: str = "sentiment_prob") -> DataFrame:
-    """Add ``sentiment_label``, raw ``sentiment_prob`` and signed ``sentiment_score``."""
-    scored = df.withColumn("_sent", score_column(text_col, scorer_factory))
+    """Add ``sentiment_label``, raw ``sentiment_prob`` and signed ``sentiment_score``; without a model the default
+    lexicon scores."""
+    sent = lexicon_scores(text_col) if scorer_factory is None else score_column(text_col, scorer_factory)
+    scored = df.withColumn("_sent", sent)
     return (scored
             .withColumn("sentiment_label", F.col("_sent.pred_label"))
             .withColumn(prob_col, F.col("_sent.pred_score"))
@@ -191,19 +177,17 @@ def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
 
 def lexicon_sentiment_join(df: DataFrame, lexicon_df: DataFrame, id_col: str,
                            text_col: str = "text") -> DataFrame:
-    """M02 for large lexicons given as a table ``(word, weight)``.
+    """M02 for large lexicons given as a table ``(word, weight)``: ``id_col``, ``lexicon_sum``, ``compound`` and
+    ``sentiment_label``, one row an id.
 
-    Tokens are exploded and joined to the lexicon, which Spark broadcasts where
-    its bytes are under the session's threshold.
-    Only matching tokens reach the (partially aggregated) group-by.
+    Tokens are exploded and joined to the lexicon, which Spark broadcasts where its bytes are under the session's
+    threshold; their weights meet one row of each text in one aggregation. Ids and words are shuffled, texts never.
     """
-    toks = (df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("word"))
-            .filter(F.col("word") != ""))
-    lex = lexicon_df.select("word", "weight")
-    sums = (toks.join(lex, "word").groupBy(id_col).agg(F.sum("weight").alias("lexicon_sum")))
-    out = (df.join(sums, id_col, "left")
-           .withColumn("lexicon_sum", F.when(F.col(text_col).isNotNull(),
-                                             F.coalesce(F.col("lexicon_sum"), F.lit(0.0)))))
+    own = df.select(F.col(id_col).alias("_id"), F.col(text_col).isNotNull().alias("_has"), F.lit(0.0).alias("_v"))
+    toks = df.select(F.col(id_col).alias("_id"), F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("word"))
+    lex = lexicon_df.select("word", F.col("weight").cast("double").alias("_v"))
+    hit = toks.where("word <> ''").join(lex, "word").select("_id", F.lit(True).alias("_has"), "_v")
+    sums = own.unionByName(hit).groupBy("_id").agg(F.sum("_v").alias("_sum"), F.max("_has").alias("_has"))
+    out = sums.select(F.col("_id").alias(id_col), F.when(F.col("_has"), F.col("_sum")).alias("lexicon_sum"))
     return (out.withColumn("compound", compound("lexicon_sum"))
             .withColumn("sentiment_label", sentiment_label("compound")))
-

@@ -414,32 +414,3 @@ def q_batch_metadata(spark, d):
     return rows.join(order, "batch_id").select(
         "window_start", "topic", "batch", "tweet_count",
         (F.col("batch_id") == F.col("epoch")).alias("tagged"))
-
-
-@register("score_once_fanout", "M01 F01 K01 K04 SRC1", with_views(["tweets_v"], f"""
-SELECT uuid, topic, 'NEUTRAL' AS sentiment_label,
-       {r('exp(1.0) / (exp(1.0) + 2.0)')} AS sentiment_prob, {r('0.0')} AS sentiment_score
-FROM tweets_v"""))
-def q_score_once_fanout(spark, d):
-    """Posts scored once by the pluggable model (Arrow-batched, one model load
-    per task) and fanned out from one foreachBatch to the topic-partitioned
-    bronze table and the keyed serving table; returns the bronze rows."""
-    from ..functions.sentiment import LexiconLogitScorer
-    from ..sources import messages as MSG
-
-    raw = SS.read_messages(spark, SS.message_dir(spark, d, "tweets"))
-    dec = MSG.decode_json(raw, SS.TWEET_TEST_MESSAGE)
-    scored = MSG.enrich_tweets(dec, scorer_factory=LexiconLogitScorer,
-                               ingest_ts=F.col("api_timestamp"), uuid_col=F.col("event_id"))
-    bronze = scratch_path(spark, "fanout-bronze")
-    table = EpochLog(spark, scratch_path(spark, "fanout-serving"), ["topic", "api_timestamp"],
-                     tiebreak=["uuid"], partition=F.to_date("api_timestamp"))
-    serve = lambda b, e: table.append(b.select(*SERVING_TWEET_COLUMNS), e)
-    q = R.start_foreach_batch(scored.drop("value", "event_id"),
-                              R.fan_out(R.epoch_table_writer(bronze, ["topic"]), serve),
-                              scratch_path(spark, "fanout-ckpt"), "append")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(bronze).select("uuid", "topic", "sentiment_label", "sentiment_prob",
-                                             "sentiment_score")

@@ -63,6 +63,7 @@ def decode_prices(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 def enrich_tweets(df: DataFrame, score: Column | None = None,
                   scorer_factory: Callable[[], LogitScorer] | None = None,
+                  lexicon: bool = False,
                   ingest_ts: Column | None = None,
                   uuid_col: Column | None = None,
                   ticker_pattern: str = S.TICKER_PATTERN,
@@ -72,7 +73,8 @@ def enrich_tweets(df: DataFrame, score: Column | None = None,
     P01 event time, P02 ticker, P03 ticker filter (applied *before* scoring so
     posts without a ticker are never scored), M01/M03 score, P05 ids, P06
     ingest stamp, P04 topic/author. ``score`` is a precomputed signed score
-    column; otherwise ``scorer_factory`` runs the pluggable model.
+    column; otherwise ``scorer_factory`` runs the pluggable model, or ``lexicon``
+    the built-in word list.
     ``all_tickers`` emits one row per distinct ticker in the text instead of
     the first one only.
     """
@@ -82,7 +84,7 @@ def enrich_tweets(df: DataFrame, score: Column | None = None,
            .withColumn("symbol", sym)
            .filter(S.has_ticker("symbol")))
     blank = S.blank_to_null("text").isNull()
-    if scorer_factory is not None:
+    if scorer_factory is not None or lexicon:
         out = score_table(out, scorer_factory)
     else:
         sc = F.lit(None).cast("double") if score is None else score.cast("double")

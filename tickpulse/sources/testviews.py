@@ -42,6 +42,20 @@ def tweets_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                          uuid_col=F.col("event_id")).drop("value")
 
 
+def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as posts: the language as ticker, a minute for each id."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.date_format(F.timestamp_seconds(F.col("doc_id") * 60), TS_TEXT_FORMAT).alias("created_at"),
+                    F.concat(F.lit("$"), F.upper("lang"), F.lit(" "), "text").alias("text"))
+
+
+def document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, label): toxic documents are BEARISH, others of good quality BULLISH, the rest of the labelled NEUTRAL."""
+    t, q = F.col("toxic") == 1, F.col("quality") == 1
+    return table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(t, "BEARISH").when(q, "BULLISH").otherwise("NEUTRAL").alias("label"))
+
+
 def prices_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price ticks: purchase events, symbol = user id."""
     ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")

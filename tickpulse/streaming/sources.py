@@ -49,7 +49,12 @@ def _price_messages(spark, sf_dir) -> DataFrame:
         "close_price", "volume")).alias("value"))
 
 
-_BUILDERS = {"tweets": _tweet_messages, "user_tweets": _user_tweet_messages,
+def _document_messages(spark, sf_dir) -> DataFrame:
+    p = V.document_posts(spark, sf_dir)
+    return p.select(F.col("created_at").alias("_ts"), F.to_json(F.struct("doc_id", "created_at", "text")).alias("value"))
+
+
+_BUILDERS = {"documents": _document_messages, "tweets": _tweet_messages, "user_tweets": _user_tweet_messages,
              "prices": _price_messages}
 
 
@@ -78,6 +83,9 @@ def split_at_midpoint(spark: SparkSession, sf_dir: str) -> str:
     return mid["m"]
 
 
+DOCUMENT_MESSAGE = StructType([*TWEET_MESSAGE.fields, StructField("doc_id", LongType(), True)])
+
+
 def read_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """SRC1/SRC2 over files: a ``value`` column per message."""
     opts = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
