@@ -54,7 +54,7 @@ def test_two_level_csv_roundtrip(spark):
         "symbol string, date string, open double, high double, low double, close double, volume double"
     ).withColumn("date", F.to_date("date"))
     path = scratch_path(spark, "csv3")
-    FS.write_two_level_csv(bars, path, ["A", "B"])
+    FS.write_two_level_csv(bars, path)
     back = FS.read_two_level_csv(spark, path).filter(F.col("open").isNotNull())
     got = sorted(tuple(r) for r in back.select("symbol", F.col("date").cast("string"), "open", "close", "volume").collect())
     assert got == [("A", "2020-01-02", 1.0, 1.5, 10.0), ("B", "2020-01-02", 3.0, 3.5, 20.0),

@@ -195,17 +195,20 @@ def hourly_pivot(df: DataFrame, time_col="ingest_timestamp", pivot_col="topic",
                  value_col="sentiment_score", values: Sequence[str] | None = None) -> DataFrame:
     """rows = hour, columns = pivot values, cell = avg, missing -> 0.
 
-    Pass ``values`` to skip the distinct job; without them every value gets a
-    column (NULL the column "null"), up to Spark's ``spark.sql.pivotMaxValues``.
+    Without ``values`` every value gets a column (NULL the column "null"), up to Spark's ``spark.sql.pivotMaxValues``:
+    the rows are aggregated once by hour and value, and that small table, written, tells the values.
     """
-    g = df.withColumn("hour", F.date_trunc("hour", F.col(time_col))).groupBy("hour")
-    wide = g.pivot(pivot_col) if values is None else g.pivot(pivot_col, list(values))
-    return wide.agg(F.avg(value_col)).na.fill(0)
+    per = df.groupBy(F.date_trunc("hour", F.col(time_col)).alias("hour"), F.col(pivot_col).alias("_v")).agg(F.avg(value_col).alias("_a"))
+    per = per if values is not None else _settled(per, "hourly-means")
+    wide = per.groupBy("hour").pivot("_v", None if values is None else list(values))
+    return wide.agg(F.max("_a")).na.fill(0)
 
 
-def distinct_values(df: DataFrame, col: str) -> list:
-    """Sorted values of a column that name output columns (a header line holds all of them anyway)."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # A09
@@ -218,8 +221,9 @@ def daily_label_pivot(df: DataFrame, time_col="created_at", label_col="pred_labe
     """
     rename = {"BULLISH": "pos", "BEARISH": "neg"} if rename is None else rename
     keys = [*group_cols, "date"]
-    wide = (df.withColumn("date", F.to_date(F.col(time_col)))
-            .groupBy(*keys).pivot(label_col).count().na.fill(0))
+    # one pass over the rows; the labels are read off the counts
+    per = _settled(df.groupBy(*group_cols, F.to_date(F.col(time_col)).alias("date"), F.col(label_col).alias("_l")).count(), "label-counts")
+    wide = per.groupBy(*keys).pivot("_l").agg(F.sum("count")).na.fill(0)
     wide = wide.withColumns({c: F.lit(0).cast("long") for c in labels if c not in wide.columns})
     others = [c for c in wide.columns if c not in keys and c not in labels]
     out = wide.select(*keys, *[F.col(f"`{c}`") for c in [*labels, *others]])

@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from ..operators import aggregates as A
 from ..operators import econ as E
+from ..session import scratch_path
 from ..sources import testviews as V
 from .registry import r, register
 from .sqlviews import with_views
@@ -218,10 +219,10 @@ _OLS_FEATURES = ["carried_bullishness", "carried_agreement", "carried_msg_volume
                  "carried_pos", "carried_neg"]
 
 
-def _residuals(source: str, ys: list[str], xs: list[str], fit: str, keep: str) -> str:
+def _residuals(source: str, ys: list[str], xs: list[str], fit: str, keep: str, by: str = "symbol") -> str:
     """SQL text of CTEs ``s0 .. s<len(xs)>``: columns ``ys`` of ``source``, freed of the regressors ``xs`` one after
-    the other by slopes (covariance over variance) on the rows where ``fit`` holds, per symbol."""
-    over = f"FILTER (WHERE {fit}) OVER (PARTITION BY symbol)"
+    the other by slopes (covariance over variance) on the rows where ``fit`` holds, per ``by``."""
+    over = f"FILTER (WHERE {fit}) OVER (PARTITION BY {by})"
     cols = [*ys, *xs]
     ctes = ["s0 AS (SELECT " + keep + ", " + ", ".join(f"{c} - avg({c}) {over} AS {c}" for c in cols) + f" FROM {source})"]
     for k, x in enumerate(xs):
@@ -246,7 +247,15 @@ FROM s5 WHERE split = 'test' GROUP BY symbol"""
 def q_ols_fit_predict(spark, d):
     """OLS of return on the five carried features, fit on each symbol's first
     75 %, evaluated (R^2, directional accuracy) on the rest."""
-    return _fit_predict(_panel(spark, d))
+    return _fit_predict(_once(_panel(spark, d)))
+
+
+def _once(panel):
+    """The panel as a table (a row a day and series): fit and prediction both read it."""
+    spark = panel.sparkSession
+    path = scratch_path(spark, "panel")
+    panel.write.mode("overwrite").parquet(path)
+    return spark.read.schema(panel.schema).parquet(path)
 
 
 def _fit_predict(panel):
@@ -258,11 +267,41 @@ def _fit_predict(panel):
                                       E.directional_accuracy("return", "prediction").alias("dir_acc"))
 
 
-@register("granger_pvalues", "N06 WF5")
+_LAGS = range(1, 6)
+_SLOTS = [f"{z}{i}" for z in "yx" for i in _LAGS]
+#: Regressors a row (own lags, then the feature's; those beyond the tested lag are 0), freed one after the other: the
+#: residuals after the own lags give the restricted fit, after all the full one. The p-value is the upper tail of the
+#: chi-square law, one less the series of the lower incomplete gamma function.
+_GRANGER_SQL = f""", lagged AS (
+  SELECT symbol, row_number() OVER w AS rn, return AS y0, {", ".join(f"lag(return, {i}) OVER w AS r{i}" for i in _LAGS)},
+         {", ".join(f"lag({f}, {i}) OVER w AS {f}{i}" for f in E.GRANGER_FEATURES for i in _LAGS)}
+  FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+slots AS (
+  SELECT symbol, feature, lag, y0 AS y, {", ".join(f"CASE WHEN lag >= {i} THEN r{i} ELSE 0.0 END AS y{i}" for i in _LAGS)},
+         {", ".join(f"CASE WHEN lag < {i} THEN 0.0 " + " ".join(f"WHEN feature = '{f}' THEN {f}{i}" for f in E.GRANGER_FEATURES) + f" END AS x{i}" for i in _LAGS)}
+  FROM lagged, (VALUES {", ".join(f"('{f}')" for f in E.GRANGER_FEATURES)}) f(feature), range(1, 6) l(lag) WHERE rn > lag),
+{_residuals("slots", ["y"], _SLOTS, "true", "symbol, feature, lag", "symbol, feature, lag")},
+own AS (SELECT symbol, feature, lag, sum(y * y) AS ssr FROM s5 GROUP BY ALL),
+whole AS (SELECT symbol, feature, lag, count(*) AS n, sum(y * y) AS ssr FROM s10 GROUP BY ALL),
+tested AS (
+  SELECT symbol, feature, lag, n, o.ssr AS ssr_r, w.ssr AS ssr_u, CASE WHEN w.ssr > 0 THEN n * (o.ssr - w.ssr) / w.ssr END AS chi2
+  FROM own o JOIN whole w USING (symbol, feature, lag))
+SELECT symbol, feature, CAST(lag AS INTEGER) AS lag, n AS n_obs, {r('round(ssr_r, 2)')} AS ssr_restricted, {r('round(ssr_u, 2)')} AS ssr_full,
+       {r('chi2')} AS chi2, {r("""CASE WHEN chi2 IS NULL THEN NULL WHEN chi2 <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(
+         range(0, 600), lambda i: exp(-chi2 / 2 + (lag / 2.0 + i) * ln(chi2 / 2) - lgamma(lag / 2.0 + i + 1))))) END""")} AS p_value
+FROM tested"""
+
+
+def _granger(panel):
+    """Sums of squares reach 1e8 here, so they are compared to two places."""
+    return E.granger_pvalues(panel).withColumns({c: F.round(c, 2) for c in ("ssr_restricted", "ssr_full")})
+
+
+@register("granger_pvalues", "N06 WF5", study_sql(_GRANGER_SQL))
 def q_granger_pvalues(spark, d):
     """Granger (ssr chi-square) p-values of bullishness / agreement / msg_volume
     -> return, lags 1..5, per symbol."""
-    return E.granger_pvalues(_panel(spark, d))
+    return _granger(_panel(spark, d))
 
 
 @register("udaf_agreement", "A13 F03", study_sql(f"""
@@ -325,16 +364,16 @@ def q_corr_matrix_multi(spark, d):
     return A.corr_block(_panel_multi(spark, d), E.SENTIMENT_COLS, E.MARKET_COLS, group_cols=("symbol",))
 
 
-@register("granger_pvalues_multi", "N06 WF5")
+@register("granger_pvalues_multi", "N06 WF5", multi_sql(_GRANGER_SQL))
 def q_granger_pvalues_multi(spark, d):
     """Granger p-values for every series, feature and lag in one aggregation."""
-    return E.granger_pvalues(_panel_multi(spark, d))
+    return _granger(_panel_multi(spark, d))
 
 
 @register("ols_fit_predict_multi", "N07 N08 N09 WF6", multi_sql(_OLS_SQL))
 def q_ols_fit_predict_multi(spark, d):
     """Per-series OLS fit on the first 75 %, R^2 and directional accuracy on the rest."""
-    return _fit_predict(_panel_multi(spark, d))
+    return _fit_predict(_once(_panel_multi(spark, d)))
 
 
 @register("log_return_multi", "WF2", multi_sql(f"""

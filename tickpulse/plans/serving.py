@@ -287,9 +287,8 @@ SELECT symbol, date, {r('open')} AS open, {r('high')} AS high, {r('low')} AS low
 def q_csv_two_level(spark, d):
     """Daily per-symbol bars written as a wide two-header-row CSV and read back long."""
     bars = _daily_prices(spark, d)
-    symbols = A.distinct_values(bars, "symbol")
     path = scratch_path(spark, "csv-two-level")
-    FS.write_two_level_csv(bars, path, symbols)
+    FS.write_two_level_csv(bars, path)
     return FS.read_two_level_csv(spark, path).filter(F.col("open").isNotNull())
 
 

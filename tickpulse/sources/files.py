@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.ordered import with_global_index
 from ..schemas import CRAWLED_POST
 
 # Attribute names of daily bars in the wide inputs.
@@ -109,83 +110,66 @@ def read_date_keyed_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ SRC7
-def write_two_level_csv(bars: DataFrame, path: str, symbols: Sequence[str]) -> None:
+def write_two_level_csv(bars: DataFrame, path: str) -> None:
     """Wide CSV: header lines 'Ticker,<sym>...', 'Price,<attr>...', 'Date,,,' then
     one line per date. The header rows are the union's first partition, so
     they open the first part file; no global sort of the data is needed.
 
-    Symbols are numbered through a small (symbol, index) table; each date's
-    line is ``transform(sequence(0, n-1))`` over a per-date index -> cells map,
-    so thousands of tickers never become thousands of columns or literals.
+    Symbols are numbered in their order by ranges and the header lines are one row put together from those numbers,
+    as the format wants them; nothing reaches the driver. Each date's line is made from the cells it has, so
+    thousands of tickers never become thousands of columns or literals.
     """
-    spark = bars.sparkSession
-    symbols = list(symbols)
-    n = len(symbols)
     k = len(BAR_ATTRIBUTES)
-    index = spark.createDataFrame(list(enumerate(symbols)), "i int, symbol string")
+    distinct = bars.select("symbol").where("symbol IS NOT NULL").distinct()
+    index = with_global_index(distinct, [], ["symbol"], idx_col="i").select("symbol", F.col("i").cast("int").alias("i"))
+    names = index.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "symbol"))), lambda e: e["symbol"]).alias("names"))
+
+    def header(first: str, cells) -> Column:
+        return F.concat_ws(",", F.lit(first), F.flatten(F.transform("names", cells)))
+
+    lines = names.select(F.explode(F.array(
+        header(CSV_HEADER_TICKER, lambda s: F.array_repeat(s, k)),
+        header(CSV_HEADER_ATTRIBUTE, lambda s: F.array(*[F.lit(a) for a in BAR_ATTRIBUTES])),
+        header(CSV_HEADER_INDEX, lambda s: F.array_repeat(F.lit(""), k)))).alias("value"))
     cells_str = F.concat_ws(",", *[F.coalesce(F.col(a.lower()).cast("string"), F.lit(""))
                                    for a in BAR_ATTRIBUTES])
-    per_date = (bars.join(F.broadcast(index), "symbol")
+    per_date = (bars.join(index, "symbol")
                 .groupBy("date").agg(F.array_sort(F.collect_list(F.struct("i", cells_str.alias("s"))))
-                                     .alias("e")))
+                                     .alias("e"))
+                .crossJoin(names.select(F.size("names").alias("n"))))  # one row
     blank = "," * (k - 1)          # one ticker's empty cells
     # each present ticker is preceded by the blanks of the tickers skipped since the previous one
     tokens = F.transform(F.col("e"), lambda x, j: F.concat(
         F.repeat(F.lit(blank + ","), x["i"] - F.coalesce(F.get(F.col("e"), j - 1)["i"], F.lit(-1)) - 1),
         x["s"]))
-    tail = F.repeat(F.lit("," + blank), F.lit(n - 1) - F.element_at(F.col("e"), -1)["i"])
+    tail = F.repeat(F.lit("," + blank), F.col("n") - 1 - F.element_at(F.col("e"), -1)["i"])
     line = F.concat(F.col("date").cast("string"), F.lit(","), F.array_join(tokens, ","), tail)
-    data = per_date.select(line.alias("value"))
-    cells = [(s, a) for s in symbols for a in BAR_ATTRIBUTES]
-    header = spark.createDataFrame([
-        (",".join([CSV_HEADER_TICKER, *[s for s, _ in cells]]),),
-        (",".join([CSV_HEADER_ATTRIBUTE, *[a for _, a in cells]]),),
-        (",".join([CSV_HEADER_INDEX, *["" for _ in cells]]),),
-    ], "value string").coalesce(1)
-    header.unionByName(data).write.mode("overwrite").text(path)
+    lines.coalesce(1).unionByName(per_date.select(line.alias("value"))).write.mode("overwrite").text(path)
 
 
 def read_two_level_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Two-level-header CSV -> long rows ``(symbol, date, open, high, low, close, volume)``.
+    """Two-level-header CSV -> long rows ``(symbol, date, open, high, low, close, volume)``, in any order of columns.
 
-    Lines are split into arrays (no thousand-column schema); only the two name
-    rows are collected. A symbol-major layout (each ticker's attributes
-    contiguous, same order) is unpivoted by position arithmetic in one
-    ``explode``; any other layout goes through (position -> ticker, attribute)
-    lookups joined from a small broadcast table and one aggregation.
+    The two name rows become one row that tells, for every ticker, at which place each attribute stands (the first
+    place where a name is repeated); every data line meets that row and takes its cells by place, so there is no
+    literal, collect or column per ticker.
     """
     lines = spark.read.text(path).select(F.split("value", ",", -1).alias("c"))
     first = F.col("c")[0]
-    tick = list(lines.filter(first == CSV_HEADER_TICKER).first()["c"][1:])
-    attr = list(lines.filter(first == CSV_HEADER_ATTRIBUTE).first()["c"][1:])
-    data = lines.filter(F.try_to_date(first).isNotNull()).select(
-        F.to_date(first).alias("date"), F.col("c"))
-    seq = list(dict.fromkeys(attr[: attr.index(attr[0], 1)] if attr.count(attr[0]) > 1 else attr))
-    k = len(seq)
-    names = tick[::k]
-    regular = (len(tick) == k * len(names) and attr == seq * len(names)
-               and all(tick[i * k:(i + 1) * k] == [names[i]] * k for i in range(len(names))))
-    wanted = [a for a in BAR_ATTRIBUTES]
-    if regular:
-        sym_arr = F.array(*[F.lit(x) for x in names])
-
-        def entry(i):
-            base = F.lit(2) + i * k  # element_at is 1-based and column 0 is the date
-            cells = [F.nullif(F.element_at(F.col("c"), base + seq.index(a)), F.lit("")).cast("double")
-                     .alias(a.lower()) if a in seq else F.lit(None).cast("double").alias(a.lower())
-                     for a in wanted]
-            return F.struct(F.element_at(sym_arr, i + 1).alias("symbol"), *cells)
-
-        long = data.select("date", F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(len(names) - 1)), entry)).alias("e"))
-        return long.select("e.symbol", "date", *[f"e.{a.lower()}" for a in wanted])
-    layout = spark.createDataFrame([(i + 1, t, a) for i, (t, a) in enumerate(zip(tick, attr))],
-                                   "pos int, symbol string, attribute string")
-    cells = data.select("date", F.posexplode("c").alias("pos", "v")).filter(F.col("pos") > 0)
-    j = cells.join(F.broadcast(layout), "pos")
-    return j.groupBy("symbol", "date").agg(*[
-        F.max(F.when(F.col("attribute") == a, F.nullif(F.col("v"), F.lit("")).cast("double")))
-        .alias(a.lower()) for a in wanted])
+    named = lines.agg(*[F.max(F.when(first == h, F.col("c"))).alias(n)
+                        for h, n in ((CSV_HEADER_TICKER, "t"), (CSV_HEADER_ATTRIBUTE, "a"))])
+    cells = named.select(F.posexplode(F.arrays_zip("t", "a")).alias("pos", "x")).where("pos > 0")
+    per = cells.groupBy(F.col("x.t").alias("symbol")).agg(
+        *[F.min(F.when(F.col("x.a") == a, F.col("pos"))).alias(a.lower()) for a in BAR_ATTRIBUTES])
+    layout = per.agg(F.collect_list(F.struct("symbol", *[a.lower() for a in BAR_ATTRIBUTES])).alias("layout"))
+    data = lines.filter(F.try_to_date(first).isNotNull()).select(F.to_date(first).alias("date"), F.col("c"))
+
+    def entry(e: Column) -> Column:
+        return F.struct(e["symbol"].alias("symbol"), *[
+            F.nullif(F.get("c", e[a.lower()]), F.lit("")).cast("double").alias(a.lower()) for a in BAR_ATTRIBUTES])
+
+    long = data.crossJoin(layout).select("date", F.explode(F.transform("layout", entry)).alias("e"))
+    return long.select("e.symbol", "date", *[f"e.{a.lower()}" for a in BAR_ATTRIBUTES])
 
 
 # ------------------------------------------------------------------ SRC9
