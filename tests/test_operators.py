@@ -341,3 +341,20 @@ def test_user_aggregates_merge(spark):
     assert udaf.aggregate_by(df.limit(0), ["k"], ["v"], udaf.Distinct("v"), DoubleType()).count() == 0
     nothing = spark.createDataFrame([("x", None)], "k string, label string")
     assert udaf.aggregate_by(nothing, ["k"], ["label"], udaf.Agreement("label"), DoubleType()).first()["value"] is None
+
+
+def test_deal_spreads_measured_heavy_keys(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 == 1, "warm")
+                                      .otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("k"), F.lit(1).alias("same"))
+    rows = rows.withColumn("k", F.when(F.col("k") == "k13", None).otherwise(F.col("k")))
+    heavy = {r["_h"]: r["_spread"] for r in SV.heavy_keys(rows, ["k"], 16).collect()}
+    h = {r["k"]: r["h"] for r in rows.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    assert heavy == {h["hot"]: 8, h["warm"]: 2}
+    sizes = sorted(r["count"] for r in SV.deal(rows, ["k"], spread=None, partitions=16).groupBy(F.spark_partition_id()).count().collect())
+    plain = sorted(r["count"] for r in SV.deal(rows, ["k"], partitions=16).groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == sum(plain) == 20_000 and plain[-1] >= 10_000 > 2 * sizes[-1]
+    cold = SV.deal(rows, ["k"], spread=None, partitions=16).where("k = 'k7'").select(F.spark_partition_id()).distinct()
+    assert cold.count() == 1
+    totals = SV.deal(rows, ["k"], spread=None).groupBy("k").count()
+    assert SV.explain_string(totals, "simple").count("Exchange hashpartitioning") == 2
+    assert SV.deal(rows.limit(0), ["k"], spread=None).count() == 0

@@ -139,18 +139,44 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 
 
 # O01
-def deal(df: DataFrame, keys: Sequence[str] = (), *, spread: int = 1, partitions: int | None = None,
+def heavy_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """(``_h``, ``_spread``): hashes of keys that hold more than a partition's share of the rows, and over how many
+    partitions each is to be spread.
+
+    A frequent-items sketch (Spark's, merged from the tasks' sketches) names at most 2 * ``partitions`` candidates
+    and misses no key above half a share; one filtered aggregation counts these exactly.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("_h"))
+    found = hashed.stat.freqItems(["_h"], max(1e-4, 1.0 / (2 * partitions))).select(F.explode("_h_freqItems").alias("_h"))
+    total = hashed.agg(F.count("*").alias("_n"))
+    counts = hashed.join(F.broadcast(found), "_h", "left_semi").groupBy("_h").agg(F.count("*").alias("_c"))
+    spread = F.ceil(F.col("_c") * partitions / F.col("_n")).cast("int")
+    return counts.crossJoin(F.broadcast(total)).select("_h", spread.alias("_spread")).where("_spread > 1")
+
+
+def deal(df: DataFrame, keys: Sequence[str] = (), *, spread: int | None = 1, partitions: int | None = None,
          merge_to: int | None = None, keep: bool = False) -> DataFrame:
-    """Rows dealt over partitions by ``keys``, a key's rows over ``spread`` of them; evenly without keys.
+    """Rows dealt over partitions by ``keys``, evenly without keys.
 
-    ``partitions`` defaults to the session's shuffle setting (which AQE may
-    adapt); ``merge_to`` joins partitions afterwards without a shuffle; ``keep`` persists the result.
+    A key's rows go to ``spread`` partitions; ``None`` measures it: a key with more than a partition's share of the
+    rows is spread over as many partitions as it could fill, all others stay whole. An aggregation by key then sums
+    up where the rows lie and shuffles one row a key and partition. ``partitions`` defaults to the session's shuffle
+    setting (which AQE may adapt); ``merge_to`` joins partitions afterwards without a shuffle; ``keep`` persists
+    the result.
     """
     by = [F.col(k) for k in keys]
-    if by and spread > 1:
-        by.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.xxhash64(F.monotonically_increasing_id())  # repeated rows part too
+    if by and spread is None:
+        # at most ``width`` keys can be heavy, so this is a short literal
+        heavy = [(r["_h"], r["_spread"]) for r in heavy_keys(df, keys, width).collect()]
+        if heavy:
+            spreads = F.create_map(*[F.lit(x) for pair in heavy for x in pair])
+            by.append(F.pmod(place, F.coalesce(F.try_element_at(spreads, F.xxhash64(*keys)), F.lit(1))))
+    elif by and spread > 1:
+        by.append(F.pmod(place, F.lit(spread)))
     if not by and partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = width
     out = df.repartition(*([partitions] if partitions else []), *by)
     out = out.coalesce(merge_to) if merge_to else out
     return out.persist() if keep else out

@@ -68,12 +68,12 @@ def q_sentiment_distribution(spark, d):
     return A.sentiment_distribution(V.tweets_v(spark, d))
 
 
-@register("count_semantics", "A07", with_views(["prices_v"], """
+@register("count_semantics", "A07", with_views(["user_events_v"], """
 SELECT symbol, count(CASE WHEN volume > 50 THEN event_id END) AS id_count,
        count(*) AS row_count
-FROM prices_v GROUP BY symbol"""))
+FROM user_events_v GROUP BY symbol"""))
 def q_count_semantics(spark, d):
-    p = V.prices_v(spark, d).withColumn(
+    p = V.user_events_v(spark, d).withColumn(
         "event_id", F.when(F.col("volume") > 50, F.col("event_id")))
     return A.count_semantics(p, "symbol", "event_id")
 

@@ -45,12 +45,12 @@ def q_interval_join_salted(spark, d):
     return _silver(spark, d, salt=4)
 
 
-@register("dim_broadcast_join", "J03", with_views(["tweets_by_user_v", "stock_info_v"], """
+@register("dim_broadcast_join", "J03", with_views(["user_events_v", "stock_info_v"], """
 SELECT t.uuid, t.symbol, s.company_name, s.sector
-FROM tweets_by_user_v t LEFT JOIN stock_info_v s ON t.symbol = s.symbol"""))
+FROM user_events_v t LEFT JOIN stock_info_v s ON t.symbol = s.symbol"""))
 def q_dim_broadcast_join(spark, d):
-    """Posts left-joined to the symbol dimension (broadcast after a size check)."""
-    t = V.tweets_by_user_v(spark, d).select("uuid", "symbol")
+    """All events left-joined to the symbol dimension (broadcast where Spark finds it under its threshold)."""
+    t = V.user_events_v(spark, d).select("uuid", "symbol")
     return J.dim_join(t, V.stock_info_v(spark, d), "symbol").select(
         "uuid", "symbol", "company_name", "sector")
 

@@ -13,6 +13,7 @@ from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import stored as ST
 from ..sources import testviews as V
+from .econ import multi_sql
 from .registry import r, register
 from .sqlviews import with_views
 
@@ -184,25 +185,23 @@ def q_intraday_replay(spark, d):
     return SV.intraday_replay(V.bars_v(spark, d))
 
 
-@register("drop_incomplete", "D01", with_views(["tweets_by_user_v", "prices_v"], """
-SELECT t.uuid, t.symbol, p.volume
-FROM tweets_by_user_v t LEFT JOIN (SELECT symbol, max(volume) AS volume FROM prices_v
-                                   WHERE volume > 90 GROUP BY symbol) p ON t.symbol = p.symbol
-WHERE p.volume IS NOT NULL"""))
+@register("drop_incomplete", "D01", with_views(["user_events_v", "stock_info_v"], """
+SELECT t.uuid, t.symbol, t.volume, s.sector FROM user_events_v t JOIN stock_info_v s ON t.symbol = s.symbol
+WHERE t.volume IS NOT NULL AND s.sector IS NOT NULL"""))
 def q_drop_incomplete(spark, d):
-    """Rows with any NULL field are dropped."""
-    big = (V.prices_v(spark, d).filter(F.col("volume") > 90).groupBy("symbol")
-           .agg(F.max("volume").alias("volume")))
-    j = V.tweets_by_user_v(spark, d).select("uuid", "symbol").join(big, "symbol", "left")
-    return SV.drop_incomplete(j).select("uuid", "symbol", "volume")
+    """All events with their symbol's sector; rows with any NULL field (symbols that the dimension lacks) are dropped."""
+    j = V.user_events_v(spark, d).select("uuid", "symbol", "volume").join(
+        V.stock_info_v(spark, d).select("symbol", "sector"), "symbol", "left")
+    return SV.drop_incomplete(j).select("uuid", "symbol", "volume", "sector")
 
 
 @register("repartitioned", "O01 A01", with_views(["tweets_v"], f"""
 SELECT topic, count(*) AS total_tweets, {r('avg(sentiment_score)')} AS avg_sentiment
 FROM tweets_v GROUP BY topic"""))
 def q_repartitioned(spark, d):
-    """Hash-repartitioned by topic first; the aggregate then needs no new shuffle."""
-    t = SV.deal(V.tweets_v(spark, d), ["topic"], spread=4)
+    """Posts dealt by topic, a heavy topic over as many partitions as its measured share of the rows asks for; totals
+    are summed up there, and only those partial sums are shuffled again."""
+    t = SV.deal(V.tweets_v(spark, d).select("topic", "sentiment_score"), ["topic"], spread=None)
     return A.topic_totals(t)
 
 
@@ -214,11 +213,11 @@ SELECT topic, count(*) AS total_tweets,
        {r('quantile_disc(sentiment_score, 0.95)')} AS top_95_percentile
 FROM tweets_v GROUP BY topic"""))
 def q_gold_overwrite(spark, d):
-    """Topic statistics written twice with overwrite (second run replaces), read back."""
+    """A gold table of other columns replaced by the topic statistics, read back."""
     path = scratch_path(spark, "gold-stats")
-    stats = A.topic_statistics(V.tweets_v(spark, d))
-    FS.write_table(stats.filter(F.col("topic") == "VIEW"), path)
-    FS.write_table(stats, path)
+    t = V.tweets_v(spark, d).select("topic", "sentiment_score")
+    FS.write_table(A.topic_totals(t), path)
+    FS.write_table(A.topic_statistics(t), path)
     return spark.read.parquet(path)
 
 
@@ -254,13 +253,26 @@ def q_lake_read(spark, d):
     return counts.unionByName(missing.agg(F.lit("missing").alias("topic"), F.count("*").alias("n")))
 
 
-@register("json_by_date", "SRC6 U04", with_views(["bars_v"], f"""
+_JSON_SQL = f"""
 SELECT symbol, date, {r('open')} AS open, {r('high')} AS high, {r('low')} AS low,
-       {r('close')} AS close, {r('volume')} AS volume FROM bars_v"""))
+       {r('close')} AS close, {r('volume')} AS volume FROM bars_v"""
+
+
+@register("json_by_date", "SRC6 U04", with_views(["bars_v"], _JSON_SQL))
 def q_json_by_date(spark, d):
     """Daily bars written as date-keyed JSON objects and transposed back to rows."""
+    return _json_roundtrip(spark, V.bars_v(spark, d))
+
+
+@register("json_by_date_multi", "SRC6 U04", multi_sql(_JSON_SQL))
+def q_json_by_date_multi(spark, d):
+    """The same for five series: an object a series, series in different tasks."""
+    return _json_roundtrip(spark, V.bars_by_priority_v(spark, d))
+
+
+def _json_roundtrip(spark, bars):
     path = scratch_path(spark, "json-by-date")
-    FS.write_date_keyed_json(V.bars_v(spark, d), path)
+    FS.write_date_keyed_json(bars, path)
     return FS.read_date_keyed_json(spark, path)
 
 

@@ -41,6 +41,10 @@ VIEWS: dict[str, str] = {
                CAST(ts AS TIMESTAMP) AS api_timestamp,
                CAST(ts AS TIMESTAMP) AS ingest_timestamp
         FROM events WHERE event_type = 'view'""",
+    "user_events_v": """
+        SELECT CAST(event_id AS VARCHAR) AS uuid, CAST(user_id AS VARCHAR) AS symbol, event_id, event_type,
+               CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS volume
+        FROM events""",
     "bars_v": """
         SELECT 'IDX' AS symbol, CAST(o_orderdate AS DATE) AS date,
                arg_min(o_totalprice, o_orderkey) AS open,

@@ -257,6 +257,30 @@ def _staged(spark, name: str, stages, start_query):
             raise q.exception()
 
 
+@register("state_retention", "W10 W04", with_views(["tweets_v"], """
+SELECT 'stateStoreSave' AS operator, count(*) AS state_rows, TRUE AS purged, TRUE AS restartable
+FROM (SELECT DISTINCT topic, to_timestamp(floor(epoch(api_timestamp) / 300) * 300 + 300)::TIMESTAMP AS window_end FROM tweets_v) w
+WHERE window_end > (SELECT max(api_timestamp) FROM tweets_v) - INTERVAL 10 MINUTE"""))
+def q_state_retention(spark, d):
+    """Tumbling counts run over the quarters of the event time, one after the other from one checkpoint; what the
+    checkpoint holds afterwards: state of the windows that the watermark has not passed, and the last batches."""
+    out, ckpt = scratch_path(spark, "retention-out"), []
+    msgs, ts = SS._tweet_messages(spark, d), F.try_to_timestamp("_ts").cast("double")
+    a, b = V.table(spark, d, "events").agg(F.min(F.col("ts").cast("timestamp").cast("double")),
+                                           F.max(F.col("ts").cast("timestamp").cast("double"))).first()
+    quarter = F.least(F.floor((ts - a) / ((b - a) / 4)), F.lit(3))
+    stages = [msgs.where(quarter == i).select("value") for i in range(4)]
+
+    def start(s, ck):
+        ckpt.append(ck)
+        return R.start_file_sink(W.tumbling_counts(s), out, ck)
+
+    _staged(spark, "retention", stages, start)
+    held = R.retained(spark, ckpt[-1])
+    return held.select("operator", "state_rows", (F.col("batches_kept") < F.col("last_batch")).alias("purged"),
+                       (F.col("batches_kept") >= 2).alias("restartable"))
+
+
 @register("dedup_stream", "W08 D03", with_views(["tweets_v"], """
 SELECT DISTINCT uuid, topic, api_timestamp FROM tweets_v"""))
 def q_dedup_stream(spark, d):

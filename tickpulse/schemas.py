@@ -1,4 +1,7 @@
-"""Declared record schemas (messages, enriched rows, serving tables)."""
+"""Declared record schemas (messages, enriched rows, serving tables).
+
+Fixed values throughout: field names, types and column orders are the contract of the data.
+"""
 
 from pyspark.sql import types as T
 

@@ -84,6 +84,13 @@ def tweets_by_user_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_events_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events keyed by user id: (uuid, symbol, event_type, volume)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").cast("string").alias("uuid"), F.col("user_id").cast("string").alias("symbol"),
+                     "event_id", "event_type", (F.get_json_object("props", "$.k").cast("bigint") + 1).alias("volume"))
+
+
 def bars_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars of one index from orders (open/close by order key)."""
     o = table(spark, sf_dir, "orders")

@@ -150,6 +150,22 @@ def epoch_table_writer(path: str, partition_by: Sequence[str] | None = None
     return write
 
 
+def retained(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a finished query's checkpoint still holds, one row a stateful operator: ``operator``, ``state_rows`` of its
+    last batch (read by Spark's state data source), ``last_batch``, and ``batches_kept``, the batches whose offsets can be
+    restarted from. Works on the checkpoint alone; no query has to run."""
+    meta = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorName", "maxBatchId").distinct()
+    rows = None
+    for r in meta.collect():  # one row an operator of the query
+        n = spark.read.format("statestore").option("operatorId", r["operatorId"]).load(checkpoint).agg(F.count("*").alias("state_rows"))
+        n = n.select(F.lit(r["operatorName"]).alias("operator"), "state_rows", F.lit(r["maxBatchId"]).cast("long").alias("last_batch"))
+        rows = n if rows is None else rows.unionByName(n)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    glob = fs_path(f"{checkpoint}/offsets/[0-9]*")
+    kept = len(glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or [])
+    return rows.withColumn("batches_kept", F.lit(kept).cast("long"))
+
+
 def last_written(spark: SparkSession, path: str, name: str = "epoch") -> int | None:
     """The largest ``name=<id>`` folder under ``path`` whose write has been committed; None without one."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
