@@ -5,12 +5,13 @@ paragraphs' vectors, lane by lane modulo a power of two. Equal multisets of para
 in any order, and a paragraph is inserted or deleted by adding or subtracting its vector (``combine``).
 
 The vector has two parts: ``EXACT_LANES`` lanes of 32 bits drawn from the paragraph's SHA-256 (equality), and
-``LIKE_LANES`` lanes of 16 bits that count +1 or -1 for each sentence of the paragraph by one bit of its hash.
+``LIKE_LANES`` lanes of 32 bits that count +1 or -1 for each run of three words of the paragraph by one bit of its hash.
 The latter are a linear sketch: the cosine of two fingerprints' signed lanes estimates that of the documents'
-sentence counts, which is their likeness (negative estimates count as 0; equal fingerprints have 1).
+counts of such runs, which is their likeness (negative estimates count as 0; equal fingerprints have 1). Runs are as
+many as words (the last two are cut short by the paragraph's end), so texts of one line or one word are compared too.
 
-The string is 8 hexadecimal digits a lane, a hyphen, then 4 a lane. Null text counts as empty (one empty
-paragraph without sentences). Order of documents: descending id, null ids last; after the last the first. Where
+The string is 8 hexadecimal digits a lane, a hyphen between the parts. Null text counts as empty (one empty
+paragraph without words). Order of documents: descending id, null ids last; after the last the first. Where
 an id repeats, each of its rows has the next smaller id as its next, and of the rows of that id the text with
 the smallest hash is used. A single document is its own next. Other columns are not read.
 """
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from .common import written
 
 EXACT_LANES, LIKE_LANES = 32, 64
+#: Runs added up in 16-bit fields of a signed long before they are taken apart.
+SLICE = (1 << 15) - 1
 #: Ids of which each task finds the next; tasks are this many or fewer ids each up to MOST_RANGES tasks.
 RANGE_IDS, MOST_RANGES = 20_000, 20_000
 
@@ -33,10 +36,20 @@ def _exact(text: str) -> str:
 
 
 def _like(text: str) -> str:
-    """Signed sums: twice the set bits of each position less the number of sentences, modulo 2 ** 16."""
-    hashes = f"transform(filter(split({text}, '(?<=[.!?])[ \\n]+|\\n'), u -> length(u) > 0), u -> xxhash64(u))"
-    return (f"transform(array({hashes}), d -> transform(sequence(0, {LIKE_LANES - 1}), i -> "
-            f"((2 * aggregate(d, 0L, (s, h) -> s + (shiftrightunsigned(h, i) & 1L)) - size(d) + 32768) & 65535L) - 32768))[0]")
+    """Signed sums: twice the set bits of each position less the number of runs, modulo 2 ** 32.
+
+    Four bits are added up at once, in fields of 16 bits; so runs are taken in slices that can't overflow one.
+    """
+    words = f"filter(split(replace({text}, '\n', ' \n '), '[ \t\x0b\f\r]+'), w -> w <> '')"
+    follows = "coalesce(get(w, i + {}), '\n')".format
+    runs = (f"transform(array({words}), w -> filter(transform(w, (x, i) -> CASE WHEN x <> '\n' THEN xxhash64(x, {follows(1)}, "
+            f"CASE WHEN {follows(1)} = '\n' THEN '\n' ELSE {follows(2)} END) END), h -> h IS NOT NULL))[0]")
+    slices = f"transform(sequence(0, size(d) div {SLICE}), k -> slice(d, cast(k * {SLICE} + 1 as int), {SLICE}))"
+    fields = (f"transform({slices}, e -> transform(sequence(0, {LIKE_LANES // 4 - 1}), i -> "
+              f"aggregate(e, 0L, (s, h) -> s + (shiftrightunsigned(h, i) & {sum(1 << 16 * j for j in range(4))}L))))")
+    return (f"transform(transform(array({runs}), d -> named_struct('n', size(d), 'fields', {fields})), z -> "
+            f"transform(sequence(0, {LIKE_LANES - 1}), l -> ((2 * aggregate(z.fields, 0L, (s, p) -> s + "
+            f"(shiftrightunsigned(p[shiftright(l, 2)], 16 * (l & 3)) & 65535L)) - z.n + {1 << 31}L) & {(1 << 32) - 1}L) - {1 << 31}L))[0]")
 
 
 def vectors(text: str) -> Column:
@@ -47,7 +60,7 @@ def vectors(text: str) -> Column:
 
 def as_string(v: str) -> Column:
     return F.expr(f"concat(array_join(transform({v}.exact, x -> lpad(lower(hex(x)), 8, '0')), ''), '-', "
-                  f"array_join(transform({v}.likeness, x -> lpad(lower(hex(x & 65535L)), 4, '0')), ''))")
+                  f"array_join(transform({v}.likeness, x -> lpad(lower(hex(x & 4294967295L)), 8, '0')), ''))")
 
 
 def combine(a: str, b: str, sign: int = 1) -> Column:
@@ -55,12 +68,12 @@ def combine(a: str, b: str, sign: int = 1) -> Column:
     must be whole; text joined without a line feed between is another paragraph."""
     return F.expr(
         f"named_struct('exact', zip_with({a}.exact, {b}.exact, (x, y) -> (x + {sign} * y) & 4294967295L), "
-        f"'likeness', zip_with({a}.likeness, {b}.likeness, (x, y) -> ((x + {sign} * y + 32768) & 65535L) - 32768))")
+        f"'likeness', zip_with({a}.likeness, {b}.likeness, (x, y) -> ((x + {sign} * y + {1 << 31}L) & {(1 << 32) - 1}L) - {1 << 31}L))")
 
 
 def likeness(a: str, b: str) -> Column:
     """0 to 1, from two likeness arrays."""
-    dot = "aggregate(zip_with({0}, {1}, (x, y) -> x * y), 0L, (s, x) -> s + x)".format
+    dot = "aggregate(zip_with({0}, {1}, (x, y) -> cast(x as double) * y), 0D, (s, x) -> s + x)".format
     return F.expr(f"CASE WHEN {a} = {b} THEN 1.0D WHEN {dot(a, a)} = 0 OR {dot(b, b)} = 0 THEN 0.0D "
                   f"ELSE least(1.0D, greatest(0.0D, {dot(a, b)} / (sqrt({dot(a, a)}) * sqrt({dot(b, b)})))) END")
 
