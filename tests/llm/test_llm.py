@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tickpulse.llm import bpe, fingerprints, html_text, lm, near_dup, neighbours, packing, pii, token_counts, toxicity
@@ -469,7 +470,29 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(seen[0]) == {*range(60), 200, 201, None}
     assert set(seen[1]) == {*range(60), 201, None}
     assert seen[2][None] == "mail me at [EMAIL]"
-    assert {r["doc_id"] for r in P.run(spark, str(tmp_path)).collect()} == set(seen[2])
+    # the whole run, followed by plain versions: toxic words, equal sets of shingles, spans, the tokenizers library
+    plain = {r[0]: r[1] for r in rows if "blarg" not in (r[1] or "")}
+    sets = {i: frozenset(zip(*[t.split()[k:] for k in range(5)])) if t and len(t.split()) >= 5 else t for i, t in plain.items()}
+    first = {}
+    for i in sorted((i for i in plain if i is not None), reverse=True):
+        first[sets[i] or i] = i
+    kept = {i: t for i, t in plain.items() if i is None or first[sets[i] or i] == i}
+
+    def mask(t):
+        for k, a, b in sorted(brute_pii(t), key=lambda s: -s[1]):
+            t = t[:a] + f"[{k.upper()}]" + t[b:]
+        return t
+
+    want = {i: t and mask(t) for i, t in kept.items()}
+    assert seen[2] == want
+    ids = dict(zip(want, fixed_ids([t or "" for t in want.values()])[0]))
+    got = collections.defaultdict(list)
+    for r in P.run(spark, str(tmp_path)).collect():
+        got[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    assert set(got) == set(want)
+    for i, pieces in got.items():
+        own = np.append(np.frombuffer(ids[i], "<u4"), np.uint32(1)).astype("<u4")
+        assert sorted(pieces) == [(at, min(2048, len(own) - at), zlib.crc32(own[at:at + 2048].tobytes()), len(own)) for at in range(0, len(own), 2048)]
 
 
 def test_packing_takes_long_white_space(spark):
@@ -561,3 +584,78 @@ def test_toxicity_scores_equal_brute_force(spark):
     assert lexicon.words or lexicon.stems
     for r in toxicity.score(docs.select("doc_id", "text"), lexicon).collect():
         assert math.isclose(r["score"], brute_toxicity(lexicon, r["text"] or ""), rel_tol=1e-9)
+
+
+def spark_hash(*parts):
+    h = 42
+    for p in parts:
+        h = xxhash.xxh64_intdigest(p.encode() if isinstance(p, str) else p.to_bytes(4, "little"), seed=h)
+    return h
+
+
+def plain_fingerprint(text):
+    exact, like = [0] * 32, [0] * 64
+    for p in (text or "").split("\n"):
+        digest = hashlib.sha256(p.encode()).hexdigest()
+        exact = [(x + (spark_hash(digest, i) & 0xFFFFFFFF)) % 2 ** 32 for i, x in enumerate(exact)]
+        words = [w for w in re.split("[ \t\x0b\f\r]+", p) if w]
+        for i, w in enumerate(words):
+            run = [*words[i:i + 3], "\n", "\n"][:3] if len(words) - i >= 2 else [w, "\n", "\n"]
+            h = spark_hash(*run)
+            like = [x + (1 if h >> (l // 4 + 16 * (l % 4)) & 1 else -1) for l, x in enumerate(like)]
+    return "".join(f"{x:08x}" for x in exact) + "-" + "".join(f"{x % 2 ** 32:08x}" for x in like), like
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    dot = [sum(x * y for x, y in zip(u, v)) for u, v in ((a, b), (a, a), (b, b))]
+    return 0.0 if not dot[1] or not dot[2] else min(1.0, max(0.0, dot[0] / math.sqrt(dot[1]) / math.sqrt(dot[2])))
+
+
+def test_fingerprints_equal_a_plain_version(spark, docs, texts):
+    order = sorted(texts, reverse=True)
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_report(docs).collect()}
+    for i, d in enumerate(order[:60]):
+        t, n = texts[d] or "", texts[order[(i + 1) % len(order)]] or ""
+        half = len(t) // 2
+        (a, la), (b, lb), (_, ln) = map(plain_fingerprint, (t, t[:len(t) - half] + n[:half], n))
+        r = got[d]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (a, b)
+        assert math.isclose(r["near_edited"], plain_likeness(la, lb), rel_tol=1e-9) and math.isclose(r["near_next"], plain_likeness(la, ln), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_likeness_of_one_line_and_repetitive_texts(spark):
+    r = random.Random(3)
+    rows = [(i, " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(r.randint(30, 60)))) for i in range(60)]
+    got = fingerprints.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    near = [g["near_edited"] for g in got]
+    assert 0.35 < sum(near) / len(near) < 0.6 and min(near) > 0.1 and sum(g["near_next"] for g in got) / len(got) < 0.15
+    # more runs than a field counts: two texts that differ in their last words only, and one of other words
+    a = "alpha beta gamma " * 70_000
+    rows = [(1, a + "end"), (2, a + "stop"), (3, "delta epsilon " * 100_000), (4, "x"), (5, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("v", fingerprints.vectors("text"))
+    both = df.alias("a").join(df.alias("b"), F.expr("a.doc_id < b.doc_id")).select(
+        F.col("a.doc_id").alias("i"), F.col("b.doc_id").alias("j"), fingerprints.likeness("a.v.likeness", "b.v.likeness").alias("n"))
+    near = {(x["i"], x["j"]): x["n"] for x in both.collect()}
+    assert near[1, 2] > 0.999 and near[1, 3] < 0.6 and near[4, 5] < 0.5
+    lanes = df.where("doc_id = 1").selectExpr("transform(v.likeness, x -> abs(x))").first()[0]
+    assert max(lanes) > 65_536
+
+
+def test_lm_scores_equal_plain_interpolation(docs, texts, monkeypatch):
+    w = np.random.default_rng(1).dirichlet([2, 2, 1], lm.CONTEXT_BUCKETS)
+    w[0] = [0.0, 0.7, 0.3]
+    monkeypatch.setattr(lm, "learn_weights", lambda *a, **k: w.copy())
+    got = {r["doc_id"]: r["score"] for r in lm.lm_scores(docs, F.expr("crc32(cast(doc_id as string)) % 7 <> 2")).collect()}
+    tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in texts.items()}
+    train = [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    one = collections.Counter(x for i in train for x in tokens[i])
+    two = collections.Counter(p for i in train for p in zip([None, *tokens[i]], tokens[i]))
+    n, v = sum(one.values()), len(one)
+    for i, words in tokens.items():
+        total = 0.0
+        for h, x in zip([None, *words], words):
+            a, b, c = w[0 if not one[h] else min(one[h].bit_length(), lm.CONTEXT_BUCKETS - 1)]
+            total += math.log10(a * two[h, x] / max(one[h], 1) + b * one[x] / n + c / (v + 1))
+        assert math.isclose(got[i], total, rel_tol=1e-9)
