@@ -56,7 +56,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: SQL can't express the learned lexicon, MinHash tables or the tokenizer; tests/llm holds a brute-force version.
+#: SQL can't express the learned lexicon, MinHash tables or the tokenizer; tests/llm follows every row of a small table
+#: through plain versions of the stages.
 ORACLE_SQL = None
 
 
