@@ -76,3 +76,17 @@ def map_texts(df: DataFrame, keep: list[Column | str], text_col: str, make: Call
 def columns_of(rows: list[tuple], n: int) -> list[list]:
     """Rows as ``n`` columns, also where there are none."""
     return [list(c) for c in zip(*rows)] if rows else [[] for _ in range(n)]
+
+
+def block_tiles(anchors: DataFrame, cands: DataFrame) -> DataFrame:
+    """Every anchor block (``a_at``) with every candidate block (``c_at``) of its vector length (``dim``).
+
+    Pairs of block numbers are formed on salted keys, so no task holds the grid of one length. Tiles ship the smaller
+    anchor blocks to the candidate blocks, which are shuffled once."""
+    spark = cands.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt")
+    numbers = cands.select("dim", "c_at", F.pmod(F.xxhash64("c_at"), F.lit(parts)).cast("int").alias("salt"))
+    grid = anchors.select("dim", "a_at", salt).join(numbers, ["dim", "salt"]).select("a_at", "c_at")
+    return grid.join(anchors.drop("dim"), "a_at").repartition(parts, "c_at") \
+        .join(cands.repartition(parts, "c_at"), "c_at")

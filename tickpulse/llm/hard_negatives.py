@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import written
+from .common import block_tiles, written
 
 ANCHORS, CANDIDATES = 256, 4096
 #: Anchors scored at once: a table of 256 sums for each of 64 anchors stays in the cache.
@@ -121,19 +121,6 @@ def _blocks(df: DataFrame, id_col: str, vec_col: str, label: Column, every: int,
     return src.mapInPandas(run, _BLOCKS).withColumn("at", F.monotonically_increasing_id())
 
 
-def _tiles(anchors: DataFrame, cands: DataFrame) -> DataFrame:
-    """Every anchor block with every candidate block of its vector length.
-
-    Pairs of block numbers are formed on salted keys, so no task holds the grid of one length."""
-    spark = cands.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt")
-    numbers = cands.select("dim", "c_at", F.pmod(F.xxhash64("c_at"), F.lit(parts)).cast("int").alias("salt"))
-    grid = anchors.select("dim", "a_at", salt).join(numbers, ["dim", "salt"]).select("a_at", "c_at")
-    return grid.join(anchors.drop("dim"), "a_at").repartition(parts, "c_at") \
-        .join(cands.repartition(parts, "c_at"), "c_at")
-
-
 def _read(n: int, planes: int, dim: int, ids, labels, bits):
     return np.frombuffer(ids, "<i8"), np.array(labels, object), \
         np.frombuffer(bits, np.uint8).reshape(planes, n, -(-dim // 8))
@@ -198,7 +185,7 @@ def hard_negatives(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         w = Window.partitionBy(*key).orderBy(F.col(score).desc(), F.col(i))
         return found.withColumn(place, F.row_number().over(w)).where(F.col(place) <= k)
 
-    found = _tiles(anchors, cands).mapInPandas(
+    found = block_tiles(anchors, cands).mapInPandas(
         find_positives, "a_at long, i int, anchor_id long, positive_id long, positive_score long")
     best = written(cut(found, ["a_at", "i"], "positive_score", "positive_id", "place", positives), "positives")
     wanted = best.groupBy("a_at").agg(F.collect_list(F.struct("i", "place", "positive_score")).alias("a_wanted"))
@@ -214,7 +201,7 @@ def hard_negatives(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
                 rows += [(t.a_at, *r) for r in negatives_of(*a, *c, places, negatives, low, high)]
             yield pd.DataFrame(rows, columns=["a_at", "i", "place", "negative_id", "negative_score"])
 
-    mined = _tiles(anchors.join(wanted, "a_at"), cands).mapInPandas(
+    mined = block_tiles(anchors.join(wanted, "a_at"), cands).mapInPandas(
         find_negatives, "a_at long, i int, place int, negative_id long, negative_score long")
     return cut(mined, ["a_at", "i", "place"], "negative_score", "negative_id", "rank", negatives) \
         .join(best, ["a_at", "i", "place"]) \
