@@ -147,9 +147,29 @@ def test_nearest_is_exact(spark):
 def test_tiles_discard_most_pairs():
     rng = np.random.default_rng(5)
     v = rng.normal(size=(2000, 64))
-    ids = np.arange(2000)
-    _, pairs = neighbours.tile(ids[:20], v[:20], ids, v, 5)
-    assert pairs < 20 * 100
+    ids, coded = np.arange(2000), neighbours.quantise(v)
+    i, j, low, high = neighbours.survivors(ids[:20], *(x[:20] for x in coded), ids, *coded, 5)
+    assert 100 <= len(i) < 20 * 100
+    unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    exact = (unit[i] * unit[j]).sum(axis=1)
+    assert (low <= exact).all() and (exact <= high).all()
+
+
+def test_equal_vectors_keep_their_smallest_ids():
+    ids = np.array([1, 1, 2, 3, 4, 5, 6, 7, 8, 9])
+    v = np.array([[1.0, 0.0]] * 6 + [[0.0, 1.0]] + [[1.0, 0.0]] * 3)
+    assert ids[neighbours.smallest_ids(ids, v, 3)].tolist() == [1, 2, 3, 6]
+
+
+def test_nearest_in_many_rounds(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).round(1).tolist()) for i in range(900)] + [(i, [1.0] * 8) for i in range(900, 1300)]
+    rows = [r for r in rows if any(r[1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(df, block=16, queries=4, merged=3).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert dict(got) == brute_nearest(rows)
 
 
 def brute_pii(t):
