@@ -13,7 +13,8 @@ Counts cover all documents. Texts are packed into blocks of bounded size. Each b
 (64-bit hashes, sorted, in ranges) with its counts; each range adds them up and answers every block with the
 totals of the n-grams it sent, in the same order. So neither the vocabulary nor the n-gram table is
 ever in one place, a frequent word or word pair is one number from each block, and texts are never joined to
-counts row by row. For EM the held-out tokens are counted by (bucket, both ratios to the uniform estimate in eighths of
+counts row by row. A block writes a message for each range that holds some of its n-grams, so messages never outnumber
+the blocks' distinct n-grams. For EM the held-out tokens are counted by (bucket, both ratios to the uniform estimate in eighths of
 an octave), a histogram whose size is bounded by its grid, not by the data.
 
 Null text counts as empty: one token, the end. Null ids count as training rows. Repeated rows count each time and stay in
@@ -137,14 +138,16 @@ class Block:
         return np.bincount(place, np.repeat(self.train, self.lengths), len(keys)).astype(np.uint32)
 
 
-def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each of the equal ranges of the key space begins among sorted keys."""
-    bounds = [(r << 64) // ranges for r in range(1, ranges)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)]])
+def _ranges(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the equal ranges of the key space hold some of the sorted keys, and where each of those begins (and the
+    last ends); in time linear in the keys, however many ranges there are."""
+    part = (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    return part[at].astype(np.int64), np.r_[at, len(keys)]
 
 
-_SENT = "block long, deleted boolean, gram int, part int, keys binary, counts binary"
-_REPLIES = "block long, deleted boolean, gram int, part int, kept binary, deleted_counts binary, tokens long, kept_tokens long, types long, kept_types long"
+_SENT = "block long, deleted boolean, gram int, part long, keys binary, counts binary"
+_REPLIES = "block long, deleted boolean, gram int, part long, kept binary, deleted_counts binary, tokens long, kept_tokens long, types long, kept_types long"
 
 
 def _send(packed: DataFrame, ranges: int) -> DataFrame:
@@ -156,12 +159,10 @@ def _send(packed: DataFrame, ranges: int) -> DataFrame:
                 b, rows = Block(row), []
                 for order in (1, 2):
                     keys, counts = b.grams[order][0], b.counts(order)
-                    at = _ranges(keys, ranges)
-                    for part in range(ranges):
-                        some = slice(at[part], at[part + 1])
-                        if at[part] < at[part + 1]:
-                            gaps = np.diff(keys[some], prepend=np.uint64(0))
-                            rows.append((row.block, row.deleted, order, part, _squeeze(gaps), _squeeze(counts[some])))
+                    parts, at = _ranges(keys, ranges)
+                    for part, a, e in zip(parts.tolist(), at[:-1].tolist(), at[1:].tolist()):
+                        gaps = np.diff(keys[a:e], prepend=np.uint64(0))
+                        rows.append((row.block, row.deleted, order, part, _squeeze(gaps), _squeeze(counts[a:e])))
                 yield pd.DataFrame(rows, columns=columns)
 
     return packed.mapInPandas(run, _SENT)
