@@ -214,6 +214,7 @@ def test_handover_counts_every_post_once(spark):
         r = jobs.unified_index(spark, lake).agg(F.sum("tweet_count"), F.sum("sentiment_sum")).first()
         return r[0], r[1]
 
+    assert jobs.run_index(spark, lake) is None and total() == (None, None)  # before the first epoch
     epoch(0, [("a", 0, 0.5), ("a", 70, -0.5), ("b", 0, 1.0)])
     assert jobs.handover(spark, lake) is None and total() == (3, 1.0)
     assert jobs.run_index(spark, lake) == 0 and total() == (3, 1.0)

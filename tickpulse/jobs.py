@@ -116,7 +116,7 @@ def unified_index(spark: SparkSession, lake: LakePaths) -> DataFrame:
     """The batch view, and the speed layer's parts of the epochs after its cut: every post counts once. ``view`` tells
     the rows of either side apart; sum over it with ``serving.lambda_merge`` or any aggregate."""
     cut = handover(spark, lake)
-    speed = spark.read.schema(StructType([*_INDEX_ROWS.fields, StructField("epoch", LongType())])).parquet(lake.silver(INDEX))
+    speed = lake_read(spark, lake.silver(INDEX), StructType([*_INDEX_ROWS.fields, StructField("epoch", LongType())]))
     speed = speed.where(F.col("epoch") > (-1 if cut is None else cut)).select(F.lit("speed").alias("view"), *INDEX_KEYS, *INDEX_PARTS)
     if cut is None:
         return speed
