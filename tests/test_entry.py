@@ -6,7 +6,7 @@ import duckdb
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"granger_pvalues", "granger_pvalues_multi"}
+ROWS_ONLY: set[str] = set()
 SF = "/root/testdata/sf0.001"
 
 

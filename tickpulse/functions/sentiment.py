@@ -102,7 +102,7 @@ def score_column(text, scorer_factory: Callable[[], LogitScorer],
             for start in range(0, len(idx), batch_size):
                 part = idx[start:start + batch_size]
                 probs = _softmax_rows(np.asarray(scorer.logits(s.iloc[part].tolist()), dtype=float))
-                best = probs.argmax(axis=1)
+                best = probs.round(9).argmax(axis=1)  # equal classes: the first one
                 out_label[part] = [labels[i] for i in best]
                 out_score[part] = probs[np.arange(len(part)), best]
             yield pd.DataFrame({"pred_label": out_label,

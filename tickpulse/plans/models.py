@@ -48,7 +48,8 @@ z AS (
   SELECT z.doc_id, s.label, s.i, CASE WHEN share > 0 THEN 0.0 ELSE -1e9 END::DOUBLE + coalesce(total / sqrt(z.n), 0) AS z
   FROM sizes z CROSS JOIN shares s LEFT JOIN sums t ON t.doc_id = z.doc_id AND t.label = s.label),
 p AS (SELECT doc_id, label, i, exp(z - max(z) OVER (PARTITION BY doc_id)) AS e FROM z),
-best AS (SELECT doc_id, arg_max(label, (e, -i)) AS label, max(e) / sum(e) AS prob FROM p GROUP BY doc_id)"""
+whole AS (SELECT *, sum(e) OVER (PARTITION BY doc_id) AS total FROM p),
+best AS (SELECT doc_id, arg_max(label, (round(e / total, 9), -i)) AS label, max(e) / sum(e) AS prob FROM whole GROUP BY doc_id)"""
 
 
 @register("score_once_fanout", "M01 F01 K01 K04 SRC1", _MODEL_SQL + f"""

@@ -43,9 +43,11 @@ POST_COLUMNS = ["uuid", "topic", "api_timestamp", "sentiment_score"]
 def stored_posts(spark, d) -> ST.StoredTable:
     """Posts stored by (topic, day) and by id."""
     t = V.tweets_v(spark, d).select(*POST_COLUMNS)
-    root = ST.stored_once(spark, "stored-posts", [f"{d}/events.parquet"],
-                          lambda path: ST.StoredTable(spark, path, t.schema, ts_col="api_timestamp", id_col="uuid").append(t))
-    return ST.StoredTable(spark, root, t.schema, ts_col="api_timestamp", id_col="uuid")
+
+    def table(path):  # 16 folders of ids; a larger table takes more digits
+        return ST.StoredTable(spark, path, t.schema, ts_col="api_timestamp", id_col="uuid", id_digits=1)
+
+    return table(ST.stored_once(spark, "stored-posts", [f"{d}/events.parquet"], lambda path: table(path).append(t)))
 
 
 def stored_index(spark, d) -> ST.StoredTable:
