@@ -44,6 +44,12 @@ def _quoted(words: Sequence[str]) -> str:
     return ", ".join("'" + w.replace("'", "\\'") + "'" for w in words)
 
 
+def words_of(text) -> Column:
+    """The words of the tokens that have a letter, lower-cased and without what surrounds their letters."""
+    return F.transform(F.filter(F.split(_c(text), r"\s+"), lambda t: t.rlike(r"\p{L}")),
+                       lambda t: F.lower(F.regexp_replace(t, TRIM, "")))
+
+
 def contexts(text, negators: Sequence[str] = NEGATORS, boosters: Mapping[str, float] = BOOSTERS,
              contrasts: Sequence[str] = CONTRASTS) -> Column:
     """array<struct<word, a, b>>, one element for every token that has a letter."""
@@ -137,7 +143,7 @@ def learned_lexicon(docs: DataFrame, positive: Column, negative: Column, text_co
     """(word, weight): log odds of a word's documents being ``positive`` against ``negative`` ones, within +-``most``,
     over all of ``docs``; words of fewer documents than ``min_docs`` are left out."""
     words = docs.select(positive.alias("_p"), negative.alias("_n"),
-                        F.explode(F.array_distinct(F.transform(contexts(text_col), lambda c: c["word"]))).alias("word"))
+                        F.explode(F.array_distinct(words_of(text_col))).alias("word"))
     n = docs.agg(F.count_if(positive).alias("np"), F.count_if(negative).alias("nn"))
     per = words.groupBy("word").agg(F.count_if("_p").alias("p"), F.count_if("_n").alias("q"))
     odds = F.ln((F.col("p") + 0.5) / (F.col("np") + 1.0)) - F.ln((F.col("q") + 0.5) / (F.col("nn") + 1.0))
