@@ -232,3 +232,47 @@ def test_rule_valence_shuffles_no_text(spark):
         shuffles = [b for b in blocks if b.lstrip("\n").split(")")[1:] and ") Exchange" in b.split("\n")[0] + b.split("\n")[min(1, b.count("\n"))]]
         assert shuffles and all("Input" in b and "text#" not in b for b in shuffles)
         assert "Python" not in explain_string(out, "simple")
+
+
+def test_valence_words_without_functions_over_arrays(spark):
+    import re
+    import time
+    import unicodedata
+
+    from tickpulse.functions import valence as VL
+    from tickpulse.operators.serving import explain_string
+
+    def letter(c):
+        return unicodedata.category(c).startswith("L")
+
+    def plain(text):
+        words = []
+        for t in re.split("[ \t\n\x0b\f\r]+", text):
+            at = [i for i, c in enumerate(t) if letter(c)]
+            if at:
+                words.append(t[at[0]:at[-1] + 1].lower())
+        return words
+
+    texts = ["", " ", "!", "a", "a!b", " a ! b ", "\t12 don't--stop\n\n(x)\x0b ? y\x0c7z7\r", "x\u00a0y \u2028 z\u2028", "ΑΣ. ΑΣ.Β ⓐΣ Σ", "\U0001d400! b",
+             "a\U0001d400 \U0001f600 c \U0001f600d\U0001f600e\U0001f600", "ÉTÉ été\u0301 naïve", "1 2 3", "a " * 3000, "! " * 3000]
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string")
+    got = {r["doc_id"]: r["w"] for r in df.select("doc_id", VL.words_of("text").alias("w")).collect()}
+    assert got == dict(enumerate([*map(plain, texts), None]))
+    rules = ["never so GOOD but  (very) Bad not a b good", "NOT VERY GOOD", "but", "so -- so, so good: more or less however bad PERO x"]
+    df = spark.createDataFrame(list(enumerate([*texts, *rules, None])), "doc_id long, text string")
+    def rounded(rows):
+        return sorted((r["_id"], r["word"], round(r["a"], 9), round(r["b"], 9)) for r in rows)
+    arrays = df.select(F.col("doc_id").alias("_id"), F.inline(VL.contexts("text")))
+    assert rounded(VL.context_rows(df, "doc_id").collect()) == rounded(arrays.collect())
+    # one task compiles all of it, and cuts each text once into tokens and once into words
+    lex = M.lexicon_frame(spark)
+    plan = explain_string(VL.rule_valence_join(df, lex, "doc_id"), "simple")
+    assert "lambda" not in plan and plan.count("regexp_replace(") == 2
+    labels = VL.learned_lexicon(df, F.col("doc_id") > 1, F.col("doc_id") < 2)
+    plan = explain_string(labels, "simple")
+    assert "lambda" not in plan and plan.count("regexp_replace(") == 1
+    # long runs take time in proportion to their length
+    long = spark.createDataFrame([("a" + "=" * 1_000_000 + "b",), ("a" + "\U0001f600" * 500_000,), (" " * 1_000_000,), ("= " * 500_000,)], "text string")
+    start = time.monotonic()
+    assert [r["n"] for r in long.select(F.size(VL.words_of("text")).alias("n")).collect()] == [1, 1, 0, 0]
+    assert time.monotonic() - start < 30

@@ -9,7 +9,8 @@ marks add to the sum, which is squashed into [-1, 1]. The constants are the publ
 Everything that depends on the neighbourhood is known before a lexicon is: ``contexts`` gives for every token its word and
 two numbers (a, b) such that a word of valence v contributes a * v + b * sign(v). So a small lexicon is a map literal
 (``rule_valence``: no shuffle), and a large one is a table joined to the words (``rule_valence_join``: ids, words and
-those numbers are shuffled, texts never).
+those numbers are shuffled, texts never; the same numbers, computed by ``context_rows`` without functions over arrays,
+which Spark doesn't compile).
 
 A null text has a null valence, a text without lexicon words 0.
 """
@@ -37,27 +38,43 @@ BOOSTERS = {w: MORE for w in ("very", "so", "more", "most", "extremely", "really
                               "muy", "más", "todo")}
 BOOSTERS |= {w: LESS for w in ("hardly", "barely", "almost", "less", "some", "moins", "peu", "kaum", "wenig", "menos", "poco")}
 CONTRASTS = ("but", "mais", "aber", "pero", "however")
-TRIM = r"^[^\p{L}]+|[^\p{L}]+$"
+#: White space, and the token without a letter after it, before more white space.
+LETTERLESS = r"\s[^\p{L}\s]*+(?=\s)"
+#: A run of other characters than letters: it stays inside a token ($1), and between tokens one space of it does ($2).
+NO_LETTERS = r"([^\p{L}\s]++(?=\p{L}))|[^\p{L}\s]*+(\s)[^\p{L}]*+"
 
 
 def _quoted(words: Sequence[str]) -> str:
     return ", ".join("'" + w.replace("'", "\\'") + "'" for w in words)
 
 
+def _tokens_text(text) -> Column:
+    """The tokens that have a letter, each after one space, and a space at the end."""
+    return F.regexp_replace(F.concat(F.lit(" "), _c(text), F.lit(" ")), LETTERLESS, "")
+
+
+def _words_text(text) -> Column:
+    """Their words, each after one space, and a space at the end. Words are lower-cased together: no rule of case looks
+    over a space."""
+    return F.lower(F.regexp_replace(F.concat(F.lit(" "), _c(text), F.lit(" ")), NO_LETTERS, "$1$2"))
+
+
+def _parts(spaced: Column) -> Column:
+    return F.array_remove(F.split(spaced, r"\s"), "")
+
+
 def words_of(text) -> Column:
     """The words of the tokens that have a letter, lower-cased and without what surrounds their letters."""
-    return F.transform(F.filter(F.split(_c(text), r"\s+"), lambda t: t.rlike(r"\p{L}")),
-                       lambda t: F.lower(F.regexp_replace(t, TRIM, "")))
+    return _parts(_words_text(text))
 
 
 def contexts(text, negators: Sequence[str] = NEGATORS, boosters: Mapping[str, float] = BOOSTERS,
              contrasts: Sequence[str] = CONTRASTS) -> Column:
     """array<struct<word, a, b>>, one element for every token that has a letter."""
-    x = F.struct(F.filter(F.split(_c(text), r"\s+"), lambda t: t.rlike(r"\p{L}")).alias("raw"))
     # Arrays are bound once each by a transform over an array of one element.
+    x = F.struct(_parts(_tokens_text(text)).alias("raw"), words_of(text).alias("word"))
     x = _bind(x, lambda s: F.struct(
-        s["raw"].alias("raw"), F.transform(s["raw"], lambda t: F.lower(F.regexp_replace(t, TRIM, ""))).alias("word"),
-        F.exists(s["raw"], lambda t: t != F.upper(t)).alias("mixed")))
+        s["raw"].alias("raw"), s["word"].alias("word"), F.exists(s["raw"], lambda t: t != F.upper(t)).alias("mixed")))
     more, less = [w for w, v in boosters.items() if v > 0], [w for w, v in boosters.items() if v < 0]
     x = _bind(x, lambda s: F.struct(
         s["raw"].alias("raw"), s["word"].alias("word"), s["mixed"].alias("mixed"),
@@ -88,6 +105,38 @@ def contexts(text, negators: Sequence[str] = NEGATORS, boosters: Mapping[str, fl
     return _bind(x, element)
 
 
+def context_rows(df: DataFrame, id_col: str, text_col: str = "text", negators: Sequence[str] = NEGATORS,
+                 boosters: Mapping[str, float] = BOOSTERS, contrasts: Sequence[str] = CONTRASTS) -> DataFrame:
+    """(_id, word, a, b): the elements of ``contexts`` as rows.
+
+    Each token comes with the words before it, as the zipped arrays are shifted against each other, and the rest is
+    arithmetic on plain columns, so a task compiles all of it. (Below an inner ``explode`` Spark filters by the array's
+    size, for which it would cut every text twice; so empty arrays go through, and their rows are dropped after it.)
+    """
+    x = df.select(F.col(id_col).alias("_id"), _tokens_text(text_col).alias("_raws"), _words_text(text_col).alias("_words"))
+    x = x.select("_id", (F.col("_raws") != F.upper("_raws")).alias("_mixed"), F.split("_raws", r"\s").alias("_raws"),
+                 F.concat(F.array(*[F.lit("")] * (REACH - 1)), F.split("_words", r"\s")).alias("_words"))
+    n = F.size("_raws") - 2  # without the empty strings at both ends
+    shifted = [F.slice("_words", F.lit(REACH + 1 - d), n).alias(f"w{d}") for d in range(REACH + 1)]
+    # the last contrast word's place, 0 without one
+    turn = F.greatest(*[_last(F.col("_words"), c) - F.lit(REACH) for c in contrasts], F.lit(0))
+    x = x.select("_id", "_mixed", turn.alias("_turn"), F.arrays_zip(F.slice("_raws", F.lit(2), n).alias("t"), *shifted).alias("_at"))
+    x = x.select("_id", "_mixed", "_turn", F.posexplode_outer("_at").alias("_i", "_at")).select("_id", "_mixed", "_turn", "_i", "_at.*")
+    more, less = [w for w, v in boosters.items() if v > 0], [w for w, v in boosters.items() if v < 0]
+    most, least = max(boosters.values(), default=0.0), min(boosters.values(), default=0.0)
+    negated, boost = F.lit(False), F.lit(0.0)
+    for d in range(1, REACH + 1):
+        w = F.col(f"w{d}")
+        negated = negated | w.isin(*negators)
+        boost = boost + F.when(w.isin(*more), F.lit(most)).when(w.isin(*less), F.lit(least)).otherwise(F.lit(0.0)) * DAMPING[d - 1]
+    loud = F.col("_mixed") & (F.length("w0") > 1) & (F.col("t") == F.upper("t"))
+    at, turned = F.col("_i") + 1, F.col("_turn")
+    place = F.when((turned == 0) | (at == turned), 1.0).when(at < turned, BEFORE_CONTRAST).otherwise(AFTER_CONTRAST)
+    x = x.select("_id", F.col("w0").alias("word"), (F.when(negated, NEGATED).otherwise(1.0) * place).alias("a"),
+                 (boost + F.when(loud, CAPITALS).otherwise(0.0)).alias("b"))
+    return x.where(F.col("word").isNotNull()).withColumn("b", F.col("a") * F.col("b"))
+
+
 def _bind(x: Column, f) -> Column:
     return F.transform(F.array(x), f)[0]
 
@@ -129,7 +178,7 @@ def rule_valence_join(df: DataFrame, lexicon: DataFrame, id_col: str, text_col:
     text = F.col(text_col)
     marks = F.when(text.isNotNull(), F.least(F.length(text) - F.length(F.translate(text, "!", "")), F.lit(MOST_EXCLAMATIONS)))
     own = df.select(F.col(id_col).alias("_id"), marks.alias("_marks"), F.lit(0.0).alias("_part"))
-    words = df.select(F.col(id_col).alias("_id"), F.explode(contexts(text_col)).alias("_c")).select("_id", "_c.*")
+    words = context_rows(df, id_col, text_col)
     lex = lexicon.select("word", F.col("weight").cast("double").alias("_v"))
     parts = words.join(lex, "word").select("_id", F.lit(None).cast("int").alias("_marks"),
                                            (F.col("a") * F.col("_v") + F.col("b") * F.signum("_v")).alias("_part"))
@@ -143,7 +192,7 @@ def learned_lexicon(docs: DataFrame, positive: Column, negative: Column, text_co
     """(word, weight): log odds of a word's documents being ``positive`` against ``negative`` ones, within +-``most``,
     over all of ``docs``; words of fewer documents than ``min_docs`` are left out."""
     words = docs.select(positive.alias("_p"), negative.alias("_n"),
-                        F.explode(F.array_distinct(words_of(text_col))).alias("word"))
+                        F.explode_outer(F.array_distinct(words_of(text_col))).alias("word")).where("word IS NOT NULL")
     n = docs.agg(F.count_if(positive).alias("np"), F.count_if(negative).alias("nn"))
     per = words.groupBy("word").agg(F.count_if("_p").alias("p"), F.count_if("_n").alias("q"))
     odds = F.ln((F.col("p") + 0.5) / (F.col("np") + 1.0)) - F.ln((F.col("q") + 0.5) / (F.col("nn") + 1.0))

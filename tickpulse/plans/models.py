@@ -125,12 +125,14 @@ FROM valued"""
 
 @register("rule_valence", "M02", _VALENCE_SQL)
 def q_rule_valence(spark, d):
-    """Rule-based valence of whole documents with a lexicon of word log odds learned from the labels."""
+    """Rule-based valence of whole documents with a lexicon of word log odds learned from the labels, which is written as a
+    table: its size is known before words meet it, so words are shuffled only where it is too large to broadcast."""
     docs = V.table(spark, d, "documents").select("doc_id", "text")
     labels = V.table(spark, d, "labels")
     good, bad = (F.col("quality") == 1) & (F.col("toxic") == 0), (F.col("quality") == 0) | (F.col("toxic") == 1)
-    lexicon = VL.learned_lexicon(docs.join(labels, "doc_id"), good, bad)
-    return VL.rule_valence_join(docs, lexicon, "doc_id")
+    path = scratch_path(spark, "valence-lexicon")
+    VL.learned_lexicon(docs.join(labels, "doc_id"), good, bad).write.mode("overwrite").parquet(path)
+    return VL.rule_valence_join(docs, spark.read.parquet(path), "doc_id")
 
 
 @register("udaf_merge", "F03 A13", multi_sql(f"""
