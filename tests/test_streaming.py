@@ -185,3 +185,23 @@ def test_sink_format_is_configuration(spark):
     q = R.start_sink(spark.readStream.text(src), "json", f"{out}/_checkpoint", {"path": f"{out}/rows"})
     q.awaitTermination()
     assert sorted(r[0] for r in spark.read.json(f"{out}/rows").collect()) == ["a", "b"]
+
+
+def test_stream_interval_join_holds_few_copies(spark):
+    t0, hour, n = 1_704_067_200, 3600, 240
+    posts = spark.range(n).select(F.col("id").cast("string").alias("uuid"), (F.col("id") % 3).cast("string").alias("symbol"),
+                                  F.lit(0.5).alias("sentiment_score"), F.timestamp_seconds(F.col("id") * hour + t0).alias("api_timestamp"))
+    prices = spark.range(n).select((F.col("id") % 3).cast("string").alias("symbol"), F.timestamp_seconds(F.col("id") * hour + t0).alias("trade_timestamp"),
+                                   F.lit(1.0).alias("close_price"), F.col("id").alias("volume"))
+    want = sorted((str(a), b) for a in range(n) for b in range(n) if a % 3 == b % 3 and abs(a - b) <= 24)
+    for salt in (1, 3, 4):
+        root = scratch_path(spark, "few-copies")
+        posts.write.mode("overwrite").parquet(f"{root}/posts")
+        prices.write.mode("overwrite").parquet(f"{root}/prices")
+        j = W.interval_join_stream(spark.readStream.schema(posts.schema).parquet(f"{root}/posts"),
+                                   spark.readStream.schema(prices.schema).parquet(f"{root}/prices"), salt=salt)
+        q = R.start_file_sink(j, f"{root}/out", f"{root}/ckpt", rocksdb=True)
+        q.awaitTermination()
+        assert sorted((r["tweet_id"], r["volume"]) for r in spark.read.parquet(f"{root}/out").collect()) == want
+        held = sum(o["numRowsUpdated"] for p in q.recentProgress for o in p["stateOperators"])
+        assert 2 * n <= held <= 6 * n
